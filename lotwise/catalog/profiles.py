@@ -47,7 +47,7 @@ def _(s):
     count(*) / (SELECT count(*) FROM kept) * 100 AS share FROM kept GROUP BY make) WHERE share > 3""",
 )
 def _(s):
-    return profile.make_share(s.kept).withColumn("share", r("share", 6))
+    return profile.make_share(s.kept_table).withColumn("share", r("share", 6))
 
 
 @query(
@@ -59,7 +59,7 @@ def _(s):
     WHERE make = {NTH_MAKE_SQL.format(rows="kept", skip=1)} GROUP BY ALL""",
 )
 def _(s):
-    first, second = (profile.count_make_model_year(s.kept, k) for k in (1, 2))
+    first, second = (profile.count_make_model_year(s.kept_table, k) for k in (1, 2))
     return first.unionByName(second)
 
 
@@ -70,7 +70,7 @@ def _(s):
     WHERE make = {NTH_MAKE_SQL.format(rows="kept", skip=0)} AND model = 'ECONOMY' GROUP BY ALL""",
 )
 def _(s):
-    return profile.count_by_trim_year(s.kept, 1, "ECONOMY")
+    return profile.count_by_trim_year(s.kept_table, 1, "ECONOMY")
 
 
 @query(
@@ -169,7 +169,7 @@ def _(s):
       count(*) FILTER (NOT inside) AS n_outliers FROM f GROUP BY ALL""",
 )
 def _(s):
-    return profile.mileage_boxplot_by_year(s.kept, P)
+    return profile.mileage_boxplot_by_year(s.kept_table, P)
 
 
 def _summary_sql(rows: str, value: str, name: str) -> str:
@@ -363,7 +363,7 @@ def _(s):
         THEN (sy - (s * sxy - sx * sy) / (s * sxx - sx * sx) * sx) / s ELSE sy / s END + 0.000317, 2) AS smoothed FROM sums""",
 )
 def _(s):
-    out = profile.loess_mean_price(profile.mean_price_by_age(s.kept, P), span=0.75)
+    out = profile.loess_mean_price(profile.mean_price_by_age(s.kept_table, P), span=0.75)
     return out.withColumns({k: r(k) for k in ("mean_price", "smoothed")})
 
 

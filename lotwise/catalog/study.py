@@ -55,7 +55,8 @@ class Study:
 
     @cached_property
     def kept_table(self) -> DataFrame:
-        return stored(self.kept, "kept")
+        raw = tpch.listings(self.spark, self.sf_dir, spread_out=True)
+        return stored(kept_listings(clean_listings(raw, P), P), "kept")
 
     @cached_property
     def split(self) -> DataFrame:

@@ -13,13 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.functions.nulls import all_of, same, strict_avg
-from lotwise.workspace import stored
+from lotwise.workspace import stored_lookup
 
 
 def left_lookup(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left equi join in which null matches null; the table's key columns are dropped.
 
-    No broadcast hint: the planner broadcasts ``table`` if its files are small enough.
+    Whether ``table`` is broadcast was settled when its rows were counted on storing it.
     """
     right = table.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     joined = df.join(right, all_of(same(df[k], right[f"_r_{k}"]) for k in keys), "left")
@@ -32,7 +32,7 @@ def group_table(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column])
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column]) -> DataFrame:
     """Rows plus the statistics of their group."""
-    return left_lookup(df, stored(group_table(df, keys, stats), "stats"), keys)
+    return left_lookup(df, stored_lookup(group_table(df, keys, stats), "stats"), keys)
 
 
 # --- lookup tables -----------------------------------------------------------------

@@ -10,13 +10,9 @@ from pyspark.sql import functions as F
 from lotwise.functions.display import car_age
 from lotwise.functions.nulls import strict_sum
 from lotwise.operators.filters import filter_make_model, filter_mileage_anomaly
-from lotwise.operators.quantiles import (
-    exact_quantiles,
-    quantiles_of_counts,
-    quantiles_wide,
-    value_counts,
-)
+from lotwise.operators.quantiles import exact_quantiles, quantiles_wide, value_counts
 from lotwise.params import Params
+from lotwise.workspace import stored_lookup
 
 
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
@@ -104,17 +100,17 @@ _QUARTILES = {0.25: "q1", 0.5: "median", 0.75: "q3"}
 
 def _box_counts(df: DataFrame, p: Params, width: float) -> DataFrame:
     """(year, mileage, n) with the quartiles and fences of the year on each pair."""
-    counts = value_counts(filter_mileage_anomaly(df, p), "mileage", ["year"])
-    quartiles = quantiles_wide(
-        quantiles_of_counts(counts, list(_QUARTILES), ["year"], width), _QUARTILES, ["year"]
-    )
+    rows = filter_mileage_anomaly(df, p)
+    long = exact_quantiles(rows, "mileage", list(_QUARTILES), ["year"], width)
+    quartiles = stored_lookup(quantiles_wide(long, _QUARTILES, ["year"]), "quartiles")
     reach = (F.col("q3") - F.col("q1")) * 1.5
+    counts = value_counts(rows, "mileage", ["year"])
     return counts.join(quartiles, "year").withColumns(
         {"_low": F.col("q1") - reach, "_high": F.col("q3") + reach}
     )
 
 
-def mileage_boxplot_by_year(df: DataFrame, p: Params, width: float = 10.0) -> DataFrame:
+def mileage_boxplot_by_year(df: DataFrame, p: Params, width: float = 20.0) -> DataFrame:
     """Quartiles, whiskers (1.5 IQR) and number of outliers per year."""
     inside = F.col("value").between(F.col("_low"), F.col("_high"))
     return (
@@ -129,7 +125,7 @@ def mileage_boxplot_by_year(df: DataFrame, p: Params, width: float = 10.0) -> Da
     )
 
 
-def mileage_outliers_by_year(df: DataFrame, p: Params, width: float = 10.0) -> DataFrame:
+def mileage_outliers_by_year(df: DataFrame, p: Params, width: float = 20.0) -> DataFrame:
     inside = F.col("value").between(F.col("_low"), F.col("_high"))
     return _box_counts(df, p, width).filter(~inside).select(
         "year", F.col("value").alias("mileage"), "n"
@@ -139,7 +135,7 @@ def mileage_outliers_by_year(df: DataFrame, p: Params, width: float = 10.0) -> D
 _SUMMARY = {0.0: "min", 0.25: "q1", 0.5: "median", 0.75: "q3", 1.0: "max"}
 
 
-def five_number_summary(df: DataFrame, value: str, width: float = 1.0) -> DataFrame:
+def five_number_summary(df: DataFrame, value: str, width: float = 20.0) -> DataFrame:
     """(stat, value): the five numbers, the mean and the number of missing values."""
     spread = exact_quantiles(df, value, list(_SUMMARY), width=width)
     name = F.create_map(*[F.lit(x) for item in _SUMMARY.items() for x in item])

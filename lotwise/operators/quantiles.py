@@ -1,11 +1,12 @@
 """Exact order statistics without sorting the rows in one place.
 
-1. equal values collapse into (value, count) pairs by a map-side-combined aggregate, so
-   a value held by a third of all rows is one pair;
-2. values fall into buckets of a fixed width; a running count over the buckets, whose
-   number is value range / width, finds the buckets that hold the wanted positions;
-3. only those buckets are ordered by value.
+1. Values fall into buckets of a fixed width, counted with map-side combine. A running
+   count over the buckets, whose number is value range / width, finds the buckets that
+   hold the wanted positions: at most two per probability and group.
+2. Only the values of those buckets are looked at again, equal values as one pair
+   (value, count), and ordered within their bucket.
 
+A value held by a third of all rows is one pair, and no step orders all rows.
 Interpolation between neighbours is linear (position ``(n - 1) * p``).
 """
 
@@ -16,6 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lotwise.workspace import stored_lookup
+
+_UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
+
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """(by..., value, n) over the rows that have a value."""
@@ -26,56 +31,74 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     )
 
 
-def quantiles_of_counts(
-    counts: DataFrame, probs: Sequence[float], by: Sequence[str] = (), width: float = 1.0
-) -> DataFrame:
-    """(by..., p, q) from the pairs of :func:`value_counts`."""
-    by = list(by)
+def _wanted_buckets(pairs: DataFrame, probs: Sequence[float], by: list[str]) -> DataFrame:
+    """(by..., bucket, p) with the wanted positions and the bucket's first position."""
     c = F.col
-    pairs = counts.withColumn("_bucket", F.floor(c("value") / width))
-    totals = pairs.groupBy(*by, "_bucket").agg(F.sum("n").alias("_in"))
     group = Window.partitionBy(*by)
-    running = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = totals.select(
-        *by,
-        "_bucket",
-        F.sum("_in").over(running).alias("_end"),
-        F.sum("_in").over(group).alias("_all"),
-        "_in",
-    ).withColumn("_start", c("_end") - c("_in"))
+    totals = (
+        pairs.groupBy(*by, "_bucket")
+        .agg(F.sum("_n").alias("_in"))
+        .select(
+            *by,
+            "_bucket",
+            F.sum("_in").over(group.orderBy("_bucket").rowsBetween(*_UP_TO_HERE)).alias("_end"),
+            F.sum("_in").over(group).alias("_all"),
+            "_in",
+        )
+        .withColumn("_start", c("_end") - c("_in"))
+    )
     at = (c("_all") - 1) * c("p")
-    wanted = (
+    here = [c(k).between(c("_start"), c("_end") - 1) for k in ("_lo", "_hi")]
+    return (
         totals.withColumn("p", F.explode(F.array(*[F.lit(float(x)) for x in probs])))
         .withColumns({"_at": at, "_lo": F.floor(at), "_hi": F.ceil(at)})
-        .filter(
-            c("_lo").between(c("_start"), c("_end") - 1) | c("_hi").between(c("_start"), c("_end") - 1)
-        )
+        .filter(here[0] | here[1])
+        .select(*by, "_bucket", "p", "_start", "_at", "_lo", "_hi")
+    )
+
+
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    width: float = 20.0,
+    weight: str | None = None,
+) -> DataFrame:
+    """(by..., p, q). ``weight`` names a count column if a row stands for several."""
+    by = list(by)
+    c = F.col
+    v = c(value).cast("double")
+    pairs = df.filter(v.isNotNull()).select(
+        *by,
+        v.alias("_v"),
+        F.floor(v / width).alias("_bucket"),
+        (F.lit(1) if weight is None else c(weight)).alias("_n"),
     )
-    hits = pairs.join(wanted, [*by, "_bucket"])
-    inner = (
-        Window.partitionBy(*by, "p", "_bucket")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wanted = stored_lookup(_wanted_buckets(pairs, probs, by), "wanted")
+    hits = (
+        pairs.join(wanted, [*by, "_bucket"])
+        .groupBy(*by, "p", "_bucket", "_v", "_start", "_at", "_lo", "_hi")
+        .agg(F.sum("_n").alias("_n"))
     )
-    hits = hits.withColumn("_last", c("_start") + F.sum("n").over(inner) - 1)
-    first = c("_last") - c("n") + 1
+    in_bucket = Window.partitionBy(*by, "p", "_bucket").orderBy("_v").rowsBetween(*_UP_TO_HERE)
+    hits = hits.withColumn("_last", c("_start") + F.sum("_n").over(in_bucket) - 1)
+    first = c("_last") - c("_n") + 1
 
     def value_at(position: str):
-        return F.max(F.when(c(position).between(first, c("_last")), c("value")))
+        return F.max(F.when(c(position).between(first, c("_last")), c("_v")))
 
     return (
         hits.groupBy(*by, "p")
-        .agg(value_at("_lo").alias("_x"), value_at("_hi").alias("_y"), F.max(c("_at") - c("_lo")).alias("_w"))
+        .agg(
+            value_at("_lo").alias("_x"),
+            value_at("_hi").alias("_y"),
+            F.max(c("_at") - c("_lo")).alias("_w"),
+        )
         .select(*by, "p", (c("_x") + c("_w") * (c("_y") - c("_x"))).alias("q"))
     )
 
 
-def exact_quantiles(
-    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), width: float = 1.0
-) -> DataFrame:
-    return quantiles_of_counts(value_counts(df, value, by), probs, by, width)
-
-
 def quantiles_wide(long: DataFrame, names: dict[float, str], by: Sequence[str] = ()) -> DataFrame:
     """One column per probability."""
     return long.groupBy(*by).agg(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions.nulls import paste
 from lotwise.operators.profile import likes_by_model
+from lotwise.workspace import stored_lookup
 
 
 def sort_trim_gap(df: DataFrame, gap: str, trim: str = "trim_key", row_id: str = "id") -> DataFrame:
@@ -22,7 +23,8 @@ def top_n_with_ties(df: DataFrame, by: Sequence[str], score: str, n: int) -> Dat
 
     Only the n-th best score per group is ranked for: ``row_number() <= n`` is cut to n
     rows per group on the map side, before the shuffle. The rows then join with that
-    threshold, so ties, however many, stay where they are.
+    threshold, so ties, however many, stay where they are. ``df`` is read twice: pass a
+    stored table.
     """
     best = Window.partitionBy(*by).orderBy(F.desc_nulls_last(score))
     least = (
@@ -32,6 +34,7 @@ def top_n_with_ties(df: DataFrame, by: Sequence[str], score: str, n: int) -> Dat
         .groupBy(*by)
         .agg(F.min(score).alias("_least"))
     )
+    least = stored_lookup(least, "least")
     return df.join(least, list(by)).filter(F.col(score) >= F.col("_least")).drop("_least")
 
 

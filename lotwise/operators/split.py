@@ -22,7 +22,7 @@ from lotwise.operators.filters import semi_join_keys
 from lotwise.operators.groups import left_lookup
 from lotwise.operators.quantiles import exact_quantiles
 from lotwise.params import Params
-from lotwise.workspace import stored
+from lotwise.workspace import BROADCAST_ROWS, stored, stored_counted
 
 # every single entry must occur among the training rows
 COVERAGE_KEYS = [
@@ -123,15 +123,27 @@ def held_out(cuts: list[Cut], group: Column, bucket: Column, row_id: Column) ->
     )
 
 
+def holdout_rule(
+    df: DataFrame, share: float, p: Params, bucket: Column | None = None
+) -> tuple[list[float], list[Cut]]:
+    """The numbers that settle one round: price breaks, and one cut per stratum."""
+    breaks = price_breaks(df, p.strata)
+    order = hash_bucket(p) if bucket is None else bucket
+    narrow = df.select(stratum(breaks).alias("_stratum"), order.alias("_bucket"), "id")
+    return breaks, holdout_cuts(narrow, share)
+
+
+def in_holdout(breaks: list[float], cuts: list[Cut], p: Params, bucket: Column | None = None) -> Column:
+    order = hash_bucket(p) if bucket is None else bucket
+    return held_out(cuts, stratum(breaks), order, F.col("id"))
+
+
 def stratified_holdout(
     df: DataFrame, share: float, p: Params, bucket: Column | None = None, name: str = "held_out"
 ) -> DataFrame:
     """Rows plus a flag: held out of their price stratum or not."""
-    bucket = hash_bucket(p) if bucket is None else bucket
-    group = stratum(price_breaks(df, p.strata))
-    narrow = df.select(group.alias("_stratum"), bucket.alias("_bucket"), "id")
-    cuts = holdout_cuts(narrow, share)
-    return df.withColumn(name, held_out(cuts, group, bucket, F.col("id")))
+    breaks, cuts = holdout_rule(df, share, p, bucket)
+    return df.withColumn(name, in_holdout(breaks, cuts, p, bucket))
 
 
 def semi_join_chain(df: DataFrame, train: DataFrame, keys=COVERAGE_KEYS) -> DataFrame:
@@ -175,21 +187,31 @@ def uncovered_tuples(tuples: DataFrame) -> DataFrame:
     return hit.select(*KEY_COLUMNS).distinct()
 
 
-def return_uncovered(df: DataFrame, flag: str = "held_out") -> DataFrame:
+def return_uncovered(df: DataFrame, flag: str, within: Column | None = None) -> DataFrame:
     """Clear the flag on held-out rows that have a key no training row has.
 
-    Coverage is worked out on the distinct key tuples of all rows, from one scan. Only
-    held-out rows then meet the uncovered tuples; the training part is not shuffled.
+    ``within`` limits the rows that count, here those not held out in an earlier round.
+
+    Coverage is worked out on the distinct key tuples of all rows, from one scan. The
+    uncovered tuples are those of rare keys, so as a rule they are few and one more scan
+    meets them in memory. If they are many, only held-out rows are shuffled to meet them.
     """
     out = F.col(flag)
+    counted = df if within is None else df.filter(within)
     tuples = stored(
-        df.groupBy(*KEY_COLUMNS).agg(F.max(out).alias("any_out"), F.min(out).alias("all_out")),
+        counted.groupBy(*KEY_COLUMNS).agg(F.max(out).alias("any_out"), F.min(out).alias("all_out")),
         "key_tuples",
     )
-    uncovered = stored(uncovered_tuples(tuples), "uncovered").withColumn("_back", F.lit(True))
-    held = left_lookup(df.filter(out), uncovered, KEY_COLUMNS)
-    held = held.withColumn(flag, F.col("_back").isNull()).drop("_back")
-    return df.filter(~out).unionByName(held)
+    uncovered, n = stored_counted(uncovered_tuples(tuples), "uncovered")
+    uncovered = uncovered.withColumn("_back", F.lit(True))
+
+    def repaired(rows: DataFrame) -> DataFrame:
+        met = left_lookup(rows, uncovered, KEY_COLUMNS)
+        return met.withColumn(flag, out & F.col("_back").isNull()).drop("_back")
+
+    if n <= BROADCAST_ROWS:
+        return repaired(df)
+    return df.filter(~out).unionByName(repaired(df.filter(out)))
 
 
 def split_with_coverage(df: DataFrame, p: Params, bucket: Column | None = None) -> DataFrame:
@@ -197,12 +219,14 @@ def split_with_coverage(df: DataFrame, p: Params, bucket: Column | None = None)
 
     First the validation share is held out and repaired, then the test share of the rest.
     """
-    first = return_uncovered(stratified_holdout(df, p.validation_share, p, bucket))
-    validation = first.filter("held_out").drop("held_out")
-    rest = first.filter("NOT held_out").drop("held_out")
-    second = return_uncovered(stratified_holdout(rest, p.test_share, p, bucket))
-    named = second.withColumn("split", F.when(F.col("held_out"), "test").otherwise("train"))
-    return named.drop("held_out").unionByName(validation.withColumn("split", F.lit("validation")))
+    first = stratified_holdout(df, p.validation_share, p, bucket, "_validation")
+    first = return_uncovered(first, "_validation")
+    rest = first.filter("NOT _validation")
+    breaks, cuts = holdout_rule(rest, p.test_share, p, bucket)
+    test = ~F.col("_validation") & in_holdout(breaks, cuts, p, bucket)
+    second = return_uncovered(first.withColumn("_test", test), "_test", ~F.col("_validation"))
+    name = F.when(F.col("_validation"), "validation").when(F.col("_test"), "test").otherwise("train")
+    return second.withColumn("split", name).drop("_validation", "_test")
 
 
 def random_sample(df: DataFrame, n: int, p: Params, row_id: str = "id") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lotwise.operators.groups import left_lookup
 from lotwise.params import Params
-from lotwise.workspace import stored
+from lotwise.workspace import bounded_broadcast, stored, stored_lookup
 
 CELL = ["make", "model_key", "trim_key", "year"]
 _TABLES = ("make", "model", "trim", "trim_year")
@@ -41,7 +41,8 @@ class PriceModel:
     @staticmethod
     def load(spark: SparkSession, path: str) -> PriceModel:
         mu = spark.read.parquet(f"{path}/mu").first()["mu"]
-        return PriceModel(mu, *[spark.read.parquet(f"{path}/{n}") for n in _TABLES])
+        tables = [spark.read.parquet(f"{path}/{n}") for n in _TABLES]
+        return PriceModel(mu, *[bounded_broadcast(t, t.count()) for t in tables])
 
 
 def cells(df: DataFrame, fit_on: str = "full") -> DataFrame:
@@ -117,24 +118,24 @@ def fit(df: DataFrame, p: Params = Params()) -> PriceModel:
     c = F.col
     cell = stored(cells(df, p.fit_on), "cells")
     mu = overall_mean(cell)
-    make = stored(level_effect(cell, ["make"], F.lit(mu), "b_make"), "make")
+    make = stored_lookup(level_effect(cell, ["make"], F.lit(mu), "b_make"), "make")
     cell_1 = left_lookup(cell, make, ["make"])
     so_far = F.lit(mu) + c("b_make")
-    model = stored(level_effect(cell_1, ["model_key"], so_far, "b_model"), "model")
+    model = stored_lookup(level_effect(cell_1, ["model_key"], so_far, "b_model"), "model")
     cell_2 = left_lookup(cell_1, model, ["model_key"])
     so_far = so_far + c("b_model")
-    trim_level = stored(level_effect(cell_2, ["trim_key"], so_far, "b_trim"), "trim_level")
+    trim_level = stored_lookup(level_effect(cell_2, ["trim_key"], so_far, "b_trim"), "trim_level")
     cell_3 = left_lookup(cell_2, trim_level, ["trim_key"])
     so_far = so_far + c("b_trim")
     years = level_effect(cell_3, ["trim_key", "year"], so_far, "b_year")
-    trim_year = stored(
+    trim_year = stored_lookup(
         tier_means(cell).join(years, ["trim_key", "year"], "left"), "trim_year"
     )
     trained_years = trim_year.filter(c("b_year").isNotNull())
     trim = trim_stats(cell)
     for part in (trim_level, year_line(trained_years, p), mileage_line(trim_year)):
         trim = trim.join(part, "trim_key", "left")
-    return PriceModel(mu, make, model, stored(trim, "trim"), trim_year)
+    return PriceModel(mu, make, model, stored_lookup(trim, "trim"), trim_year)
 
 
 def year_line_check(model: PriceModel) -> DataFrame:

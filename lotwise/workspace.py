@@ -1,9 +1,9 @@
 """Intermediate tables kept in the shared folder the session names.
 
-A small fitted table is written once and read back, for two reasons: its lineage is
-cut on storage that outlives any executor, and the size of its files is known to the
-planner, so Spark broadcasts it only when it is under
-``spark.sql.autoBroadcastJoinThreshold`` and shuffles it otherwise.
+A fitted table is written once and read back, for two reasons: its lineage is cut on
+storage that outlives any executor, and its size is known before it is joined. A lookup
+table is broadcast only if its counted rows are within ``BROADCAST_ROWS``; beyond that
+the planner joins by shuffle, where adaptive execution splits skewed keys.
 """
 
 from __future__ import annotations
@@ -11,7 +11,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+# lookup rows are one text key and at most ten numbers: 500,000 rows are about 100 MB
+BROADCAST_ROWS = 500_000
 
 _CONF = "spark.checkpoint.dir"
 
@@ -36,3 +40,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bounded_broadcast(table: DataFrame, rows: int) -> DataFrame:
+    """``table`` marked for broadcast if its counted ``rows`` are few enough."""
+    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
+
+
+def stored_lookup(df: DataFrame, name: str) -> DataFrame:
+    """As :func:`stored`, for a table that rows will be joined with."""
+    return stored_counted(df, name)[0]
+
+
+def stored_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """The stored lookup table and its number of rows, counted while it is written."""
+    seen = Observation()
+    table = stored(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    rows = seen.get["n"]
+    return bounded_broadcast(table, rows), rows
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """A scan that fills fewer tasks than there are cores is spread over all of them.
+
+    Many-file tables have more partitions than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
