@@ -271,26 +271,26 @@ def _(s):
     FROM kept WHERE mileage IS NOT NULL""",
 )
 def _(s):
-    return forest.rf_features(s.kept).select("price", *forest.TEXT_FEATURES, "mileage")
+    return forest.rf_features(s.kept)
 
 
 @query("rf_train")
 def _(s):
-    trees = s.forest.stages[-1]
+    trees = s.forest.model.stages[-1]
     rows = [(t.numNodes, t.depth) for t in trees.trees]
     return s.spark.createDataFrame(rows, "nodes int, depth int")
 
 
 @query("rf_cross_validate")
 def _(s):
-    cv = forest.rf_cross_validate(s.kept_table, P, trees=(10,), depth=6, width=512)
+    cv = forest.rf_cross_validate(s.kept_table, P, trees=(10,), depth=6)
     return forest.cross_validation_table(cv)
 
 
 @query("rf_grid")
 def _(s):
     cv = forest.rf_cross_validate(
-        s.kept_table, P, trees=(5, 10), subsets=("onethird", "sqrt"), depth=4, width=256
+        s.kept_table, P, trees=(5, 10), subsets=("onethird", "all"), depth=4
     )
     return forest.cross_validation_table(cv)
 

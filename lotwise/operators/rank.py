@@ -79,8 +79,11 @@ def union_missing_columns(df: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 def missing_values(fresh: DataFrame, trained: DataFrame, key: str) -> DataFrame:
-    """Distinct keys of the fresh rows that the training rows do not have."""
-    return fresh.select(key).subtract(trained.select(key))
+    """Distinct keys of the fresh rows that the training rows do not have.
+
+    Both sides are reduced to their keys before they meet.
+    """
+    return fresh.select(key).distinct().subtract(trained.select(key).distinct())
 
 
 def missing_trims(fresh: DataFrame, trained: DataFrame) -> DataFrame:

@@ -36,7 +36,6 @@ _EXPLANATION = {
 }
 LINEAR_COLUMNS = {**_IDENTITY, **_LINEAR, **_EXPLANATION}
 DUAL_COLUMNS = {**_IDENTITY, **_LINEAR, **_FOREST, **_EXPLANATION}
-_SALE = {"Date_sold": "date_sold", "Count": "listing_count"}
 FULL_LINEAR_COLUMNS = {**_IDENTITY, "Date_sold": "date_sold", **_EXPLANATION, **_LINEAR, "Count": "listing_count"}
 FULL_DUAL_COLUMNS = {
     **_IDENTITY,
@@ -79,7 +78,7 @@ def scored_full(df: DataFrame, m: PriceModel, p: Params) -> DataFrame:
 
 def scored_recent(df: DataFrame, m: PriceModel, p: Params) -> DataFrame:
     """Fresh data with prediction, gap, and fresh listings per trim."""
-    return with_listing_count(with_linear_gap(score(df, m, p), p))
+    return with_linear_gap(score(with_listing_count(df), m, p), p)
 
 
 def deals_full_linear(scored: DataFrame, p: Params) -> DataFrame:

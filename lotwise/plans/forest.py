@@ -1,37 +1,82 @@
 """Random-forest price model on the ML library.
 
-Text predictors are hashed into a sparse vector of fixed width. Hashing needs no
-dictionary, so nothing that grows with the number of trims passes through the driver,
-and the width of the trees' statistics is known beforehand.
+Text predictors become category numbers by hashing, so no dictionary that grows with the
+number of trims passes through the driver, and the trees' statistics have a known size.
+A row carries five numbers into training, where one-hot columns would be stored dense.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import FeatureHasher, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.params import Params
 from lotwise.plans.evaluate import FOREST
 
-TEXT_FEATURES = ["make", "model_key", "trim_key", "year2"]
 PREDICTION = "predicted_price_rf"
-METRICS = {"rmse": "rmse", "r2": "r2", "mae": "mae"}
+
+# category columns and the most codes each may take
+CATEGORIES = {"make": 256, "model_key": 1024, "trim_key": 4096, "year2": 128}
+CODES = [f"{c}_code" for c in CATEGORIES]
+
+
+@dataclass(frozen=True)
+class Forest:
+    """Fitted trees, and the limit on category codes they were fitted with."""
+
+    model: PipelineModel
+    limit: int
+
+    def save(self, path: str) -> None:
+        spark = SparkSession.getActiveSession()
+        self.model.write().save(f"{path}/model")
+        spark.createDataFrame([(self.limit,)], "code_limit int").coalesce(1).write.parquet(f"{path}/codes")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Forest:
+        limit = spark.read.parquet(f"{path}/codes").first()["code_limit"]
+        return Forest(PipelineModel.load(f"{path}/model"), limit)
+
+
+def code_limit(df: DataFrame) -> int:
+    """The trees allow no more categories than they have rows; half leaves room for folds."""
+    most = 2 * max(CATEGORIES.values())
+    return max(2, min(most, df.limit(most).count()) // 2)
 
 
 def rf_features(df: DataFrame) -> DataFrame:
-    """Predictors of the forest; the year is a category. Missing text reads ``NA``."""
-    text = {
-        "make": F.coalesce("make", F.lit("NA")),
-        "year2": F.col("year").cast("string"),
-    }
-    return df.withColumns(text).filter(F.col("mileage").isNotNull())
+    """Price, predictors and nothing else; the year is a category.
+
+    A forest cannot take a missing mileage, so such rows are left out.
+    """
+    return with_year2(df).select("price", *CATEGORIES, "mileage")
+
+
+def with_year2(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("mileage").isNotNull()).withColumn("year2", F.col("year").cast("string"))
+
+
+def with_codes(df: DataFrame, limit: int) -> DataFrame:
+    """Category numbers for the text predictors, marked as categories for the trees.
+
+    Names share a code if their hashes meet. Years within 128 of each other do not.
+    """
+    out = []
+    for name, most in CATEGORIES.items():
+        n = min(most, limit)
+        number = F.col(name).try_cast("bigint") if name == "year2" else F.xxhash64(name)
+        code = F.coalesce(F.pmod(number, F.lit(n)), F.lit(0)).cast("double")
+        nominal = {"ml_attr": {"type": "nominal", "num_vals": n, "name": f"{name}_code"}}
+        out.append(code.alias(f"{name}_code", metadata=nominal))
+    return df.select("*", *out)
 
 
 def to_factor(df: DataFrame, columns: Sequence[str], max_levels: int = 100_000) -> DataFrame:
@@ -52,38 +97,34 @@ def to_factor(df: DataFrame, columns: Sequence[str], max_levels: int = 100_000)
     return indexer.fit(df).transform(df)
 
 
-def forest_stages(
-    p: Params, width: int = 1024, trees: int = 20, depth: int = 8, label: str = "price"
-) -> list:
-    hashed = FeatureHasher(
-        inputCols=TEXT_FEATURES,
-        outputCol="text_features",
-        numFeatures=width,
-        categoricalCols=TEXT_FEATURES,
-    )
-    assembled = VectorAssembler(inputCols=["text_features", "mileage"], outputCol="features")
+def forest_stages(p: Params, limit: int, trees: int = 20, depth: int = 8) -> list:
+    assembled = VectorAssembler(inputCols=[*CODES, "mileage"], outputCol="features")
     forest = RandomForestRegressor(
         featuresCol="features",
-        labelCol=label,
+        labelCol="price",
         predictionCol=PREDICTION,
         numTrees=trees,
         maxDepth=depth,
+        maxBins=min(max(CATEGORIES.values()), limit),
+        maxMemoryInMB=1024,
         featureSubsetStrategy="onethird",
         seed=p.seed,
     )
-    return [hashed, assembled, forest]
+    return [assembled, forest]
 
 
-def rf_train(df: DataFrame, p: Params = Params(), **sizes) -> PipelineModel:
+def rf_train(df: DataFrame, p: Params = Params(), trees: int = 20, depth: int = 8) -> Forest:
     """Fit on rows with keys, price and mileage."""
-    rows = rf_features(df).select("price", *TEXT_FEATURES, "mileage")
-    return Pipeline(stages=forest_stages(p, **sizes)).fit(rows)
+    rows = rf_features(df)
+    limit = code_limit(rows)
+    coded = with_codes(rows, limit).select("price", *CODES, "mileage")
+    return Forest(Pipeline(stages=forest_stages(p, limit, trees, depth)).fit(coded), limit)
 
 
-def rf_predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def rf_predict(forest: Forest, df: DataFrame) -> DataFrame:
     """Adds ``predicted_price_rf``. Rows without mileage cannot be scored and are left out."""
-    scored = model.transform(rf_features(df))
-    return scored.drop("text_features", "features", "year2")
+    scored = forest.model.transform(with_codes(with_year2(df), forest.limit))
+    return scored.drop("features", "year2", *CODES)
 
 
 def rf_grid(forest: RandomForestRegressor, trees: Sequence[int], subsets: Sequence[str]) -> list:
@@ -107,11 +148,13 @@ def rf_cross_validate(
     folds: int = 3,
     trees: Sequence[int] = (20,),
     subsets: Sequence[str] = ("onethird",),
-    **sizes,
+    depth: int = 8,
 ) -> CrossValidatorModel:
     """k-fold cross-validation over the grid; the best setting is refitted on all rows."""
-    stages = forest_stages(p, **sizes)
-    rows = with_fold(rf_features(df), folds, p).select("price", *TEXT_FEATURES, "mileage", "fold")
+    rows = with_year2(with_fold(df, folds, p))
+    limit = code_limit(rows)
+    stages = forest_stages(p, limit, depth=depth)
+    rows = with_codes(rows, limit).select("price", *CODES, "mileage", "fold")
     validator = CrossValidator(
         estimator=Pipeline(stages=stages),
         estimatorParamMaps=rf_grid(stages[-1], trees, subsets),
@@ -125,8 +168,6 @@ def rf_cross_validate(
 
 def cross_validation_table(cv: CrossValidatorModel) -> DataFrame:
     """One row per setting of the grid with its mean RMSE over the folds."""
-    from pyspark.sql import SparkSession
-
     spark = SparkSession.getActiveSession()
     rows = []
     for setting, score in zip(cv.getEstimatorParamMaps(), cv.avgMetrics):

@@ -32,7 +32,7 @@ RAW_COLUMNS = {
     "car": "car",
 }
 
-# numbers that may hold junk are read as text and cast later
+# the file's own types: numbers that may hold junk are text here and cast on cleaning
 RAW_SCHEMA = T.StructType(
     [T.StructField(n, {"year": _I, "likes": _L}.get(n, _S)) for n in RAW_COLUMNS]
 )
@@ -52,14 +52,29 @@ CAR_SCHEMA = T.StructType(
 )
 
 
-def scan_listings_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
-    """Header CSV with an explicit schema: one pass, no inference scan.
+def scan_listings_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Header CSV in one pass, no type inference.
 
-    Every column named in the file's header must be in ``schema``, in file order;
-    columns beyond the known ones pass through.
+    With a schema, the file must have exactly its columns in its order, which is checked
+    against the header. Without one, columns go by the names in the header, whatever
+    their order; unknown ones pass through as text. ``NA`` is a missing value and an
+    empty text stays an empty text.
     """
-    df = spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
-    return df.withColumnsRenamed({k: v for k, v in RAW_COLUMNS.items() if k in df.columns})
+    reader = spark.read.option("header", True).option("escape", '"')
+    if schema is not None:
+        df = reader.schema(schema).option("enforceSchema", False).csv(path)
+    else:
+        df = reader.csv(path)
+        types = {f.name: f.dataType for f in RAW_SCHEMA if f.dataType != _S and f.name in df.columns}
+        df = df.withColumns({n: F.col(f"`{n}`").try_cast(t) for n, t in types.items()})
+    return canonical(df)
+
+
+def canonical(df: DataFrame) -> DataFrame:
+    """Our column names; ``NA`` becomes missing, missing text becomes empty text."""
+    df = df.withColumnsRenamed({k: v for k, v in RAW_COLUMNS.items() if k in df.columns})
+    texts = [f.name for f in df.schema if f.dataType == _S and f.name in RAW_COLUMNS.values()]
+    return df.withColumns({n: F.nullif(F.coalesce(n, F.lit("")), F.lit("NA")) for n in texts})
 
 
 def literal_rows(spark: SparkSession, rows: Iterable[tuple | Row]) -> DataFrame:

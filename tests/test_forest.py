@@ -1,5 +1,4 @@
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from lotwise.catalog.study import P
@@ -10,7 +9,7 @@ from lotwise.workspace import new_path
 
 @pytest.fixture(scope="module")
 def trained(study):
-    return forest.rf_train(study.train, P, width=256, trees=5, depth=5)
+    return forest.rf_train(study.train, P, trees=5, depth=5)
 
 
 def test_better_than_the_constant(spark):
@@ -24,7 +23,7 @@ def test_better_than_the_constant(spark):
         rows, "id string, make string, model_key string, trim_key string, year int, mileage double, price double"
     )
     folds = forest.with_fold(df, 3, P)
-    model = forest.rf_train(folds.filter("fold > 0"), P, width=64, trees=20, depth=8)
+    model = forest.rf_train(folds.filter("fold > 0"), P, trees=20, depth=8)
     held = folds.filter("fold = 0")
     row = forest.rf_metrics(forest.rf_predict(model, held), "held out").first()
     assert row["rmse"] < 0.6 * held.agg(F.stddev_pop("price")).first()[0]
@@ -33,8 +32,8 @@ def test_better_than_the_constant(spark):
 
 def test_saved_forest_scores_the_same(spark, study, trained):
     path = new_path(spark, "forest")
-    trained.write().save(path)
-    again = PipelineModel.load(path)
+    trained.save(path)
+    again = forest.Forest.load(spark, path)
     rows = study.fresh
     one, two = (
         {r["id"]: r[forest.PREDICTION] for r in forest.rf_predict(m, rows).collect()} for m in (trained, again)
@@ -43,7 +42,7 @@ def test_saved_forest_scores_the_same(spark, study, trained):
 
 
 def test_cross_validation_is_not_in_sample(spark, study):
-    cv = forest.rf_cross_validate(study.kept_table, P, trees=(2, 4), depth=3, width=64)
+    cv = forest.rf_cross_validate(study.kept_table, P, trees=(2, 4), depth=3)
     rows = forest.cross_validation_table(cv).collect()
     assert len(rows) == 2 and sum(r["best"] for r in rows) == 1
 

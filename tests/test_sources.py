@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 
 from lotwise.sources import sinks
-from lotwise.sources.listings import RAW_COLUMNS, clean_listings, kept_listings, literal_rows, scan_listings_csv
+from lotwise.sources.listings import RAW_COLUMNS, RAW_SCHEMA, clean_listings, kept_listings, literal_rows, scan_listings_csv
 from lotwise.workspace import new_path, shared_root
 
 HEADER = list(RAW_COLUMNS)
@@ -36,6 +36,41 @@ def test_scan_and_clean(spark, raw_csv):
     assert [r["trim_key"] for r in kept] == ["BMW-BMW-7-Series-730 Li-6-Automatic"]
 
 
+def test_scan_by_header_order(spark, tmp_path):
+    """Columns in another order and two unknown ones; a missing and an empty text."""
+    head = ["extra", *reversed(HEADER), "more"]
+    rows = [["e", *reversed(r), "m"] for r in ROWS]
+    rows[2][head.index("make")], rows[2][head.index("trim")] = "NA", ""
+    path = tmp_path / "raw.csv"
+    with open(path, "w", newline="") as f:
+        csv.writer(f).writerows([head, *rows])
+    raw = scan_listings_csv(spark, str(path))
+    assert {"extra", "more", "price_raw", "id"} <= set(raw.columns)
+    got = {r["id"]: r for r in clean_listings(raw).collect()}
+    assert got[ROWS[0][0]]["price"] == 120000.0 and got[ROWS[0][0]]["year"] == 2019
+    assert got[ROWS[2][0]]["make"] is None and got[ROWS[2][0]]["trim"] == ""
+
+
+def test_scan_with_schema_checks_the_header(spark, raw_csv, tmp_path):
+    assert scan_listings_csv(spark, raw_csv, RAW_SCHEMA).count() == 3
+    path = tmp_path / "bad.csv"
+    with open(path, "w", newline="") as f:
+        csv.writer(f).writerows([list(reversed(HEADER)), *[list(reversed(r)) for r in ROWS]])
+    with pytest.raises(Exception):
+        scan_listings_csv(spark, str(path), RAW_SCHEMA).collect()
+
+
+def test_empty_lookup_is_counted(spark):
+    """A table that turns out empty while it is written still reports its rows."""
+    from lotwise.workspace import stored_counted
+
+    df = spark.range(10)
+    empty = df.join(df.filter("id > 99").groupBy("id").count(), "id").distinct()
+    table, n = stored_counted(empty, "empty")
+    assert n == 0 and table.count() == 0
+    assert stored_counted(df.filter("false"), "empty")[1] == 0
+
+
 def test_sink_quotes_and_never_overwrites(spark, tmp_path):
     df = spark.createDataFrame([("a, b", 1.5), ('q"x', 2.0)], "name string, n double")
     path = str(tmp_path / "out")
