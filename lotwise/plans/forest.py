@@ -1,8 +1,10 @@
 """Random-forest price model on the ML library.
 
 Text predictors become category numbers by hashing, so no dictionary that grows with the
-number of trims passes through the driver, and the trees' statistics have a known size.
-A row carries five numbers into training, where one-hot columns would be stored dense.
+number of trims passes through the driver. A row carries seven numbers into training,
+where one-hot columns would be stored dense. Long code ranges are costly too, because
+every task sends statistics per tree node and code; so models and trims get two short,
+independent codes each, and two trims look alike only if both codes agree.
 """
 
 from __future__ import annotations
@@ -23,9 +25,17 @@ from lotwise.plans.evaluate import FOREST
 
 PREDICTION = "predicted_price_rf"
 
-# category columns and the most codes each may take
-CATEGORIES = {"make": 256, "model_key": 1024, "trim_key": 4096, "year2": 128}
-CODES = [f"{c}_code" for c in CATEGORIES]
+# code column -> (source, most codes)
+CODES = {
+    "make_code": ("make", 256),
+    "model_code_1": ("model_key", 512),
+    "model_code_2": ("model_key", 512),
+    "trim_code_1": ("trim_key", 512),
+    "trim_code_2": ("trim_key", 512),
+    "year_code": ("year2", 128),
+}
+CATEGORIES = ["make", "model_key", "trim_key", "year2"]
+MOST_CODES = max(n for _, n in CODES.values())
 
 
 @dataclass(frozen=True)
@@ -48,8 +58,7 @@ class Forest:
 
 def code_limit(df: DataFrame) -> int:
     """The trees allow no more categories than they have rows; half leaves room for folds."""
-    most = 2 * max(CATEGORIES.values())
-    return max(2, min(most, df.limit(most).count()) // 2)
+    return max(2, df.limit(2 * MOST_CODES).count() // 2)
 
 
 def rf_features(df: DataFrame) -> DataFrame:
@@ -67,15 +76,16 @@ def with_year2(df: DataFrame) -> DataFrame:
 def with_codes(df: DataFrame, limit: int) -> DataFrame:
     """Category numbers for the text predictors, marked as categories for the trees.
 
-    Names share a code if their hashes meet. Years within 128 of each other do not.
+    Years within 128 of each other never share a code.
     """
     out = []
-    for name, most in CATEGORIES.items():
+    for salt, (code, (name, most)) in enumerate(CODES.items()):
         n = min(most, limit)
-        number = F.col(name).try_cast("bigint") if name == "year2" else F.xxhash64(name)
-        code = F.coalesce(F.pmod(number, F.lit(n)), F.lit(0)).cast("double")
-        nominal = {"ml_attr": {"type": "nominal", "num_vals": n, "name": f"{name}_code"}}
-        out.append(code.alias(f"{name}_code", metadata=nominal))
+        year = name == "year2"
+        number = F.col(name).try_cast("bigint") if year else F.xxhash64(F.col(name), F.lit(salt))
+        nominal = {"ml_attr": {"type": "nominal", "num_vals": n, "name": code}}
+        value = F.coalesce(F.pmod(number, F.lit(n)), F.lit(0)).cast("double")
+        out.append(value.alias(code, metadata=nominal))
     return df.select("*", *out)
 
 
@@ -105,8 +115,7 @@ def forest_stages(p: Params, limit: int, trees: int = 20, depth: int = 8) -> lis
         predictionCol=PREDICTION,
         numTrees=trees,
         maxDepth=depth,
-        maxBins=min(max(CATEGORIES.values()), limit),
-        maxMemoryInMB=1024,
+        maxBins=min(MOST_CODES, limit),
         featureSubsetStrategy="onethird",
         seed=p.seed,
     )
