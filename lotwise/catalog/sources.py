@@ -74,12 +74,12 @@ def _(s):
     return known.select("trim_key", "year", "mileage", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("sink_csv", S.KEEP + "SELECT id, model_key, year, price FROM kept")
+@query("sink_csv", S.KEEP + "SELECT id, model_key, year, price, mileage FROM kept")
 def _(s):
     path = new_path(s.spark, "kept_csv")
-    rows = s.kept.select("id", "model_key", "year", "price")
+    rows = s.kept.select("id", "model_key", "year", "price", "mileage")
     sinks.sink_csv(rows, path)
-    return s.spark.read.schema(rows.schema).option("header", True).csv(path)
+    return sinks.read_back_csv(s.spark, path, rows.schema)
 
 
 @query("run_versioned_output", S.KEEP + f"SELECT '{RUN}' AS run_id, id, price FROM kept")
@@ -87,7 +87,7 @@ def _(s):
     base = new_path(s.spark, "runs")
     rows = s.kept.select("id", "price")
     sinks.sink_csv(rows, sinks.run_path(base, RUN))
-    back = s.spark.read.schema(rows.schema).option("header", True).csv(f"{base}/*")
+    back = sinks.read_back_csv(s.spark, f"{base}/*", rows.schema)
     run = F.element_at(F.split(F.input_file_name(), "/"), -2)
     return back.select(run.alias("run_id"), "id", "price")
 

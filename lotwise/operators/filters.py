@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions.nulls import all_of, same
 from lotwise.params import Params
+from lotwise.workspace import stored_lookup
 
 
 def filter_price_cap(df: DataFrame, p: Params) -> DataFrame:
@@ -67,9 +68,11 @@ def deal_filter_recent_dual(df: DataFrame, p: Params) -> DataFrame:
 def semi_join_keys(df: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key tuple occurs in ``known``; null matches null, as in the source rules.
 
-    The known side is reduced to its distinct keys by a map-side-combined aggregate.
+    The known side is reduced to its distinct keys by a map-side-combined aggregate,
+    stored and counted, so that ``df`` is not shuffled for a short list of keys.
     """
     right = known.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+    right = stored_lookup(right, "known_keys")
     return df.join(right, all_of(same(df[k], right[f"_k_{k}"]) for k in keys), "left_semi")
 
 

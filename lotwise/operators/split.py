@@ -22,7 +22,7 @@ from lotwise.operators.filters import semi_join_keys
 from lotwise.operators.groups import left_lookup
 from lotwise.operators.quantiles import exact_quantiles
 from lotwise.params import Params
-from lotwise.workspace import BROADCAST_ROWS, stored, stored_counted
+from lotwise.workspace import BROADCAST_ROWS, stored, stored_counted, stored_lookup
 
 # every single entry must occur among the training rows
 COVERAGE_KEYS = [
@@ -183,6 +183,7 @@ def uncovered_tuples(tuples: DataFrame) -> DataFrame:
     )
     keyed = tuples.withColumn("_k", F.explode(kinds)).select(*tuples.columns, "_k.kind", "_k.key")
     missing = keyed.groupBy("kind", "key").agg(F.bool_and("all_out").alias("m")).filter("m")
+    missing = stored_lookup(missing.select("kind", "key"), "missing_keys")
     hit = keyed.filter("any_out").join(missing, ["kind", "key"], "left_semi")
     return hit.select(*KEY_COLUMNS).distinct()
 

@@ -12,7 +12,7 @@ from lotwise.operators.rank import first_per_group, missing_trims, sort_trim_gap
 from lotwise.params import Params
 from lotwise.plans.effects import PriceModel
 from lotwise.plans.scoring import score, with_forest_gap, with_linear_gap
-from lotwise.workspace import stored
+from lotwise.workspace import stored, stored_lookup
 
 # fixed values: column names of the published exports, and where they come from
 _IDENTITY = {
@@ -146,8 +146,12 @@ def price_guard(low: float) -> Column:
 
 
 def outcome_rows(deals: DataFrame, status: DataFrame, guard: float | None = None) -> DataFrame:
-    """Deals with what became of them: ``status`` has Id, status text and sale date."""
-    rows = deals.join(status, "Id", "left")
+    """Deals with what became of them: ``status`` has Id, status text and sale date.
+
+    ``status`` may list every listing; it is cut to the deals' ids before the join.
+    """
+    ids = stored_lookup(deals.select("Id"), "deal_ids")
+    rows = deals.join(status.join(ids, "Id", "left_semi"), "Id", "left")
     rows = rows if guard is None else rows.filter(price_guard(guard))
     sold = F.lower(F.trim(F.coalesce(F.col("status"), F.lit("")))) == "sold"
     return rows.withColumn("sold", sold)

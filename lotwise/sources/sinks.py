@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # fixed values: names of the export files
 FULL, FORMATTED, FILTERED, MISSING = (
@@ -13,14 +14,20 @@ FULL, FORMATTED, FILTERED, MISSING = (
     "_Export_Formated_Filtered",
     "_Export_missing",
 )
+MISSING_TEXT = "NA"
 RUN_FORMAT = "%Y%b%d_%H-%M-%S"
 
 
 def sink_csv(df: DataFrame, path: str) -> None:
-    """Header, all values quoted, missing values as bare ``NA``-free empties."""
-    df.write.mode("errorifexists").option("header", True).option("quoteAll", True).option(
-        "escape", '"'
-    ).csv(path)
+    """Header, every value quoted, missing values as ``NA``, nothing overwritten."""
+    writer = df.write.mode("errorifexists").option("header", True).option("quoteAll", True)
+    writer.option("escape", '"').option("nullValue", MISSING_TEXT).csv(path)
+
+
+def read_back_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A file of :func:`sink_csv` as a frame."""
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
+    return reader.option("nullValue", MISSING_TEXT).csv(path)
 
 
 def run_id(now: datetime | None = None) -> str:

@@ -72,11 +72,15 @@ def test_empty_lookup_is_counted(spark):
 
 
 def test_sink_quotes_and_never_overwrites(spark, tmp_path):
-    df = spark.createDataFrame([("a, b", 1.5), ('q"x', 2.0)], "name string, n double")
+    df = spark.createDataFrame([("a, b", 1.5), ('q"x', 2.0), ("none", None)], "name string, n double")
     path = str(tmp_path / "out")
     sinks.sink_csv(df, path)
     text = "".join(p.read_text() for p in Path(path).glob("part-*"))
     assert '"name","n"' in text and '"a, b","1.5"' in text and '"q""x"' in text
+    assert '"none","NA"' in text
+    assert sorted(map(tuple, sinks.read_back_csv(spark, path, df.schema).collect()), key=str) == sorted(
+        map(tuple, df.collect()), key=str
+    )
     with pytest.raises(Exception):
         sinks.sink_csv(df, path)
 
