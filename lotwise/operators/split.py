@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from lotwise.functions.nulls import all_of, any_of, same
 from lotwise.operators.filters import semi_join_keys
-from lotwise.operators.groups import left_lookup
 from lotwise.operators.quantiles import exact_quantiles
 from lotwise.params import Params
 from lotwise.workspace import BROADCAST_ROWS, stored, stored_counted, stored_lookup
@@ -203,12 +202,19 @@ def return_uncovered(df: DataFrame, flag: str, within: Column | None = None) ->
         counted.groupBy(*KEY_COLUMNS).agg(F.max(out).alias("any_out"), F.min(out).alias("all_out")),
         "key_tuples",
     )
-    uncovered, n = stored_counted(uncovered_tuples(tuples), "uncovered")
-    uncovered = uncovered.withColumn("_back", F.lit(True))
+    # tuples by the hash of their columns: as good as always one tuple per hash
+    hashed = uncovered_tuples(tuples).groupBy(F.xxhash64(*KEY_COLUMNS).alias("_h"))
+    uncovered, n = stored_counted(
+        hashed.agg(F.collect_list(F.struct(*KEY_COLUMNS)).alias("_tuples")), "uncovered"
+    )
 
     def repaired(rows: DataFrame) -> DataFrame:
-        met = left_lookup(rows, uncovered, KEY_COLUMNS)
-        return met.withColumn(flag, out & F.col("_back").isNull()).drop("_back")
+        # one number to look up, none for training rows; the columns decide on a hit
+        met = rows.withColumn("_h", F.when(out, F.xxhash64(*KEY_COLUMNS)))
+        met = met.join(uncovered, "_h", "left")
+        hit = F.exists("_tuples", lambda t: all_of(same(t[k], F.col(k)) for k in KEY_COLUMNS))
+        kept = out & ~F.coalesce(hit, F.lit(False))
+        return met.withColumn(flag, kept).drop("_h", "_tuples")
 
     if n <= BROADCAST_ROWS:
         return repaired(df)
