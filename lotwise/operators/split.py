@@ -21,7 +21,7 @@ from lotwise.functions.nulls import all_of, any_of, same
 from lotwise.operators.filters import semi_join_keys
 from lotwise.operators.quantiles import exact_quantiles
 from lotwise.params import Params
-from lotwise.workspace import BROADCAST_ROWS, stored, stored_counted, stored_lookup
+from lotwise.workspace import stored, stored_lookup
 
 # every single entry must occur among the training rows
 COVERAGE_KEYS = [
@@ -191,12 +191,14 @@ def return_uncovered(df: DataFrame, flag: str, within: Column | None = None) ->
     """Clear the flag on held-out rows that have a key no training row has.
 
     ``within`` limits the rows that count, here those not held out in an earlier round.
+    A missing flag counts as not held out.
 
     Coverage is worked out on the distinct key tuples of all rows, from one scan. The
     uncovered tuples are those of rare keys, so as a rule they are few and one more scan
-    meets them in memory. If they are many, only held-out rows are shuffled to meet them.
+    meets them in memory. If they are many, the planner joins by shuffle; rows that are
+    not held out have no key to meet and are spread by skew handling.
     """
-    out = F.col(flag)
+    out = F.coalesce(F.col(flag), F.lit(False))
     counted = df if within is None else df.filter(within)
     tuples = stored(
         counted.groupBy(*KEY_COLUMNS).agg(F.max(out).alias("any_out"), F.min(out).alias("all_out")),
@@ -204,7 +206,7 @@ def return_uncovered(df: DataFrame, flag: str, within: Column | None = None) ->
     )
     # tuples by the hash of their columns: as good as always one tuple per hash
     hashed = uncovered_tuples(tuples).groupBy(F.xxhash64(*KEY_COLUMNS).alias("_h"))
-    uncovered, n = stored_counted(
+    uncovered = stored_lookup(
         hashed.agg(F.collect_list(F.struct(*KEY_COLUMNS)).alias("_tuples")), "uncovered"
     )
 
@@ -216,9 +218,7 @@ def return_uncovered(df: DataFrame, flag: str, within: Column | None = None) ->
         kept = out & ~F.coalesce(hit, F.lit(False))
         return met.withColumn(flag, kept).drop("_h", "_tuples")
 
-    if n <= BROADCAST_ROWS:
-        return repaired(df)
-    return df.filter(~out).unionByName(repaired(df.filter(out)))
+    return repaired(df)
 
 
 def split_with_coverage(df: DataFrame, p: Params, bucket: Column | None = None) -> DataFrame:

@@ -6,17 +6,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.params import Params
-from lotwise.workspace import spread
 
 # shipping years run from 1995 to 2001
 TPCH_PARAMS = Params(min_year=1995, age_year=2002, order_buckets=10_007)
 
 
 def listings(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
-    """``spread_out`` puts a single-row-group test file on all cores before it is stored."""
+    """``spread_out``: a caller's choice for tables in fewer files than there are cores."""
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").drop("l_discount", "l_tax")
     if spread_out:
-        lineitem = spread(lineitem, "l_orderkey", "l_linenumber")
+        lineitem = lineitem.repartition("l_orderkey", "l_linenumber")
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
         "p_partkey", "p_brand", "p_type", "p_size"
     )

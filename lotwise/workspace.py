@@ -2,7 +2,7 @@
 
 A fitted table is written once and read back, for two reasons: its lineage is cut on
 storage that outlives any executor, and its size is known before it is joined. A lookup
-table is broadcast only if its counted rows are within ``BROADCAST_ROWS``; beyond that
+table is broadcast only if its measured bytes are within ``BROADCAST_BYTES``; beyond that
 the planner joins by shuffle, where adaptive execution splits skewed keys.
 """
 
@@ -10,23 +10,32 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# lookup rows are one text key and at most ten numbers: 500,000 rows are about 100 MB
-BROADCAST_ROWS = 500_000
+# most bytes of a table that is sent to every executor
+BROADCAST_BYTES = 64 << 20
 
 _CONF = "spark.checkpoint.dir"
+_LOCAL: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where it is unset, a local one."""
-    root = spark.conf.get(_CONF, None) or spark.sparkContext.getConf().get(_CONF)
+    """The folder in ``spark.checkpoint.dir``.
+
+    Where it is unset, a session in one process (``local[...]``, as in tests) gets a
+    temporary folder; on a cluster no folder of one machine would do, so that is an error.
+    """
+    context = spark.sparkContext
+    root = spark.conf.get(_CONF, None) or context.getConf().get(_CONF)
     if not root:
-        root = tempfile.mkdtemp(prefix="lotwise-")
-        spark.conf.set(_CONF, root)
-        spark.sparkContext.setCheckpointDir(root)
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError(f"set {_CONF} to a folder that the driver and all executors share")
+        root = _LOCAL.setdefault(context.applicationId, tempfile.mkdtemp(prefix="lotwise-"))
     return root.rstrip("/")
 
 
@@ -34,17 +43,54 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/lotwise/{uuid.uuid4().hex}/{name}"
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`stored` writes inside the block are deleted at its end."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            drop_path(spark, path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh shared path and return the table read back from it."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_broadcast(table: DataFrame, rows: int) -> DataFrame:
-    """``table`` marked for broadcast if its counted ``rows`` are few enough."""
-    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row in memory: what varies is measured."""
+    fixed, parts = 0, []
+    for field in df.schema.fields:
+        kind = field.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)))
+            fixed += 16
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{field.name}`")))), F.lit(0)))
+            fixed += 32
+        else:
+            fixed += 16
+    return sum((p.cast("bigint") for p in parts), F.lit(fixed).cast("bigint"))
+
+
+def bounded_broadcast(table: DataFrame, size: int) -> DataFrame:
+    """``table`` marked for broadcast if its measured ``size`` in bytes is small enough."""
+    return F.broadcast(table) if size <= BROADCAST_BYTES else table
 
 
 def stored_lookup(df: DataFrame, name: str) -> DataFrame:
@@ -53,17 +99,11 @@ def stored_lookup(df: DataFrame, name: str) -> DataFrame:
 
 
 def stored_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """The stored lookup table and its number of rows, counted while it is written."""
+    """The stored lookup table and its number of rows, measured while it is written."""
     seen = Observation()
-    table = stored(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
-    rows = seen.get["n"]
-    return bounded_broadcast(table, rows), rows
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """A scan that fills fewer tasks than there are cores is spread over all of them.
-
-    Many-file tables have more partitions than cores and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    watched = df.observe(
+        seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")
+    )
+    table = stored(watched, name)
+    found = seen.get
+    return bounded_broadcast(table, found["b"]), found["n"]

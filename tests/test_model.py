@@ -179,7 +179,7 @@ def test_shuffle_join_scores_the_same(data, monkeypatch):
     from lotwise import workspace
 
     one = {r["id"]: r["pred3"] for r in scoring.score(data[1], effects.fit(data[1], P), P).collect()}
-    monkeypatch.setattr(workspace, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(workspace, "BROADCAST_BYTES", -1)
     spark = data[1].sparkSession
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:

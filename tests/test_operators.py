@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lotwise import workspace
 from lotwise.operators import profile, rank, split
 from lotwise.operators.quantiles import exact_quantiles
 from lotwise.params import Params
@@ -127,7 +128,7 @@ def test_rows_with_one_id_stay_together(spark):
 def test_repair_is_the_same_without_broadcast(spark, monkeypatch):
     df = _listings(spark, 500)
     one = {(r["id"], r["split"]) for r in split.split_with_coverage(df, P).collect()}
-    monkeypatch.setattr(split, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(workspace, "BROADCAST_BYTES", -1)
     two = {(r["id"], r["split"]) for r in split.split_with_coverage(df, P).collect()}
     assert one == two
 
