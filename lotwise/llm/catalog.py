@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import simhash
+from lotwise.llm import decontaminate, simhash
 from lotwise.llm.common import table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,51 @@ def hexed(column: str) -> Column:
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))
 
 
+@query
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        F.col("found.n_words").alias("n_words"),
+        decontaminate.hit_words("found").alias("n_hit"),
+        F.size("found.items").cast("bigint").alias("n_items"),
+        decontaminate.digest_of_items("found").alias("items_sha256"),
+        decontaminate.contaminated("found").alias("contaminated"),
+    )
+
+
+_SQL["op2_benchmark_decontamination"] = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(13, len(w)) AS k, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS t
+    FROM b, range(1, greatest(1, len(w) - 12) + 1) r(i) WHERE len(w) > 0
+), spots AS (
+    SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d
+), met AS (
+    SELECT s.doc_id, s.i, x.k, x.item_id
+    FROM (SELECT doc_id, w, i, k FROM spots, (SELECT DISTINCT k FROM windows) WHERE i + k - 1 <= len(w)) s
+    JOIN windows x ON x.k = s.k AND x.t = array_to_string(s.w[s.i:s.i + s.k - 1], ' ')
+), hit AS (
+    SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM met) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM met) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(items.names, '')) AS items_sha256,
+    coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 @query
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
