@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import decontaminate, simhash
-from lotwise.llm.common import table
+from lotwise.llm import decontaminate, language, simhash, toxicity
+from lotwise.llm.common import fold, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -32,6 +32,15 @@ def hexed(column: str) -> Column:
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    model = language.train(docs.filter(~held_out))
+    read = docs.select("doc_id", held_out.alias("held_out"), language.predict(spark, F.col("text"), model).alias("p"))
+    return read.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
+
+
 @query
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -83,3 +92,13 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), hexed("fp").alias("fingerprint"), F.col("component").alias("component_id")
     )
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    model = toxicity.train(docs.filter(~held_out), labels.filter(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
