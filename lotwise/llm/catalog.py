@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import decontaminate, language, simhash, toxicity
+from lotwise.llm import decontaminate, language, mixing, simhash, toxicity
 from lotwise.llm.common import fold, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs.filter(~held_out), labels.filter(~held_out))
     scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = mixing.with_copies(docs, mixing.plan(docs), name="mix")
+    return found.select(
+        "doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.copies") * F.col("mix.size")).alias("taken")
+    )
