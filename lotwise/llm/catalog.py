@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import decontaminate, language, mixing, simhash, toxicity
+from lotwise.llm import decontaminate, hilbert, language, mixing, simhash, toxicity
 from lotwise.llm.common import fold, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,6 +104,20 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+@query
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    found = hilbert.placed(docs, keep={"text_crc32": crc})
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *("size", "text_crc32"),
+        F.lit("bytes").alias("law"),
+        *("shard", "slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
