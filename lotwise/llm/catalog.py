@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import chat, decontaminate, hilbert, language, mixing, quality, simhash, toxicity
+from lotwise.llm import chat, decontaminate, hilbert, language, mixing, quality, simhash, toxicity, warc
 from lotwise.llm.common import fold, table
 from lotwise.workspace import stored
 
@@ -96,6 +96,26 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[f"quality.{x}" for x in columns])
 
 
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"))
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return warc.read_archives(manifest).select(*columns)
+
+
+_SQL["op4_warc"] = """
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages
+), m AS (
+    SELECT *, max(page_id) OVER (PARTITION BY n, d) AS first FROM p
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+    CASE WHEN n >= 1000 AND page_id < first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 1000 AND page_id < first THEN first END AS refers_to
+FROM m
+"""
+
+
 @query
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
