@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import chat, decontaminate, hilbert, language, mixing, quality, simhash, toxicity, warc
+from lotwise.llm import chat, decontaminate, hilbert, language, mixing, paragraphs, quality, simhash, toxicity, warc
 from lotwise.llm.common import fold, table
 from lotwise.workspace import stored
 
@@ -116,6 +116,12 @@ FROM m
 """
 
 
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = paragraphs.by_document(paragraphs.repeats(table(spark, sf_dir, "documents")))
+    return found.select(F.col("id").alias("doc_id"), "repeated_words", "removed_words", "kept_ids")
+
+
 @query
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
