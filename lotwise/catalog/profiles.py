@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from lotwise.catalog import sql as S
 from lotwise.catalog.registry import query
 from lotwise.catalog.scalars import NTH_MAKE_SQL
-from lotwise.catalog.study import P, r
+from lotwise.catalog.rounding import r
+from lotwise.catalog.study import P
 from lotwise.operators import filters, groups, profile, rank
 from lotwise.plans.evaluate import metrics_log, rmse_ladder, stage_errors, validation_score
 from lotwise.plans.scoring import score
+from lotwise.workspace import stored
 
 c = F.col
 
@@ -43,7 +45,7 @@ def _(s):
 @query(
     "make_share",
     S.KEEP
-    + """SELECT make, n, round(share + 0.0000000317, 6) AS share FROM (SELECT make, count(*) AS n,
+    + """SELECT make, n, rounded(share, 6) AS share FROM (SELECT make, count(*) AS n,
     count(*) / (SELECT count(*) FROM kept) * 100 AS share FROM kept GROUP BY make) WHERE share > 3""",
 )
 def _(s):
@@ -75,7 +77,7 @@ def _(s):
 
 @query(
     "mean_price_by_age",
-    S.KEEP + "SELECT CAST(2002 - year AS INT) AS car_age, round(avg(price) + 0.000317, 2) AS mean_price FROM kept GROUP BY 1",
+    S.KEEP + "SELECT CAST(2002 - year AS INT) AS car_age, rounded(avg(price), 2) AS mean_price FROM kept GROUP BY 1",
 )
 def _(s):
     return profile.mean_price_by_age(s.kept, P).withColumn("mean_price", r("mean_price"))
@@ -94,8 +96,8 @@ def _histogram_sql(rows: str, value: str, bins: int) -> str:
 ends AS (SELECT min({value}) AS lo, max({value}) AS hi FROM {rows}),
 slots AS (SELECT least(CAST(floor({bins} * ({value} - lo) / (hi - lo)) AS INT) + 1, {bins}) AS bin,
   count(*) AS n FROM {rows}, ends GROUP BY 1),
-hist AS (SELECT CAST(g.bin AS INT) AS bin, round(lo + (g.bin - 1) * ((hi - lo) / {bins}) + 0.00000317, 4) AS bin_from,
-  round(lo + g.bin * ((hi - lo) / {bins}) + 0.00000317, 4) AS bin_to, coalesce(n, 0) AS n
+hist AS (SELECT CAST(g.bin AS INT) AS bin, rounded(lo + (g.bin - 1) * ((hi - lo) / {bins}), 4) AS bin_from,
+  rounded(lo + g.bin * ((hi - lo) / {bins}), 4) AS bin_to, coalesce(n, 0) AS n
   FROM range(1, {bins} + 1) g(bin) LEFT JOIN slots USING (bin), ends)"""
 
 
@@ -115,15 +117,9 @@ def _rounded_bins(df):
     + """ SELECT 'all' AS chart, * FROM all_hist UNION ALL SELECT 'capped', * FROM cap_hist""",
 )
 def _(s):
-    charts = {
-        "all": filters.filter_positive_price(s.cleaned),
-        "capped": filters.filter_price_cap(s.cleaned, P),
-    }
-    parts = [
-        _rounded_bins(profile.histogram(df, "price", 40)).withColumn("chart", F.lit(name))
-        for name, df in charts.items()
-    ]
-    return parts[0].unionByName(parts[1])
+    charts = {"all": c("price") > 0, "capped": c("price") < P.price_cap}
+    prices = stored(s.cleaned.select("price"), "prices")
+    return _rounded_bins(profile.histograms(prices, "price", 40, charts))
 
 
 @query(
@@ -183,7 +179,7 @@ def _summary_sql(rows: str, value: str, name: str) -> str:
         "nulls": f"CAST(count(*) FILTER ({value} IS NULL) AS DOUBLE)",
     }
     return " UNION ALL ".join(
-        f"SELECT '{name}' AS what, '{k}' AS stat, round({v} + 0.000317, 2) AS value FROM {rows}" for k, v in stats.items()
+        f"SELECT '{name}' AS what, '{k}' AS stat, rounded({v}, 2) AS value FROM {rows}" for k, v in stats.items()
     )
 
 
@@ -237,7 +233,7 @@ def _(s):
 
 @query(
     "trim_mean_year",
-    S.KEEP + "SELECT id, round(avg(year) OVER (PARTITION BY trim_key) + 0.0000000317, 6) AS avg_ymmt FROM kept",
+    S.KEEP + "SELECT id, rounded(avg(year) OVER (PARTITION BY trim_key), 6) AS avg_ymmt FROM kept",
 )
 def _(s):
     return groups.with_trim_means(s.kept_table).select("id", r("avg_ymmt", 6).alias("avg_ymmt"))
@@ -245,7 +241,7 @@ def _(s):
 
 @query(
     "trim_mean_price",
-    S.KEEP + "SELECT id, round(avg(price) OVER (PARTITION BY trim_key) + 0.000317, 2) AS price_pmmt FROM kept",
+    S.KEEP + "SELECT id, rounded(avg(price) OVER (PARTITION BY trim_key), 2) AS price_pmmt FROM kept",
 )
 def _(s):
     return groups.with_trim_means(s.kept_table).select("id", r("price_pmmt").alias("price_pmmt"))
@@ -255,7 +251,7 @@ def _(s):
     "year_mean_mileage",
     S.KEEP
     + """SELECT id, CASE WHEN count(mileage) OVER w = count(*) OVER w
-    THEN round(avg(mileage) OVER w + 1 + 0.000317, 2) END AS avg_mileage FROM kept WINDOW w AS (PARTITION BY year)""",
+    THEN rounded(avg(mileage) OVER w + 1, 2) END AS avg_mileage FROM kept WINDOW w AS (PARTITION BY year)""",
 )
 def _(s):
     return groups.with_year_means(s.kept_table).select("id", r("avg_mileage").alias("avg_mileage"))
@@ -263,18 +259,18 @@ def _(s):
 
 @query(
     "year_mean_price",
-    S.KEEP + "SELECT id, round(avg(price) OVER (PARTITION BY year) + 0.000317, 2) AS price_pmmty FROM kept",
+    S.KEEP + "SELECT id, rounded(avg(price) OVER (PARTITION BY year), 2) AS price_pmmty FROM kept",
 )
 def _(s):
     return groups.with_year_means(s.kept_table).select("id", r("price_pmmty").alias("price_pmmty"))
 
 
-@query("tbl_trim_mean_year", S.KEEP + "SELECT trim_key, round(avg(year) + 0.0000000317, 6) AS avg_ymmt FROM kept GROUP BY 1")
+@query("tbl_trim_mean_year", S.KEEP + "SELECT trim_key, rounded(avg(year), 6) AS avg_ymmt FROM kept GROUP BY 1")
 def _(s):
     return groups.trim_mean_year_table(s.kept).withColumn("avg_ymmt", r("avg_ymmt", 6))
 
 
-_TIER = "CASE WHEN count(mileage_range) {w} = count(*) {w} THEN round(avg(mileage_range) {w} + 0.000317, 2) END"
+_TIER = "CASE WHEN count(mileage_range) {w} = count(*) {w} THEN rounded(avg(mileage_range) {w}, 2) END"
 
 
 @query(
@@ -295,14 +291,14 @@ def _(s):
     return groups.mileage_tier_table(s.kept).withColumn("avg_mileage_range", r("avg_mileage_range"))
 
 
-@query("tbl_trim_mean_price", S.KEEP + "SELECT trim_key, round(avg(price) + 0.000317, 2) AS price_pmmt FROM kept GROUP BY 1")
+@query("tbl_trim_mean_price", S.KEEP + "SELECT trim_key, rounded(avg(price), 2) AS price_pmmt FROM kept GROUP BY 1")
 def _(s):
     return groups.trim_mean_price_table(s.kept).withColumn("price_pmmt", r("price_pmmt"))
 
 
 @query(
     "tbl_trim_year_mean_price",
-    S.KEEP + "SELECT trim_key, year, round(avg(price) + 0.000317, 2) AS price_pmmty FROM kept GROUP BY 1, 2",
+    S.KEEP + "SELECT trim_key, year, rounded(avg(price), 2) AS price_pmmty FROM kept GROUP BY 1, 2",
 )
 def _(s):
     return groups.trim_year_price_table(s.kept).withColumn("price_pmmty", r("price_pmmty"))
@@ -312,7 +308,7 @@ def _(s):
     "tbl_trim_year_mean_mileage",
     S.KEEP
     + """SELECT trim_key, year, CASE WHEN count(mileage) = count(*)
-    THEN round(avg(mileage) + 1 + 0.000317, 2) END AS avg_mileage FROM kept GROUP BY 1, 2""",
+    THEN rounded(avg(mileage) + 1, 2) END AS avg_mileage FROM kept GROUP BY 1, 2""",
 )
 def _(s):
     return groups.trim_year_mileage_table(s.kept).withColumn("avg_mileage", r("avg_mileage"))
@@ -323,8 +319,8 @@ def _(s):
     S.SCORED
     + """, means AS (SELECT id, price_pmmt, CASE WHEN count(pred3) OVER w = count(*) OVER w
       THEN avg(pred3) OVER w END AS mean FROM scored WINDOW w AS (PARTITION BY trim_key))
-    SELECT id, round(mean + 0.000317, 2) AS pred3_pmmt, round(price_pmmt - mean + 0.000317, 2) AS pmmt_difference,
-      round((price_pmmt - mean) / price_pmmt * 100 + 0.00000317, 4) AS pmmt_absolute FROM means""",
+    SELECT id, rounded(mean, 2) AS pred3_pmmt, rounded(price_pmmt - mean, 2) AS pmmt_difference,
+      rounded((price_pmmt - mean) / price_pmmt * 100, 4) AS pmmt_absolute FROM means""",
 )
 def _(s):
     out = groups.with_trim_prediction_mean(s.scored)
@@ -358,9 +354,9 @@ def _(s):
     weighed AS (SELECT *, CASE WHEN h = 0 THEN 1.0::DOUBLE ELSE pow(1 - pow(CAST(d AS DOUBLE) / h, 3), 3) END AS w FROM used),
     sums AS (SELECT car_age, mean_price, sum(w) AS s, sum(w * x) AS sx, sum(w * y) AS sy,
       sum(w * x * x) AS sxx, sum(w * x * y) AS sxy FROM weighed GROUP BY 1, 2)
-    SELECT CAST(car_age AS INT) AS car_age, round(mean_price + 0.000317, 2) AS mean_price,
-      round(CASE WHEN s * sxx - sx * sx > 1e-9
-        THEN (sy - (s * sxy - sx * sy) / (s * sxx - sx * sx) * sx) / s ELSE sy / s END + 0.000317, 2) AS smoothed FROM sums""",
+    SELECT CAST(car_age AS INT) AS car_age, rounded(mean_price, 2) AS mean_price,
+      rounded(CASE WHEN s * sxx - sx * sx > 1e-9
+        THEN (sy - (s * sxy - sx * sy) / (s * sxx - sx * sx) * sx) / s ELSE sy / s END, 2) AS smoothed FROM sums""",
 )
 def _(s):
     out = profile.loess_mean_price(profile.mean_price_by_age(s.kept_table, P), span=0.75)
@@ -383,7 +379,7 @@ def _(s):
 # --- sorts, top-k, set operations --------------------------------------------------
 
 
-@query("sort_trim_gap", S.SCORED + "SELECT trim_key, round(l_gap + 0.00000317, 4) AS l_gap, id FROM scored ORDER BY 1, 2 DESC, 3")
+@query("sort_trim_gap", S.SCORED + "SELECT trim_key, rounded(l_gap, 4) AS l_gap, id FROM scored ORDER BY 1, 2 DESC, 3")
 def _(s):
     rows = s.scored.select("trim_key", r("l_gap", 4).alias("l_gap"), "id")
     return rank.sort_trim_gap(rows, "l_gap")
@@ -392,7 +388,7 @@ def _(s):
 @query(
     "top_n_per_trim",
     S.KEEP
-    + """, gaps AS (SELECT id, trim_key, round((avg(price) OVER (PARTITION BY trim_key) - price) / price * 100 + 0.00000317, 4)
+    + """, gaps AS (SELECT id, trim_key, rounded((avg(price) OVER (PARTITION BY trim_key) - price) / price * 100, 4)
       AS gap FROM kept)
     SELECT * FROM gaps QUALIFY rank() OVER (PARTITION BY trim_key ORDER BY gap DESC) <= 2""",
 )
@@ -468,12 +464,12 @@ LADDER_SQL = (
         f" UNION ALL SELECT {i}, '{label}', 'test', {_rmse_sql(col, 'test')}"
         for i, (label, col) in enumerate(_STAGES, 1)
     )
-    + """), ladder AS (SELECT CAST(stage AS INT) AS stage, method AS method_on_train_test, split, round(rmse + 0.000317, 2) AS rmse,
-    round(coalesce(lag(rmse) OVER (ORDER BY stage) - rmse, 0) + 0.000317, 2) AS improvement FROM errors),
+    + """), ladder AS (SELECT CAST(stage AS INT) AS stage, method AS method_on_train_test, split, rounded(rmse, 2) AS rmse,
+    rounded(coalesce(lag(rmse) OVER (ORDER BY stage) - rmse, 0), 2) AS improvement FROM errors),
     validation AS (SELECT 'Method 01 - Linear Regression' AS method_on_validation, 'validation' AS split,
     """
-    + f"round({_rmse_sql('pred3', 'validation')} + 0.000317, 2) AS rmse, "
-    + f"round({_rmse_sql('pred3', 'test')} - {_rmse_sql('pred3', 'validation')} + 0.000317, 2) AS improvement) "
+    + f"rounded({_rmse_sql('pred3', 'validation')}, 2) AS rmse, "
+    + f"rounded({_rmse_sql('pred3', 'test')} - {_rmse_sql('pred3', 'validation')}, 2) AS improvement) "
 )
 
 
@@ -509,7 +505,33 @@ def _(s):
 
 @query(
     "missing_years",
-    S.KEEP + "SELECT DISTINCT year FROM cleaned WHERE year NOT IN (SELECT year FROM kept)",
+    S.KNOWN + "SELECT DISTINCT year FROM fresh WHERE year NOT IN (SELECT year FROM known WHERE year < 2001)",
+)
+def _(s):
+    # as if trained a year earlier, so that the fresh listings have a year it never saw
+    return rank.missing_years(s.fresh, s.known.filter(c("year") < 2001))
+
+
+@query(
+    "mileage_outliers_by_year",
+    S.KEEP
+    + """, m AS (SELECT year, mileage FROM kept WHERE mileage <= 650000),
+    q AS (SELECT year, quantile_cont(mileage, 0.25) AS q1, quantile_cont(mileage, 0.75) AS q3 FROM m GROUP BY year)
+    SELECT year, mileage, count(*) AS n FROM m JOIN q USING (year)
+    WHERE mileage NOT BETWEEN q1 - (q3 - q1) * 1.5 AND q3 + (q3 - q1) * 1.5 GROUP BY ALL""",
 )
 def _(s):
-    return rank.missing_years(s.cleaned, s.kept)
+    return profile.mileage_outliers_by_year(s.kept_table, P)
+
+
+@query(
+    "year_mileage_correlation",
+    S.KEEP + "SELECT rounded(corr(year, mileage), 6) AS correlation FROM kept WHERE mileage <= 650000",
+)
+def _(s):
+    return profile.year_mileage_correlation(s.kept, P).select(r("correlation", 6).alias("correlation"))
+
+
+@query("head_rows", S.KEEP + "SELECT id, price FROM kept ORDER BY price, id LIMIT 6")
+def _(s):
+    return profile.head_rows(s.kept.select("id", "price"), 6, "price", "id")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from lotwise.catalog import sql as S
 from lotwise.catalog.registry import query
-from lotwise.catalog.study import P, r
+from lotwise.catalog.rounding import r
+from lotwise.catalog.study import P
 from lotwise.functions import clean, display, keys
 from lotwise.operators import filters
 from lotwise.operators.profile import nth_most_frequent_make
@@ -16,14 +17,27 @@ from lotwise.sources.listings import drop_column
 c = F.col
 
 
-@query("clean_mileage", S.CLEAN + "SELECT id, mileage FROM cleaned")
+# junk that a cast alone would take for a number, put into some of the rows
+_JUNK = ["12f", "12d", "NaN", "Infinity", "1e3x", "", "-", "1.5.2"]
+
+
+def _messy(text):
+    """``text`` with junk in every row whose likes are below the number of junk texts."""
+    junk = F.element_at(F.array(*[F.lit(x) for x in _JUNK]), c("likes").cast("int") + 1)
+    return F.when(c("likes") < len(_JUNK), junk).otherwise(text)
+
+
+_CLEAN_ROWS = f"CASE WHEN likes >= {len(_JUNK)} THEN"
+
+
+@query("clean_mileage", S.CLEAN + f"SELECT id, {_CLEAN_ROWS} mileage END AS mileage FROM cleaned")
 def _(s):
-    return s.raw.select("id", clean.clean_mileage(c("mileage_raw")).alias("mileage"))
+    return s.raw.select("id", clean.clean_mileage(_messy(c("mileage_raw"))).alias("mileage"))
 
 
-@query("clean_price", S.CLEAN + "SELECT id, price FROM cleaned")
+@query("clean_price", S.CLEAN + f"SELECT id, {_CLEAN_ROWS} price END AS price FROM cleaned")
 def _(s):
-    return s.raw.select("id", clean.clean_price(c("price_raw")).alias("price"))
+    return s.raw.select("id", clean.clean_price(_messy(c("price_raw"))).alias("price"))
 
 
 @query(
@@ -44,7 +58,7 @@ def _(s):
     return s.raw.select("id", clean.parse_date_sold(c("time")).alias("date_sold"))
 
 
-@query("parse_posted_hours", S.CLEAN + "SELECT id, round(posted_time + 0.0000000317, 6) AS posted_time FROM cleaned")
+@query("parse_posted_hours", S.CLEAN + "SELECT id, rounded(posted_time, 6) AS posted_time FROM cleaned")
 def _(s):
     return s.raw.select("id", r(clean.parse_posted_hours(c("time")), 6).alias("posted_time"))
 
@@ -91,11 +105,11 @@ def _(s):
 
 
 _EXPORT_SQL = """id AS "Id", link AS "Link", make AS "Make", model_key AS "Model", trim_key AS "Trim",
-  year AS "Year", price AS "Price", mileage AS "Mileage", round(pred3 + 0.000317, 2) AS "L_Predicted_Price",
-  round(l_gap + 0.00000317, 4) AS "L_Price_Gap_Percentage", round(avg_ymmt + 0.00000317, 4) AS "Average_Year_per_Trim",
-  round(avg_mileage_range_lr + 0.000317, 2) AS "Average_Milerange_per_Trim_Year_LR",
-  round(price_pmmt + 0.000317, 2) AS "Average_Price_per_Trim", round(year_effect + 0.000317, 2) AS "Year_Effect",
-  round(mileage_effect + 0.000317, 2) AS "Mileage_Effect" """
+  year AS "Year", price AS "Price", mileage AS "Mileage", rounded(pred3, 2) AS "L_Predicted_Price",
+  rounded(l_gap, 4) AS "L_Price_Gap_Percentage", rounded(avg_ymmt, 4) AS "Average_Year_per_Trim",
+  rounded(avg_mileage_range_lr, 2) AS "Average_Milerange_per_Trim_Year_LR",
+  rounded(price_pmmt, 2) AS "Average_Price_per_Trim", rounded(year_effect, 2) AS "Year_Effect",
+  rounded(mileage_effect, 2) AS "Mileage_Effect" """
 
 # decimals compared per export column
 EXPORT_DIGITS = {
@@ -178,7 +192,7 @@ def _(s):
     return coded.select("id", "make_code", "model_key_code")
 
 
-@query("abs_diff", S.SCORED + "SELECT id, round(absolute_difference + 0.000317, 2) AS absolute_difference FROM scored")
+@query("abs_diff", S.SCORED + "SELECT id, rounded(absolute_difference, 2) AS absolute_difference FROM scored")
 def _(s):
     return s.scored.select("id", r("absolute_difference").alias("absolute_difference"))
 
@@ -228,12 +242,12 @@ def _(s):
 _FULL_SQL = "listing_count > 10 AND l_gap > 20 AND date_sold = '' AND mileage < 80000"
 
 
-@query("deal_filter_full", S.SCORED + f"SELECT id, round(l_gap + 0.00000317, 4) AS l_gap FROM scored WHERE {_FULL_SQL}")
+@query("deal_filter_full", S.SCORED + f"SELECT id, rounded(l_gap, 4) AS l_gap FROM scored WHERE {_FULL_SQL}")
 def _(s):
     return filters.deal_filter_full(s.scored, P).select("id", r("l_gap", 4).alias("l_gap"))
 
 
-@query("deal_filter_recent", S.RECENT + "SELECT id, round(l_gap + 0.00000317, 4) AS l_gap FROM scored WHERE l_gap > 10")
+@query("deal_filter_recent", S.RECENT + "SELECT id, rounded(l_gap, 4) AS l_gap FROM scored WHERE l_gap > 10")
 def _(s):
     return filters.deal_filter_recent(s.fresh_scored, P).select("id", r("l_gap", 4).alias("l_gap"))
 

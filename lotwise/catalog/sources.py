@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from lotwise.catalog import sql as S
 from lotwise.catalog.registry import query
-from lotwise.catalog.study import P, r
+from lotwise.catalog.rounding import r
+from lotwise.catalog.study import P
 from lotwise.functions.keys import with_keys
 from lotwise.operators.groups import left_lookup
 from lotwise.operators.profile import count_by
-from lotwise.operators.rank import missing_trims
+from lotwise.operators.rank import missing_trims, union_rows
 from lotwise.plans import deals
 from lotwise.plans.effects import PriceModel
 from lotwise.plans.scoring import score
@@ -53,11 +54,25 @@ keyed_cars AS (SELECT *, make || '-' || model AS model_key, 0 AS price,
 _TYPED = "id, make, model, trim, year, price, mileage, cylinder, gear_type, personal, likes, date_sold"
 
 
-@query("scan_listings_csv", S.CLEAN + f"SELECT {_TYPED} FROM cleaned")
+# texts that a CSV file may lose: blanks, line breaks, quotes, what stands for missing
+_HARD = [" x ", "a\nb", 'say "a, b"', "", "a\r\nb", "\t", "NA", "\\NA"]
+_HARD_SQL = "[' x ', 'a' || chr(10) || 'b', 'say \"a, b\"', '', 'a' || chr(13) || chr(10) || 'b', chr(9), 'NA', '\\NA']"
+
+
+def _hard_text(n: int = len(_HARD)):
+    return F.get(F.array(*[F.lit(x) for x in _HARD[:n]]), F.col("likes").cast("int"))
+
+
+@query(
+    "scan_listings_csv",
+    S.CLEAN
+    + f"""SELECT {_TYPED.replace("trim,", "hard AS trim,")}
+    FROM (SELECT *, {_HARD_SQL}[1:6][CAST(likes AS INT) + 1] AS hard FROM cleaned)""",
+)
 def _(s):
     path = new_path(s.spark, "listings_csv")
     names = {ours: theirs for theirs, ours in RAW_COLUMNS.items()}
-    raw = s.raw.withColumn("car", F.lit(""))
+    raw = s.raw.withColumns({"car": F.lit(""), "trim": _hard_text(6)})
     sinks.sink_csv(raw.select(*[F.col(c).alias(n) for c, n in names.items()]), path)
     return clean_listings(scan_listings_csv(s.spark, path), P).select(*_TYPED.split(", "))
 
@@ -74,10 +89,13 @@ def _(s):
     return known.select("trim_key", "year", "mileage", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("sink_csv", S.KEEP + "SELECT id, model_key, year, price, mileage FROM kept")
+@query(
+    "sink_csv",
+    S.KEEP + f"SELECT id, {_HARD_SQL}[CAST(likes AS INT) + 1] AS note, model_key, year, price, mileage FROM kept",
+)
 def _(s):
     path = new_path(s.spark, "kept_csv")
-    rows = s.kept.select("id", "model_key", "year", "price", "mileage")
+    rows = s.kept.select("id", _hard_text().alias("note"), "model_key", "year", "price", "mileage")
     sinks.sink_csv(rows, path)
     return sinks.read_back_csv(s.spark, path, rows.schema)
 
@@ -92,7 +110,7 @@ def _(s):
     return back.select(run.alias("run_id"), "id", "price")
 
 
-@query("effect_table_store", S.SCORED + "SELECT id, round(pred3 + 0.000317, 2) AS pred3 FROM scored")
+@query("effect_table_store", S.SCORED + "SELECT id, rounded(pred3, 2) AS pred3 FROM scored")
 def _(s):
     path = new_path(s.spark, "model")
     s.model.save(path)
@@ -103,35 +121,43 @@ def _(s):
 @query(
     "four_exports",
     S.RECENT
-    + """SELECT '_Export_full' AS file, count(*) AS n FROM scored
-    UNION ALL SELECT '_Export_Formated', count(*) FROM scored
-    UNION ALL SELECT '_Export_Formated_Filtered', count(*) FROM scored WHERE l_gap > 10
-    UNION ALL SELECT '_Export_missing',
-      (SELECT count(DISTINCT trim_key) FROM fresh WHERE trim_key NOT IN (SELECT trim_key FROM known))""",
+    + """SELECT '_Export_full' AS file, id, CAST(CAST(price AS BIGINT) AS VARCHAR) AS price,
+      CAST(CAST(mileage AS BIGINT) AS VARCHAR) AS mileage, date_sold AS note FROM scored
+    UNION ALL SELECT '_Export_Formated', id, format('{:,}', CAST(price AS BIGINT)),
+      format('{:,}', CAST(mileage AS BIGINT)), date_sold FROM scored
+    UNION ALL SELECT '_Export_Formated_Filtered', id, format('{:,}', CAST(price AS BIGINT)),
+      format('{:,}', CAST(mileage AS BIGINT)), NULL FROM scored WHERE l_gap > 10
+    UNION ALL SELECT DISTINCT '_Export_missing', trim_key, NULL, NULL, NULL FROM fresh
+      WHERE trim_key NOT IN (SELECT trim_key FROM known)""",
 )
 def _(s):
     from lotwise.workspace import stored
 
     scored = stored(deals.scored_recent(s.fresh, s.known_model, P), "fresh_scored")
     shown = deals.formatted(deals.select_rename(scored, deals.FULL_LINEAR_COLUMNS))
-    paths = sinks.export_run(
-        new_path(s.spark, "exports"),
-        RUN,
-        full=scored,
-        formatted=shown,
-        filtered=deals.formatted(deals.deals_recent_linear(scored, P)),
-        missing=missing_trims(s.fresh, s.known).withColumnRenamed("trim_key", "x"),
-    )
-    counts = [
-        s.spark.read.option("header", True).csv(path).agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("file"), "n"
-        )
-        for name, path in paths.items()
+    tables = {
+        "full": scored,
+        "formatted": shown,
+        "filtered": deals.formatted(deals.deals_recent_linear(scored, P)),
+        "missing": missing_trims(s.fresh, s.known).withColumnRenamed("trim_key", "x"),
+    }
+    paths = sinks.export_run(new_path(s.spark, "exports"), RUN, **tables)
+    files = [
+        (name, sinks.read_back_csv(s.spark, path, df.schema)) for (name, path), df in zip(paths.items(), tables.values())
+    ]
+    none = F.lit(None).cast("string")
+    whole = lambda name: F.col(name).cast("bigint").cast("string")
+    columns = [
+        ("id", whole("price"), whole("mileage"), F.col("date_sold")),
+        ("Id", F.col("Price"), F.col("Mileage"), F.col("Date_sold")),
+        ("Id", F.col("Price"), F.col("Mileage"), none),
+        ("x", none, none, none),
+    ]
+    parts = [
+        df.select(F.lit(name).alias("file"), F.col(key).alias("id"), price.alias("price"), mileage.alias("mileage"), note.alias("note"))
+        for (name, df), (key, price, mileage, note) in zip(files, columns)
     ]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    return union_rows(*parts)
 
 
 @query("split_sets_store", S.SPLIT + "SELECT id, split FROM split")

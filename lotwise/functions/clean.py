@@ -14,13 +14,21 @@ DATE_IN = "d/M/yyyy"
 DATE_OUT = "dd-MMM-yyyy"
 
 
+# a plain decimal number; a cast alone would also take NaN, Infinity and the suffixes f and d
+NUMBER_SHAPE = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def number(c: Column) -> Column:
+    return F.when(c.rlike(NUMBER_SHAPE), c.try_cast("double"))
+
+
 def _without(c: Column, text: str) -> Column:
     return F.replace(c, F.lit(text), F.lit(""))
 
 
 def plain_number(c: Column) -> Column:
     """Text with thousands commas to double."""
-    return _without(c, ",").try_cast("double")
+    return number(_without(c, ","))
 
 
 def clean_mileage(c: Column) -> Column:
@@ -33,7 +41,7 @@ def clean_price(c: Column) -> Column:
 
 def cast_cylinder(c: Column) -> Column:
     """To integer through double, so ``6.0`` is read as 6."""
-    return c.cast("string").try_cast("double").try_cast("int")
+    return number(c.cast("string")).try_cast("int")
 
 
 def sold_date(time: Column) -> Column:
@@ -55,8 +63,8 @@ def parse_posted_hours(time: Column, singular: bool = False) -> Column:
     hours, minutes = _without(time, HOURS_SUFFIX), _without(time, MINUTES_SUFFIX)
     if singular:
         hours, minutes = _without(hours, " hour ago"), _without(minutes, " minute ago")
-    return F.when(time.contains("minute"), minutes.try_cast("double") / 60).when(
-        time.contains("hour"), hours.try_cast("double")
+    return F.when(time.contains("minute"), number(minutes) / 60).when(
+        time.contains("hour"), number(hours)
     )
 
 

@@ -35,8 +35,10 @@ def same(left: Column, right: Column) -> Column:
 
 
 def all_of(conditions) -> Column:
-    return reduce(lambda x, y: x & y, conditions)
+    """True for no conditions."""
+    return reduce(lambda x, y: x & y, conditions, F.lit(True))
 
 
 def any_of(conditions) -> Column:
-    return reduce(lambda x, y: x | y, conditions)
+    """False for no conditions."""
+    return reduce(lambda x, y: x | y, conditions, F.lit(False))

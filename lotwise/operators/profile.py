@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.functions.display import car_age
@@ -79,29 +79,43 @@ def likes_by_model(df: DataFrame) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Equal-width bins from the smallest to the largest value; the last bin is closed."""
-    v = F.col(value).cast("double")
-    known = df.filter(v.isNotNull()).select(v.alias("v"))
-    ends = known.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
-    slot = F.coalesce(F.least(F.width_bucket("v", lo, hi, F.lit(bins)), F.lit(bins)), F.lit(1))
-    counts = known.groupBy(slot.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    frame = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    width = (hi - lo) / bins
-    return frame.join(counts, "bin", "left").select(
-        "bin",
-        (lo + (F.col("bin") - 1) * width).alias("bin_from"),
-        (lo + F.col("bin") * width).alias("bin_to"),
-        F.coalesce("n", F.lit(0)).alias("n"),
-    )
+    return histograms(df, value, bins, {"": F.lit(True)}).drop("chart")
+
+
+def histograms(df: DataFrame, value: str, bins: int, charts: Mapping[str, Column]) -> DataFrame:
+    """(chart, bin, bin_from, bin_to, n): a histogram of the rows of each named condition.
+
+    All charts share two scans: one for the smallest and largest values, one for the
+    counts. A chart without values has no bins.
+    """
+    c = F.col
+    v = c(value).cast("double")
+    known = df.filter(v.isNotNull()).select(v.alias("v"), *[F.coalesce(x, F.lit(False)).alias(f"in_{i}") for i, x in enumerate(charts.values())])
+    ends = known.agg(*[f(F.when(c(f"in_{i}"), c("v"))).alias(f"{n}_{i}") for i in range(len(charts)) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    frames, slots = [], []
+    for i, name in enumerate(charts):
+        lo, hi = ends[f"lo_{i}"], ends[f"hi_{i}"]
+        if lo is None:
+            continue
+        # one value alone has no width: it lies in the first bin
+        slot = F.least(F.width_bucket(c("v"), F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins)) if lo < hi else F.lit(1)
+        slots.append(F.when(c(f"in_{i}"), F.struct(F.lit(name).alias("chart"), slot.cast("int").alias("bin"))))
+        frames += [(name, b + 1, lo + b * ((hi - lo) / bins), lo + (b + 1) * ((hi - lo) / bins)) for b in range(bins)]
+    frame = df.sparkSession.createDataFrame(frames, "chart string, bin int, bin_from double, bin_to double")
+    if not slots:
+        return frame.withColumn("n", F.lit(0).cast("bigint"))
+    hits = known.select(F.explode(F.filter(F.array(*slots), lambda x: x.isNotNull())).alias("h"))
+    counts = hits.groupBy("h.chart", "h.bin").agg(F.count(F.lit(1)).alias("n"))
+    return frame.join(counts, ["chart", "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 _QUARTILES = {0.25: "q1", 0.5: "median", 0.75: "q3"}
 
 
-def _box_counts(df: DataFrame, p: Params, width: float) -> DataFrame:
+def _box_counts(df: DataFrame, p: Params) -> DataFrame:
     """(year, mileage, n) with the quartiles and fences of the year on each pair."""
     rows = filter_mileage_anomaly(df, p)
-    long = exact_quantiles(rows, "mileage", list(_QUARTILES), ["year"], width)
+    long = exact_quantiles(rows, "mileage", list(_QUARTILES), ["year"])
     quartiles = stored_lookup(quantiles_wide(long, _QUARTILES, ["year"]), "quartiles")
     reach = (F.col("q3") - F.col("q1")) * 1.5
     counts = value_counts(rows, "mileage", ["year"])
@@ -110,11 +124,11 @@ def _box_counts(df: DataFrame, p: Params, width: float) -> DataFrame:
     )
 
 
-def mileage_boxplot_by_year(df: DataFrame, p: Params, width: float = 20.0) -> DataFrame:
+def mileage_boxplot_by_year(df: DataFrame, p: Params) -> DataFrame:
     """Quartiles, whiskers (1.5 IQR) and number of outliers per year."""
     inside = F.col("value").between(F.col("_low"), F.col("_high"))
     return (
-        _box_counts(df, p, width)
+        _box_counts(df, p)
         .groupBy("year", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
@@ -125,9 +139,9 @@ def mileage_boxplot_by_year(df: DataFrame, p: Params, width: float = 20.0) -> Da
     )
 
 
-def mileage_outliers_by_year(df: DataFrame, p: Params, width: float = 20.0) -> DataFrame:
+def mileage_outliers_by_year(df: DataFrame, p: Params) -> DataFrame:
     inside = F.col("value").between(F.col("_low"), F.col("_high"))
-    return _box_counts(df, p, width).filter(~inside).select(
+    return _box_counts(df, p).filter(~inside).select(
         "year", F.col("value").alias("mileage"), "n"
     )
 
@@ -135,9 +149,9 @@ def mileage_outliers_by_year(df: DataFrame, p: Params, width: float = 20.0) -> D
 _SUMMARY = {0.0: "min", 0.25: "q1", 0.5: "median", 0.75: "q3", 1.0: "max"}
 
 
-def five_number_summary(df: DataFrame, value: str, width: float = 20.0) -> DataFrame:
+def five_number_summary(df: DataFrame, value: str) -> DataFrame:
     """(stat, value): the five numbers, the mean and the number of missing values."""
-    spread = exact_quantiles(df, value, list(_SUMMARY), width=width)
+    spread = exact_quantiles(df, value, list(_SUMMARY))
     name = F.create_map(*[F.lit(x) for item in _SUMMARY.items() for x in item])
     rest = df.agg(
         F.avg(F.col(value).cast("double")).alias("mean"),

@@ -1,13 +1,13 @@
-"""Exact order statistics without sorting the rows in one place.
+"""Exact order statistics without ordering the rows in one place.
 
-1. Values fall into buckets of a fixed width, counted with map-side combine. A running
-   count over the buckets, whose number is value range / width, finds the buckets that
-   hold the wanted positions: at most two per probability and group.
-2. Only the values of those buckets are looked at again, equal values as one pair
-   (value, count), and ordered within their bucket.
+1. Equal values become one pair (value, count), with map-side combine; the pairs are dealt
+   out by ranges of (group, value), sorted within each range and stored.
+2. Counts of the ranges, one row for each range and group, tell which range holds a wanted
+   position. Only these ranges are looked at again, for the running count within them.
 
-A value held by a third of all rows is one pair, and no step orders all rows.
-Interpolation between neighbours is linear (position ``(n - 1) * p``).
+A value held by a third of all rows is one pair, ranges adapt to the data whatever its
+scale, and no step sees more than a range. Interpolation between neighbours is linear
+(position ``(n - 1) * p``).
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwise.workspace import stored_lookup
+from lotwise.functions.nulls import all_of, same
+from lotwise.workspace import stored, stored_lookup
 
 _UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
@@ -31,70 +32,50 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     )
 
 
-def _wanted_buckets(pairs: DataFrame, probs: Sequence[float], by: list[str]) -> DataFrame:
-    """(by..., bucket, p) with the wanted positions and the bucket's first position."""
-    c = F.col
-    group = Window.partitionBy(*by)
-    totals = (
-        pairs.groupBy(*by, "_bucket")
-        .agg(F.sum("_n").alias("_in"))
-        .select(
-            *by,
-            "_bucket",
-            F.sum("_in").over(group.orderBy("_bucket").rowsBetween(*_UP_TO_HERE)).alias("_end"),
-            F.sum("_in").over(group).alias("_all"),
-            "_in",
-        )
-        .withColumn("_start", c("_end") - c("_in"))
-    )
-    at = (c("_all") - 1) * c("p")
-    here = [c(k).between(c("_start"), c("_end") - 1) for k in ("_lo", "_hi")]
-    return (
-        totals.withColumn("p", F.explode(F.array(*[F.lit(float(x)) for x in probs])))
-        .withColumns({"_at": at, "_lo": F.floor(at), "_hi": F.ceil(at)})
-        .filter(here[0] | here[1])
-        .select(*by, "_bucket", "p", "_start", "_at", "_lo", "_hi")
-    )
-
-
 def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    width: float = 20.0,
-    weight: str | None = None,
+    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), weight: str | None = None
 ) -> DataFrame:
-    """(by..., p, q). ``weight`` names a count column if a row stands for several."""
+    """(by..., p, q). ``weight`` names a count column if a row stands for several.
+
+    No row with a value: no quantile. A missing group is a group.
+    """
     by = list(by)
     c = F.col
     v = c(value).cast("double")
-    pairs = df.filter(v.isNotNull()).select(
-        *by,
-        v.alias("_v"),
-        F.floor(v / width).alias("_bucket"),
-        (F.lit(1) if weight is None else c(weight)).alias("_n"),
-    )
-    wanted = stored_lookup(_wanted_buckets(pairs, probs, by), "wanted")
-    hits = (
-        pairs.join(wanted, [*by, "_bucket"])
-        .groupBy(*by, "p", "_bucket", "_v", "_start", "_at", "_lo", "_hi")
-        .agg(F.sum("_n").alias("_n"))
+    rows = df.filter(v.isNotNull()).select(*by, v.alias("_v"), (F.lit(1) if weight is None else c(weight)).alias("_n"))
+    pairs = rows.groupBy(*by, "_v").agg(F.sum("_n").alias("_n"))
+    pairs = pairs.repartitionByRange(*by, "_v").sortWithinPartitions(*by, "_v")
+    pairs = stored(pairs.withColumn("_range", F.spark_partition_id()), "value_pairs")
+
+    group = Window.partitionBy(*by, F.lit(0))
+    sizes = pairs.groupBy(*by, "_range").agg(F.sum("_n").alias("_in"))
+    ends = F.sum("_in").over(group.orderBy("_range").rowsBetween(*_UP_TO_HERE))
+    sizes = sizes.select(*by, "_range", "_in", ends.alias("_end"), F.sum("_in").over(group).alias("_all"))
+    at = (c("_all") - 1) * c("p")
+    start = c("_end") - c("_in")
+    wanted = (
+        sizes.withColumn("p", F.explode(F.array(*[F.lit(float(x)) for x in probs])))
+        .withColumns({"_at": at, "_lo": F.floor(at), "_hi": F.ceil(at), "_start": start})
+        .filter(c("_lo").between(start, c("_end") - 1) | c("_hi").between(start, c("_end") - 1))
+        .select(*[c(k).alias(f"_g_{k}") for k in by], c("_range").alias("_r"), "p", "_start", "_at", "_lo", "_hi")
     )
-    in_bucket = Window.partitionBy(*by, "p", "_bucket").orderBy("_v").rowsBetween(*_UP_TO_HERE)
-    hits = hits.withColumn("_last", c("_start") + F.sum("_n").over(in_bucket) - 1)
-    first = c("_last") - c("_n") + 1
+    wanted = stored_lookup(wanted, "wanted")
+
+    ranges = wanted.select("_r").distinct()
+    running = Window.partitionBy(*by, "_range").orderBy("_v").rowsBetween(*_UP_TO_HERE)
+    met = pairs.join(ranges, pairs["_range"] == ranges["_r"], "left_semi")
+    met = met.withColumn("_upto", F.sum("_n").over(running))
+    on = (met["_range"] == wanted["_r"]) & all_of(same(met[k], wanted[f"_g_{k}"]) for k in by)
+    met = met.join(wanted, on)
+    last = c("_start") + c("_upto") - 1
+    first = last - c("_n") + 1
 
     def value_at(position: str):
-        return F.max(F.when(c(position).between(first, c("_last")), c("_v")))
+        return F.max(F.when(c(position).between(first, last), c("_v")))
 
     return (
-        hits.groupBy(*by, "p")
-        .agg(
-            value_at("_lo").alias("_x"),
-            value_at("_hi").alias("_y"),
-            F.max(c("_at") - c("_lo")).alias("_w"),
-        )
+        met.groupBy(*by, "p")
+        .agg(value_at("_lo").alias("_x"), value_at("_hi").alias("_y"), F.max(c("_at") - c("_lo")).alias("_w"))
         .select(*by, "p", (c("_x") + c("_w") * (c("_y") - c("_x"))).alias("q"))
     )
 

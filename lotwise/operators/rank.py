@@ -4,12 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.functions.nulls import paste
 from lotwise.operators.profile import likes_by_model
-from lotwise.workspace import stored_lookup
+from lotwise.workspace import stored, stored_lookup
+
+
+def numbered(df: DataFrame, *order: Column | str, name: str = "place") -> DataFrame:
+    """Rows with their place (from 0) in an order over all of them.
+
+    Ranges of the order are dealt out and stored; a row's place is its place within its
+    range plus the rows of the ranges before, whose counts are one row a range. So no task
+    sees more than its range. Rows that tie are numbered as they come: end the order with
+    a key. ``df`` gets no other column.
+    """
+    c = F.col
+    within = F.monotonically_increasing_id()  # range number above 33 bits, place in it below
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", within)
+    ordered = stored(ordered, "ordered")
+    part, at = F.shiftright("_at", 33), c("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = ordered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    out = ordered.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return out.select(*df.columns, (c("_start") + at).alias(name))
 
 
 def sort_trim_gap(df: DataFrame, gap: str, trim: str = "trim_key", row_id: str = "id") -> DataFrame:
@@ -39,13 +59,9 @@ def top_n_with_ties(df: DataFrame, by: Sequence[str], score: str, n: int) -> Dat
 
 
 def first_per_group(df: DataFrame, by: str, score: str, row_id: str = "id") -> DataFrame:
-    """Best row per group (ties: smallest id) by a map-side-combined aggregate."""
-    row = F.struct(*[df[c] for c in df.columns])
-    return (
-        df.groupBy(F.col(by).alias("_by"))
-        .agg(F.min_by(row, F.struct(F.col(score).isNull(), -F.col(score), F.col(row_id))).alias("_row"))
-        .select("_row.*")
-    )
+    """Best row per group (ties: smallest id). Each map task sends one row of a group on."""
+    best = Window.partitionBy(by).orderBy(F.desc_nulls_last(score), row_id)
+    return df.withColumn("_n", F.row_number().over(best)).filter("_n <= 1").drop("_n")
 
 
 def top_liked_models(df: DataFrame, n: int = 10) -> DataFrame:
@@ -56,9 +72,8 @@ def top_liked_models(df: DataFrame, n: int = 10) -> DataFrame:
 
 def ordered_labels(df: DataFrame, label: str, value: str) -> DataFrame:
     """Labels with their place when ordered by value, largest first."""
-    # one row per label of a top-k report
-    place = F.row_number().over(Window.orderBy(F.desc_nulls_last(value), label))
-    return df.select(label, value, place.alias("place"))
+    out = numbered(df.select(label, value), F.desc_nulls_last(value), label)
+    return out.withColumn("place", (F.col("place") + 1).cast("int"))
 
 
 def last_row(df: DataFrame, *order: str) -> DataFrame:

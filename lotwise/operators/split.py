@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.functions.nulls import all_of, any_of, same
-from lotwise.operators.filters import semi_join_keys
 from lotwise.operators.quantiles import exact_quantiles
 from lotwise.params import Params
 from lotwise.workspace import stored, stored_lookup
@@ -55,9 +54,15 @@ class Cut:
     row_id: str
 
 
-def hash_bucket(p: Params, row_id: str = "id") -> Column:
+def order_id(df: DataFrame) -> Column:
+    """The id, or for a row without one a hash of its values: such rows are spread as others."""
+    values = [c for c in (*KEY_COLUMNS, "price", "mileage", "link") if c in df.columns]
+    return F.coalesce(F.col("id"), F.concat(F.lit("?"), F.hex(F.xxhash64(*values))))
+
+
+def hash_bucket(p: Params, row_id: Column) -> Column:
     """Default order of the rows: a seeded hash of the id, folded into buckets."""
-    return F.pmod(F.xxhash64(F.col(row_id), F.lit(p.seed)), F.lit(p.order_buckets))
+    return F.pmod(F.xxhash64(row_id, F.lit(p.seed)), F.lit(p.order_buckets))
 
 
 def price_breaks(df: DataFrame, groups: int, price: str = "price") -> list[float]:
@@ -127,14 +132,19 @@ def holdout_rule(
 ) -> tuple[list[float], list[Cut]]:
     """The numbers that settle one round: price breaks, and one cut per stratum."""
     breaks = price_breaks(df, p.strata)
-    order = hash_bucket(p) if bucket is None else bucket
-    narrow = df.select(stratum(breaks).alias("_stratum"), order.alias("_bucket"), "id")
+    row_id = order_id(df)
+    order = hash_bucket(p, row_id) if bucket is None else bucket
+    narrow = df.select(stratum(breaks).alias("_stratum"), order.alias("_bucket"), row_id.alias("id"))
     return breaks, holdout_cuts(narrow, share)
 
 
-def in_holdout(breaks: list[float], cuts: list[Cut], p: Params, bucket: Column | None = None) -> Column:
-    order = hash_bucket(p) if bucket is None else bucket
-    return held_out(cuts, stratum(breaks), order, F.col("id"))
+def in_holdout(
+    df: DataFrame, breaks: list[float], cuts: list[Cut], p: Params, bucket: Column | None = None
+) -> Column:
+    """Never null: a row without a price or a bucket is not held out."""
+    row_id = order_id(df)
+    order = hash_bucket(p, row_id) if bucket is None else bucket
+    return F.coalesce(held_out(cuts, stratum(breaks), order, row_id), F.lit(False))
 
 
 def stratified_holdout(
@@ -142,21 +152,47 @@ def stratified_holdout(
 ) -> DataFrame:
     """Rows plus a flag: held out of their price stratum or not."""
     breaks, cuts = holdout_rule(df, share, p, bucket)
-    return df.withColumn(name, in_holdout(breaks, cuts, p, bucket))
+    return df.withColumn(name, in_holdout(df, breaks, cuts, p, bucket))
+
+
+def _by_kind(tuples: DataFrame, keys: list[list[str]]) -> DataFrame:
+    """Key tuples with one row for each kind of key: its number and text."""
+    kinds = [F.struct(F.lit(i).alias("kind"), _key_text(key).alias("key")) for i, key in enumerate(keys)]
+    return tuples.withColumn("_k", F.explode(F.array(*kinds))).select(*tuples.columns, "_k.kind", "_k.key")
 
 
 def semi_join_chain(df: DataFrame, train: DataFrame, keys=COVERAGE_KEYS) -> DataFrame:
-    """Rows of ``df`` each of whose keys, taken one by one, occurs in ``train``."""
-    for key in keys:
-        df = semi_join_keys(df, train, key)
-    return df
+    """Rows of ``df`` each of whose keys, taken one by one, occurs in ``train``.
+
+    Settled on the distinct key tuples of both sides: those of ``df`` with a key that
+    ``train`` lacks are found in one join for all kinds of key, and rows with such a
+    tuple are left out.
+    """
+    columns = list(dict.fromkeys(k for key in keys for k in key))
+    known = _by_kind(train.select(*columns).distinct(), keys).select("kind", "key").distinct()
+    tuples = _by_kind(df.select(*columns).distinct(), keys)
+    lacking = tuples.join(known, ["kind", "key"], "left_anti").select(*columns).distinct()
+    return _without_tuples(df, lacking, columns)
+
+
+def _without_tuples(df: DataFrame, tuples: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of ``df`` whose ``columns`` do not occur in ``tuples``, null matching null.
+
+    Rows meet by one hash of the columns; the columns themselves decide.
+    """
+    renamed = [F.col(c).alias(f"_k_{c}") for c in columns]
+    # stored: the planner would carry what it knows of each column over to every alias
+    right = stored_lookup(tuples.select(F.xxhash64(*columns).alias("_h"), *renamed), "tuples")
+    hit = (F.xxhash64(*[df[c] for c in columns]) == right["_h"]) & all_of(
+        same(df[c], right[f"_k_{c}"]) for c in columns
+    )
+    return df.join(right, hit, "left_anti")
 
 
 def anti_join_natural(df: DataFrame, other: DataFrame) -> DataFrame:
     """Rows of ``df`` that do not occur in ``other``, compared on all common columns."""
     common = [c for c in df.columns if c in other.columns]
-    right = other.select(*[F.col(c).alias(f"_k_{c}") for c in common])
-    return df.join(right, all_of(same(df[c], right[f"_k_{c}"]) for c in common), "left_anti")
+    return _without_tuples(df, other.select(*common).distinct(), common)
 
 
 def _key_text(columns: list[str]) -> Column:
@@ -174,13 +210,7 @@ def uncovered_tuples(tuples: DataFrame) -> DataFrame:
     ``tuples`` holds each distinct key tuple with ``any_out`` and ``all_out``. All keys
     are looked at in one aggregate per (kind of key, key): no training set is joined.
     """
-    kinds = F.array(
-        *[
-            F.struct(F.lit(i).alias("kind"), _key_text(key).alias("key"))
-            for i, key in enumerate(COVERAGE_KEYS)
-        ]
-    )
-    keyed = tuples.withColumn("_k", F.explode(kinds)).select(*tuples.columns, "_k.kind", "_k.key")
+    keyed = _by_kind(tuples, COVERAGE_KEYS)
     missing = keyed.groupBy("kind", "key").agg(F.bool_and("all_out").alias("m")).filter("m")
     missing = stored_lookup(missing.select("kind", "key"), "missing_keys")
     hit = keyed.filter("any_out").join(missing, ["kind", "key"], "left_semi")
@@ -227,15 +257,19 @@ def split_with_coverage(df: DataFrame, p: Params, bucket: Column | None = None)
     First the validation share is held out and repaired, then the test share of the rest.
     """
     first = stratified_holdout(df, p.validation_share, p, bucket, "_validation")
-    first = return_uncovered(first, "_validation")
+    # stored, or each scan of the second round would repair the first round anew
+    first = stored(return_uncovered(first, "_validation"), "first_round")
     rest = first.filter("NOT _validation")
     breaks, cuts = holdout_rule(rest, p.test_share, p, bucket)
-    test = ~F.col("_validation") & in_holdout(breaks, cuts, p, bucket)
+    test = ~F.col("_validation") & in_holdout(first, breaks, cuts, p, bucket)
     second = return_uncovered(first.withColumn("_test", test), "_test", ~F.col("_validation"))
     name = F.when(F.col("_validation"), "validation").when(F.col("_test"), "test").otherwise("train")
     return second.withColumn("split", name).drop("_validation", "_test")
 
 
-def random_sample(df: DataFrame, n: int, p: Params, row_id: str = "id") -> DataFrame:
-    """``n`` rows in hash order of their id: the same rows on every run."""
-    return df.orderBy(F.xxhash64(F.col(row_id), F.lit(p.seed)), row_id).limit(n)
+def random_sample(
+    df: DataFrame, n: int, p: Params, row_id: str = "id", order: Column | None = None
+) -> DataFrame:
+    """``n`` rows in hash order of their id, or another ``order``: the same rows on every run."""
+    first = F.xxhash64(F.col(row_id), F.lit(p.seed)) if order is None else order
+    return df.orderBy(first, row_id).limit(n)

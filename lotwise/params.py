@@ -27,6 +27,14 @@ class Params:
     strata: int = 4  # price quartiles
     seed: int = 123
     order_buckets: int = 100_003
+    # forest: the grid is the published one, depth the library's limit
+    rf_trees: int = 500
+    rf_depth: int = 30
+    rf_bins: int = 64
+    rf_folds: int = 3
+    rf_grid_trees: tuple[int, ...] = (500, 1000, 1500)
+    rf_grid_subsets: tuple[str, ...] = ("2", "3", "4", "5")
+    rf_prior_rows: float = 10.0  # rows at the overall mean added to each level
     # deal rules
     gap_full: float = 20.0
     gap_recent: float = 10.0

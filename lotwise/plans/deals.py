@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -145,16 +147,34 @@ def price_guard(low: float) -> Column:
     return F.col("Price") >= F.col("Average_Price_per_Trim") * low
 
 
-def outcome_rows(deals: DataFrame, status: DataFrame, guard: float | None = None) -> DataFrame:
-    """Deals with what became of them: ``status`` has Id, status text and sale date.
+# fixed value: format of the sale date in the outcome file
+SOLD_DATE = "d-MMM-yy"
+
+
+def outcome_rows(
+    deals: DataFrame, status: DataFrame, guard: float | None = None, recommended_on: date | None = None
+) -> DataFrame:
+    """Deals with what became of them: ``sold``, ``sold_on`` and ``days_to_sale``.
 
-    ``status`` may list every listing; it is cut to the deals' ids before the join.
+    ``status`` has Id, status text and, if known, ``Sold Date`` as text. It may list any
+    listings, or none for a deal, or several lines for one: a listing is sold if a line
+    says so, on the earliest readable date. It is cut to the deals' ids before the join.
     """
-    ids = stored_lookup(deals.select("Id"), "deal_ids")
-    rows = deals.join(status.join(ids, "Id", "left_semi"), "Id", "left")
-    rows = rows if guard is None else rows.filter(price_guard(guard))
-    sold = F.lower(F.trim(F.coalesce(F.col("status"), F.lit("")))) == "sold"
-    return rows.withColumn("sold", sold)
+    c = F.col
+    ids = stored_lookup(deals.select("Id").distinct(), "deal_ids")
+    sold = F.coalesce(F.lower(F.trim(c("status"))) == "sold", F.lit(False))
+    text = c("Sold Date") if "Sold Date" in status.columns else F.lit(None).cast("string")
+    known = (
+        status.join(ids, "Id", "left_semi")
+        .select("Id", sold.alias("sold"), F.when(sold, F.try_to_date(text, SOLD_DATE)).alias("sold_on"))
+        .groupBy("Id")
+        .agg(F.bool_or("sold").alias("sold"), F.min("sold_on").alias("sold_on"))
+    )
+    rows = deals if guard is None else deals.filter(price_guard(guard))
+    days = F.datediff("sold_on", F.lit(recommended_on).cast("date"))
+    return rows.join(known, "Id", "left").withColumns(
+        {"sold": F.coalesce("sold", F.lit(False)), "days_to_sale": days}
+    )
 
 
 def outcome_backtest(deals: DataFrame, status: DataFrame, guard: float | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lotwise.operators.groups import left_lookup
 from lotwise.params import Params
-from lotwise.workspace import bounded_broadcast, stored, stored_lookup
+from lotwise.workspace import measured, stored, stored_lookup
 
 CELL = ["make", "model_key", "trim_key", "year"]
 _TABLES = ("make", "model", "trim", "trim_year")
@@ -42,18 +42,22 @@ class PriceModel:
     def load(spark: SparkSession, path: str) -> PriceModel:
         mu = spark.read.parquet(f"{path}/mu").first()["mu"]
         tables = [spark.read.parquet(f"{path}/{n}") for n in _TABLES]
-        return PriceModel(mu, *[bounded_broadcast(t, t.count()) for t in tables])
+        return PriceModel(mu, *[measured(t) for t in tables])
 
 
 def cells(df: DataFrame, fit_on: str = "full") -> DataFrame:
-    """Sums per (make, model, trim, year) over rows with ``split``, ``price``, ``mileage_range``."""
+    """Sums per (make, model, trim, year) over rows with ``split``, ``price``, ``mileage_range``.
+
+    ``listings`` counts all rows, whatever the means are fitted on.
+    """
     train = F.col("split") == "train"
-    used = df if fit_on == "full" else df.filter(train)
-    return used.groupBy(*CELL).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("price").alias("price_sum"),
-        F.count("mileage_range").alias("tier_n"),
-        F.sum("mileage_range").alias("tier_sum"),
+    used = F.lit(True) if fit_on == "full" else train
+    return df.groupBy(*CELL).agg(
+        F.count(F.lit(1)).alias("listings"),
+        F.count_if(used).alias("n"),
+        F.sum(F.when(used, F.col("price"))).alias("price_sum"),
+        F.count(F.when(used, F.col("mileage_range"))).alias("tier_n"),
+        F.sum(F.when(used, F.col("mileage_range"))).alias("tier_sum"),
         F.count_if(train).alias("train_n"),
         F.sum(F.when(train, F.col("price"))).alias("train_sum"),
     )
@@ -99,7 +103,7 @@ def mileage_line(tiers: DataFrame) -> DataFrame:
 def tier_means(cell: DataFrame) -> DataFrame:
     """Mean mileage tier per (trim, year); null if one listing has no mileage."""
     complete = F.sum("tier_n") == F.sum("n")
-    return cell.groupBy("trim_key", "year").agg(
+    return cell.filter("n > 0").groupBy("trim_key", "year").agg(
         F.when(complete, F.sum("tier_sum") / F.sum("n")).alias("avg_mileage_range")
     )
 
@@ -107,9 +111,9 @@ def tier_means(cell: DataFrame) -> DataFrame:
 def trim_stats(cell: DataFrame) -> DataFrame:
     n = F.sum("n")
     return cell.groupBy("trim_key").agg(
-        (F.sum("price_sum") / n).alias("price_pmmt"),
-        (F.sum(F.col("n") * F.col("year")) / n).alias("avg_ymmt"),
-        n.alias("listing_count"),
+        F.try_divide(F.sum("price_sum"), n).alias("price_pmmt"),
+        F.try_divide(F.sum(F.col("n") * F.col("year")), n).alias("avg_ymmt"),
+        F.sum("listings").alias("listing_count"),
     )
 
 

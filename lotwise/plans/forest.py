@@ -1,10 +1,11 @@
 """Random-forest price model on the ML library.
 
-Text predictors become category numbers by hashing, so no dictionary that grows with the
-number of trims passes through the driver. A row carries seven numbers into training,
-where one-hot columns would be stored dense. Long code ranges are costly too, because
-every task sends statistics per tree node and code; so models and trims get two short,
-independent codes each, and two trims look alike only if both codes agree.
+A text predictor becomes a number that its level stands for: the mean training price of
+the level, drawn towards the overall mean where rows are few. The means are lookup tables
+joined to the rows, so any number of levels is told apart, none passes through the driver,
+and the rule is the same at every size. A training row gets the mean of the other folds,
+or its own price would leak into its predictor. Levels never seen stand for the overall
+mean, a missing mileage for the mean mileage, with a flag beside.
 """
 
 from __future__ import annotations
@@ -14,126 +15,165 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotwise.operators.groups import left_lookup
+from lotwise.operators.rank import numbered
 from lotwise.params import Params
 from lotwise.plans.evaluate import FOREST
+from lotwise.workspace import measured, stored_lookup
 
 PREDICTION = "predicted_price_rf"
 
-# code column -> (source, most codes)
-CODES = {
-    "make_code": ("make", 256),
-    "model_code_1": ("model_key", 512),
-    "model_code_2": ("model_key", 512),
-    "trim_code_1": ("trim_key", 512),
-    "trim_code_2": ("trim_key", 512),
-    "year_code": ("year2", 128),
-}
 CATEGORIES = ["make", "model_key", "trim_key", "year2"]
-MOST_CODES = max(n for _, n in CODES.values())
+FEATURES = [*(f"{c}_mean" for c in CATEGORIES), "mileage_known", "mileage_filled"]
+
+
+@dataclass(frozen=True)
+class Encoding:
+    """What stands for levels and missing values; one table of levels for each predictor."""
+
+    price: float
+    mileage: float
+    levels: dict[str, DataFrame]  # level, fold (null: all folds), mean
+
+    def save(self, path: str) -> None:
+        spark = SparkSession.getActiveSession()
+        means = spark.createDataFrame([(self.price, self.mileage)], "price double, mileage double")
+        means.coalesce(1).write.parquet(f"{path}/means")
+        for name, table in self.levels.items():
+            table.write.parquet(f"{path}/{name}")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Encoding:
+        means = spark.read.parquet(f"{path}/means").first()
+        levels = {c: measured(spark.read.parquet(f"{path}/{c}")) for c in CATEGORIES}
+        return Encoding(means["price"], means["mileage"], levels)
 
 
 @dataclass(frozen=True)
 class Forest:
-    """Fitted trees, and the limit on category codes they were fitted with."""
+    """Fitted trees, and the encoding they were fitted with."""
 
     model: PipelineModel
-    limit: int
+    encoding: Encoding
 
     def save(self, path: str) -> None:
-        spark = SparkSession.getActiveSession()
         self.model.write().save(f"{path}/model")
-        spark.createDataFrame([(self.limit,)], "code_limit int").coalesce(1).write.parquet(f"{path}/codes")
+        self.encoding.save(f"{path}/encoding")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Forest:
-        limit = spark.read.parquet(f"{path}/codes").first()["code_limit"]
-        return Forest(PipelineModel.load(f"{path}/model"), limit)
+        return Forest(PipelineModel.load(f"{path}/model"), Encoding.load(spark, f"{path}/encoding"))
 
 
-def code_limit(df: DataFrame) -> int:
-    """The trees allow no more categories than they have rows; half leaves room for folds."""
-    return max(2, df.limit(2 * MOST_CODES).count() // 2)
+def with_year2(df: DataFrame) -> DataFrame:
+    return df.withColumn("year2", F.col("year").cast("string"))
 
 
 def rf_features(df: DataFrame) -> DataFrame:
-    """Price, predictors and nothing else; the year is a category.
-
-    A forest cannot take a missing mileage, so such rows are left out.
-    """
+    """Price, predictors and nothing else; the year is a category. Every row stays."""
     return with_year2(df).select("price", *CATEGORIES, "mileage")
 
 
-def with_year2(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("mileage").isNotNull()).withColumn("year2", F.col("year").cast("string"))
-
+def with_fold(df: DataFrame, folds: int, p: Params) -> DataFrame:
+    """Fold from a hash of the id: a recomputed partition lands in the same fold."""
+    fold = F.pmod(F.xxhash64(F.col("id"), F.lit(p.seed)), F.lit(folds)).cast("int")
+    return df.withColumn("fold", fold)
 
-def with_codes(df: DataFrame, limit: int) -> DataFrame:
-    """Category numbers for the text predictors, marked as categories for the trees.
 
-    Years within 128 of each other never share a code.
+def fit_encoding(rows: DataFrame, p: Params) -> Encoding:
+    """Level means of ``rows`` (price, predictors, mileage, fold), over all folds and without each."""
+    c = F.col
+    overall = rows.agg(F.avg("price").alias("price"), F.avg("mileage").alias("mileage")).first()
+    price, mileage = overall["price"] or 0.0, overall["mileage"] or 0.0
+    levels = {}
+    for name in CATEGORIES:
+        parts = rows.groupBy(c(name).alias("level"), "fold").agg(
+            F.sum("price").alias("s"), F.count("price").alias("n")
+        )
+        parts = stored_lookup(parts, "level_parts")
+        whole = parts.groupBy("level").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+        others = left_lookup(parts, whole.withColumnsRenamed({"s": "all_s", "n": "all_n"}), ["level"])
+        both = others.select("level", "fold", (c("all_s") - c("s")).alias("s"), (c("all_n") - c("n")).alias("n"))
+        both = both.unionByName(whole.select("level", F.lit(None).cast("int").alias("fold"), "s", "n"))
+        drawn = (F.coalesce("s", F.lit(0.0)) + price * p.rf_prior_rows) / (c("n") + p.rf_prior_rows)
+        levels[name] = stored_lookup(both.select("level", "fold", drawn.alias("mean")), "level_means")
+    return Encoding(price, mileage, levels)
+
+
+def encoded(df: DataFrame, e: Encoding, own_fold: bool) -> DataFrame:
+    """``df`` (with year2) and the columns of :data:`FEATURES`.
+
+    ``own_fold``: rows have a ``fold`` and get the means of the other folds.
     """
-    out = []
-    for salt, (code, (name, most)) in enumerate(CODES.items()):
-        n = min(most, limit)
-        year = name == "year2"
-        number = F.col(name).try_cast("bigint") if year else F.xxhash64(F.col(name), F.lit(salt))
-        nominal = {"ml_attr": {"type": "nominal", "num_vals": n, "name": code}}
-        value = F.coalesce(F.pmod(number, F.lit(n)), F.lit(0)).cast("double")
-        out.append(value.alias(code, metadata=nominal))
-    return df.select("*", *out)
-
-
-def to_factor(df: DataFrame, columns: Sequence[str], max_levels: int = 100_000) -> DataFrame:
+    out = df
+    for name in CATEGORIES:
+        table = e.levels[name].select(F.col("level").alias(name), "fold", F.col("mean").alias(f"{name}_mean"))
+        if own_fold:
+            out = left_lookup(out, table, [name, "fold"])
+        else:
+            out = left_lookup(out, table.filter("fold IS NULL").drop("fold"), [name])
+        out = out.withColumn(f"{name}_mean", F.coalesce(f"{name}_mean", F.lit(e.price)))
+    return out.withColumns(
+        {
+            "mileage_known": F.col("mileage").isNotNull().cast("double"),
+            "mileage_filled": F.coalesce("mileage", F.lit(e.mileage)),
+        }
+    )
+
+
+def to_factor(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Level codes for text columns, levels in byte order.
 
-    The dictionary lives on the driver, so the number of levels is checked first.
+    The levels of a column are numbered by ranges, then joined back: no level passes
+    through the driver. A missing value gets the code after the last level.
     """
-    levels = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in columns]).first()
     for c in columns:
-        if levels[c] > max_levels:
-            raise ValueError(f"{c} has about {levels[c]} levels, more than {max_levels}")
-    indexer = StringIndexer(
-        inputCols=list(columns),
-        outputCols=[f"{c}_code" for c in columns],
-        handleInvalid="keep",
-        stringOrderType="alphabetAsc",
-    )
-    return indexer.fit(df).transform(df)
+        levels = df.select(F.col(c).alias("level")).filter("level IS NOT NULL").distinct()
+        codes = stored_lookup(numbered(levels, "level", name=f"{c}_code"), "levels")
+        after = codes.agg(F.count(F.lit(1))).scalar()
+        df = left_lookup(df, codes.withColumnRenamed("level", c), [c])
+        df = df.withColumn(f"{c}_code", F.coalesce(f"{c}_code", after).cast("double"))
+    return df
 
 
-def forest_stages(p: Params, limit: int, trees: int = 20, depth: int = 8) -> list:
-    assembled = VectorAssembler(inputCols=[*CODES, "mileage"], outputCol="features")
+def forest_stages(p: Params) -> list:
+    assembled = VectorAssembler(inputCols=FEATURES, outputCol="features")
     forest = RandomForestRegressor(
         featuresCol="features",
         labelCol="price",
         predictionCol=PREDICTION,
-        numTrees=trees,
-        maxDepth=depth,
-        maxBins=min(MOST_CODES, limit),
+        numTrees=p.rf_trees,
+        maxDepth=p.rf_depth,
+        maxBins=p.rf_bins,
         featureSubsetStrategy="onethird",
         seed=p.seed,
     )
     return [assembled, forest]
 
 
-def rf_train(df: DataFrame, p: Params = Params(), trees: int = 20, depth: int = 8) -> Forest:
-    """Fit on rows with keys, price and mileage."""
-    rows = rf_features(df)
-    limit = code_limit(rows)
-    coded = with_codes(rows, limit).select("price", *CODES, "mileage")
-    return Forest(Pipeline(stages=forest_stages(p, limit, trees, depth)).fit(coded), limit)
+def training_rows(df: DataFrame, p: Params) -> tuple[DataFrame, Encoding]:
+    """Encoded training rows, each with a fold, and the encoding."""
+    rows = with_year2(with_fold(df, p.rf_folds, p)).select("price", *CATEGORIES, "mileage", "fold")
+    e = fit_encoding(rows, p)
+    return encoded(rows, e, own_fold=True).select("price", *FEATURES, "fold"), e
+
+
+def rf_train(df: DataFrame, p: Params = Params()) -> Forest:
+    """Fit on rows with id, price, keys and mileage; no row is left out."""
+    rows, e = training_rows(df, p)
+    return Forest(Pipeline(stages=forest_stages(p)).fit(rows), e)
 
 
 def rf_predict(forest: Forest, df: DataFrame) -> DataFrame:
-    """Adds ``predicted_price_rf``. Rows without mileage cannot be scored and are left out."""
-    scored = forest.model.transform(with_codes(with_year2(df), forest.limit))
-    return scored.drop("features", "year2", *CODES)
+    """Adds ``predicted_price_rf`` to every row."""
+    ready = encoded(with_year2(df), forest.encoding, own_fold=False)
+    return forest.model.transform(ready).drop("features", "year2", *FEATURES)
 
 
 def rf_grid(forest: RandomForestRegressor, trees: Sequence[int], subsets: Sequence[str]) -> list:
@@ -145,30 +185,21 @@ def rf_grid(forest: RandomForestRegressor, trees: Sequence[int], subsets: Sequen
     )
 
 
-def with_fold(df: DataFrame, folds: int, p: Params) -> DataFrame:
-    """Fold from a hash of the id: a recomputed partition lands in the same fold."""
-    fold = F.pmod(F.xxhash64(F.col("id"), F.lit(p.seed)), F.lit(folds)).cast("int")
-    return df.withColumn("fold", fold)
-
-
 def rf_cross_validate(
-    df: DataFrame,
-    p: Params = Params(),
-    folds: int = 3,
-    trees: Sequence[int] = (20,),
-    subsets: Sequence[str] = ("onethird",),
-    depth: int = 8,
+    df: DataFrame, p: Params = Params(), trees: Sequence[int] | None = None, subsets: Sequence[str] | None = None
 ) -> CrossValidatorModel:
-    """k-fold cross-validation over the grid; the best setting is refitted on all rows."""
-    rows = with_year2(with_fold(df, folds, p))
-    limit = code_limit(rows)
-    stages = forest_stages(p, limit, depth=depth)
-    rows = with_codes(rows, limit).select("price", *CODES, "mileage", "fold")
+    """k-fold cross-validation over the grid; the best setting is refitted on all rows.
+
+    A row's level means come from the other folds, so no held-out price reaches the
+    predictors of the row it is tested on.
+    """
+    rows, _ = training_rows(df, p)
+    stages = forest_stages(p)
     validator = CrossValidator(
         estimator=Pipeline(stages=stages),
-        estimatorParamMaps=rf_grid(stages[-1], trees, subsets),
+        estimatorParamMaps=rf_grid(stages[-1], trees or p.rf_grid_trees, subsets or p.rf_grid_subsets),
         evaluator=RegressionEvaluator(labelCol="price", predictionCol=PREDICTION),
-        numFolds=folds,
+        numFolds=p.rf_folds,
         seed=p.seed,
         foldCol="fold",
     )
@@ -189,16 +220,16 @@ def cross_validation_table(cv: CrossValidatorModel) -> DataFrame:
     )
 
 
-def rf_metrics(predicted: DataFrame, scope: str) -> DataFrame:
+def rf_metrics(predicted: DataFrame, scope: str, prediction: str = PREDICTION) -> DataFrame:
     """RMSE, R squared and mean absolute error; ``scope`` says on which rows.
 
     The in-sample and the held-out figure are different things and are labelled so.
     """
-    y, f = F.col("price"), F.col(PREDICTION)
+    y, f = F.col("price"), F.col(prediction)
     error = predicted.agg(
         F.sqrt(F.avg(F.pow(y - f, 2))).alias("rmse"),
         F.avg(F.abs(y - f)).alias("mae"),
-        F.corr("price", PREDICTION).alias("_r"),
+        F.corr("price", prediction).alias("_r"),
     )
     return error.select(
         F.lit(FOREST).alias("method_on_validation"),

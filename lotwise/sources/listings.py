@@ -52,22 +52,29 @@ CAR_SCHEMA = T.StructType(
 )
 
 
-def scan_listings_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def scan_listings_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, line_breaks: bool = True
+) -> DataFrame:
     """Header CSV in one pass, no type inference.
 
     With a schema, the file must have exactly its columns in its order, which is checked
     against the header. Without one, columns go by the names in the header, whatever
     their order; unknown ones pass through as text. ``NA`` is a missing value and an
     empty text stays an empty text.
+
+    A quoted text may hold line breaks, so a file is read by one task. Files known to have
+    none may be split among tasks with ``line_breaks=False``.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks)
     if schema is not None:
-        df = reader.schema(schema).option("enforceSchema", False).csv(path)
-    else:
-        df = reader.csv(path)
-        types = {f.name: f.dataType for f in RAW_SCHEMA if f.dataType != _S and f.name in df.columns}
-        df = df.withColumns({n: F.col(f"`{n}`").try_cast(t) for n, t in types.items()})
-    return canonical(df)
+        return canonical(reader.schema(schema).option("enforceSchema", False).csv(path))
+    return canonical(typed(reader.csv(path)))
+
+
+def typed(df: DataFrame) -> DataFrame:
+    """Text columns cast to the raw file's own types, by name; junk becomes missing."""
+    types = {f.name: f.dataType for f in RAW_SCHEMA if f.dataType != _S and f.name in df.columns}
+    return df.withColumns({n: F.col(f"`{n}`").try_cast(t) for n, t in types.items()})
 
 
 def canonical(df: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # fixed values: names of the export files
@@ -19,15 +20,32 @@ RUN_FORMAT = "%Y%b%d_%H-%M-%S"
 
 
 def sink_csv(df: DataFrame, path: str) -> None:
-    """Header, every value quoted, missing values as ``NA``, nothing overwritten."""
-    writer = df.write.mode("errorifexists").option("header", True).option("quoteAll", True)
+    """Header, every value quoted, missing values as ``NA``, nothing overwritten.
+
+    Blanks and line breaks in texts stay. A text that would read as missing gets a
+    backslash in front, as does one that looks so marked.
+    """
+    marked = {c: _marked(F.col(f"`{c}`")) for c, t in df.dtypes if t == "string"}
+    writer = df.withColumns(marked).write.mode("errorifexists").option("header", True).option("quoteAll", True)
+    for side in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
+        writer = writer.option(side, False)
     writer.option("escape", '"').option("nullValue", MISSING_TEXT).csv(path)
 
 
+def _marked(text: Column) -> Column:
+    like_missing = text.rlike(rf"\A\\*{MISSING_TEXT}\z")
+    return F.when(like_missing, F.concat(F.lit("\\"), text)).otherwise(text)
+
+
+def _unmarked(text: Column) -> Column:
+    return F.when(text.rlike(rf"\A\\+{MISSING_TEXT}\z"), F.substring(text, 2, 1 << 30)).otherwise(text)
+
+
 def read_back_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A file of :func:`sink_csv` as a frame."""
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
-    return reader.option("nullValue", MISSING_TEXT).csv(path)
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True)
+    back = reader.option("nullValue", MISSING_TEXT).csv(path)
+    return back.withColumns({c: _unmarked(F.col(f"`{c}`")) for c, t in back.dtypes if t == "string"})
 
 
 def run_id(now: datetime | None = None) -> str:

@@ -93,6 +93,12 @@ def bounded_broadcast(table: DataFrame, size: int) -> DataFrame:
     return F.broadcast(table) if size <= BROADCAST_BYTES else table
 
 
+def measured(table: DataFrame) -> DataFrame:
+    """A table that is there already, marked for broadcast if its bytes are few enough."""
+    size = table.agg(F.coalesce(F.sum(row_bytes(table)), F.lit(0)).alias("b")).first()["b"]
+    return bounded_broadcast(table, size)
+
+
 def stored_lookup(df: DataFrame, name: str) -> DataFrame:
     """As :func:`stored`, for a table that rows will be joined with."""
     return stored_counted(df, name)[0]

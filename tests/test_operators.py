@@ -22,11 +22,13 @@ def test_quantiles_match_numpy(spark, seed, n):
     data = {g: [777.0 if rng.random() < 0.34 else round(rng.uniform(0, 5000), 1) for _ in range(n)] for g in (1, 2)}
     df = spark.createDataFrame([(g, v) for g, vs in data.items() for v in vs] + [(1, None)], "g int, v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
-    for width in (1.0, 500.0):
-        got = {(r["g"], r["p"]): r["q"] for r in exact_quantiles(df, "v", probs, ["g"], width).collect()}
+    # fractions of a unit and millions: ranges follow the data
+    for scale in (1e-6, 1.0, 1e6):
+        scaled = df.withColumn("v", F.col("v") * scale)
+        got = {(r["g"], r["p"]): r["q"] for r in exact_quantiles(scaled, "v", probs, ["g"]).collect()}
         for g, vs in data.items():
             for p in probs:
-                assert got[g, p] == pytest.approx(np.quantile(vs, p))
+                assert got[g, p] == pytest.approx(np.quantile(vs, p) * scale)
     one = {r["p"]: r["q"] for r in exact_quantiles(df.filter("g = 1"), "v", probs).collect()}
     assert one[0.5] == pytest.approx(np.median(data[1]))
 
