@@ -159,3 +159,10 @@ def test_filters_drop_unknown(holes):
 def test_semi_join_matches_null_with_null(holes):
     out = filters.semi_join_keys(holes, holes.filter("id IN ('c', 'j')"), ["make"])
     assert {r["id"] for r in out.collect()} == {"c", "d", "i", "j"}
+
+
+def test_only_plain_numbers_are_numbers(spark):
+    texts = ["12f", "12d", "NaN", "Infinity", "-Infinity", "0x1F", "1e3", " 7 ", "+.5", "5.", ".", "", "1,2,3", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r["p"] for r in df.orderBy("i").select(clean.clean_price(F.col("t")).alias("p")).collect()]
+    assert got == [None] * 6 + [1000.0, 7.0, 0.5, 5.0, None, None, 123.0, None]

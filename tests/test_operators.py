@@ -150,3 +150,60 @@ def test_random_sample_is_stable(spark):
     a, b = (split.random_sample(df.repartition(k), 50, P) for k in (2, 5))
     ids = {r["id"] for r in a.collect()}
     assert len(ids) == 50 and ids == {r["id"] for r in b.collect()}
+
+
+def test_missing_ids_and_flags_lose_no_row(spark, monkeypatch):
+    rows = [tuple(r) for r in _listings(spark, 400).collect()]
+    schema = _listings(spark, 1).schema
+    at = schema.names.index("id")
+    holed = [r[:at] + (None,) + r[at + 1 :] if i % 10 == 0 else r for i, r in enumerate(rows)]
+    df = spark.createDataFrame(holed, schema)
+    for bound in (-1, workspace.BROADCAST_BYTES):
+        monkeypatch.setattr(workspace, "BROADCAST_BYTES", bound)
+        out = split.split_with_coverage(df, Params(order_buckets=1))
+        parts = {r["split"]: r["n"] for r in out.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+        assert sum(parts.values()) == 400 and None not in parts
+    held = split.stratified_holdout(df, 0.2, Params(order_buckets=1))
+    assert held.filter("held_out IS NULL").count() == 0
+    wanted = held.groupBy(split.stratum(split.price_breaks(df, 4)).alias("s")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("held_out").alias("k")
+    )
+    assert all(r["k"] == math.ceil(r["n"] * 0.2) for r in wanted.collect())
+
+
+def test_split_of_no_rows(spark):
+    empty = _listings(spark, 5).limit(0)
+    assert split.split_with_coverage(empty, P).count() == 0
+
+
+def test_numbered_is_a_place_in_the_whole_order(spark):
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("v")).repartition(7)
+    got = {r["v"]: r["place"] for r in rank.numbered(df, F.desc("v")).collect()}
+    assert got == {v: 999 - v for v in range(1000)}
+    assert rank.numbered(df.limit(0), "v").count() == 0
+
+
+def test_histograms_of_one_value_and_of_none(spark):
+    df = spark.createDataFrame([(5.0,), (5.0,), (None,), (9.0,)], "v double")
+    charts = {"one": F.col("v") < 6, "none": F.col("v") > 100, "all": F.lit(True)}
+    got = {(r["chart"], r["bin"]): r["n"] for r in profile.histograms(df, "v", 4, charts).collect()}
+    assert got["one", 1] == 2 and got["all", 1] == 2 and got["all", 4] == 1 and ("none", 1) not in got
+
+
+def test_shared_folder_and_broadcast_bound(spark, monkeypatch):
+    class Cluster:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("S", (), {"master": "spark://x", "getConf": staticmethod(lambda: {}), "applicationId": "a"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workspace.shared_root(Cluster)
+    table = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("t"))
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    monkeypatch.setattr(workspace, "BROADCAST_BYTES", 50_000)
+    assert not hinted(workspace.stored_lookup(table, "long"))
+    assert hinted(workspace.stored_lookup(table.limit(10), "short"))
+    with workspace.temporary_tables(spark):
+        kept = workspace.stored(table, "gone")
+        path = kept.inputFiles()[0]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|not found"):
+        spark.read.parquet(path).count()

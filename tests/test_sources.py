@@ -102,3 +102,11 @@ def test_literal_rows(spark):
 def test_shared_folder_is_the_named_one(spark):
     root = shared_root(spark)
     assert new_path(spark, "t").startswith(root) and shared_root(spark) == root
+
+
+def test_texts_survive_sink_and_read_back(spark, tmp_path):
+    texts = [" GXR ", "a\nb", "a\r\nb", "NA", "\\NA", "\\\\NA", None, "", 'q"x,y', '"', '\\"', "\t"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    sinks.sink_csv(df, str(tmp_path / "x"))
+    back = sinks.read_back_csv(spark, str(tmp_path / "x"), df.schema)
+    assert [r["t"] for r in back.orderBy("i").collect()] == texts
