@@ -160,8 +160,12 @@ def test_fit_on_train_only(data):
     m = effects.fit(data[1], Params(fit_on="train"))
     train = [r for r in data[0] if r[-1] == "train"]
     brute = Brute(train)
-    got = {r["trim_key"]: r["price_pmmt"] for r in m.trim.collect()}
+    trims = m.trim.collect()
+    got = {r["trim_key"]: r["price_pmmt"] for r in trims if r["price_pmmt"] is not None}
     assert got == pytest.approx(brute.price)
+    # listings are counted over all rows all the same
+    full = {r["trim_key"]: r["listing_count"] for r in effects.fit(data[1], P).trim.collect()}
+    assert {r["trim_key"]: r["listing_count"] for r in trims} == full
 
 
 def test_reloaded_model_scores_the_same(spark, data, model):
