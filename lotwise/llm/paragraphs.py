@@ -8,7 +8,8 @@ ASCII blanks):
 * pieces of ``piece`` words that line breaks need not respect, chosen by winnowing: of any
   ``least_words + 1 - piece + 1`` neighbouring pieces the one with the least hash is taken.
   Every passage of more than ``least_words`` words that two texts share holds a piece that
-  both choose. Pieces count as repeated only if they agree in every word.
+  both choose. A piece found twice is only a candidate: it counts as repeated where a run
+  of more than ``least_words`` words around it is the same in two texts, word by word.
 
 Lines get a MinHash signature whose bands are tuned for recall; lines that share a band's
 key are candidates. Buckets with the same members are looked at once. Their shingle sets
@@ -123,12 +124,27 @@ class Cutter:
         rng = np.random.default_rng(7)
         self.turns = rng.integers(0, 1 << 63, self.bands * self.rows, np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def pieces(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(starts, hashes), each piece of a text once."""
-        every = run_hashes(words, self.s.piece)
-        at = winnowed(every, self.s.least_words + 2 - self.s.piece)
-        found, first = np.unique(every[at], return_index=True)
-        return at[first], found
+    def pieces(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, hashes, contexts): each piece of a text once in the same context.
+
+        The context is all that windows of ``least_words + 1`` words with the piece reach.
+        Texts that are no longer than ``least_words`` have no pieces.
+        """
+        least = self.s.least_words + 1
+        margin = least - self.s.piece
+        every = run_hashes(words, self.s.piece) if len(words) >= least else words[:0]
+        at = winnowed(every, margin + 1)
+        around = [
+            xxhash.xxh64_intdigest(words[max(0, x - margin) : x + least].tobytes(), min(x, margin)) for x in at.tolist()
+        ]
+        contexts, first = np.unique(np.array(around, np.uint64), return_index=True)
+        return at[first], every[at[first]], contexts
+
+    def windows(self, words: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+        """Hashes of all windows of ``least_words + 1`` words around each piece."""
+        least = self.s.least_words + 1
+        every = run_hashes(words, least)
+        return [np.unique(every[max(0, x + self.s.piece - least) : x + 1]) for x in starts.tolist()]
 
     def signature(self, shingles: np.ndarray) -> np.ndarray:
         least = _mixed(shingles[:, None] * self.turns[None, :]).min(axis=0).reshape(self.bands, self.rows)
@@ -150,13 +166,15 @@ class Cutter:
 _UNITS = pa.schema(
     [
         *(("id", pa.int64()), ("line", pa.bool_()), ("start", pa.int32()), ("n_words", pa.int32()), ("uid", pa.int64())),
+        *(("context", pa.int64()), ("body", pa.int64())),
         *(("bands", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))),
     ]
 )
 
 
 def units(docs: DataFrame, s: Settings, id_column: str, text: str) -> DataFrame:
-    """(id, line, start, n_words, uid, bands, shingles): the paragraphs of all texts."""
+    """(id, line, start, n_words, uid, context, body, bands, shingles): the paragraphs of
+    all texts. ``context`` is that of a piece, zero for a line, ``body`` names the text."""
 
     def cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter(s)
@@ -166,36 +184,41 @@ def units(docs: DataFrame, s: Settings, id_column: str, text: str) -> DataFrame:
                 yield packed(cutter, ids[lo : lo + 256], utf8(texts.slice(lo, 256)))
 
     def packed(cutter: Cutter, ids: list, texts) -> pa.RecordBatch:
-        out: dict[str, list] = {name: [] for name in ("id", "line", "start", "n_words", "uid")}
+        out: dict[str, list] = {name: [] for name in _UNITS.names[:7]}
         bands, shingles = [], []
 
-        def add(doc, line, starts, lengths, uids):
+        def add(doc, line, whole, starts, lengths, uids, contexts):
             n = len(uids)
             out["id"] += [doc] * n
             out["line"] += [line] * n
+            out["body"] += [whole] * n
+            out["context"].append(contexts)
             out["start"].append(starts)
             out["n_words"].append(lengths)
             out["uid"].append(uids)
 
         for doc, body in zip(ids, texts):
             words, long_ones = cutter.lines(body or b"")
-            at, found = cutter.pieces(words)
-            add(doc, False, at, np.full(len(at), s.piece), found)
+            whole = xxhash.xxh64_intdigest(words.tobytes()) >> 1
+            at, found, contexts = cutter.pieces(words)
+            add(doc, False, whole, at, np.full(len(at), s.piece), found, contexts)
             bands += [None] * len(at)
             shingles += [None] * len(at)
             every = run_hashes(words, s.shingle)
             for a, b in long_ones:
                 own = np.unique(every[a : b - s.shingle + 1])
                 uid = np.array([xxhash.xxh64_intdigest(words[a:b].tobytes())], np.uint64)
-                add(doc, True, np.array([a]), np.array([b - a]), uid)
+                add(doc, True, whole, np.array([a]), np.array([b - a]), uid, np.zeros(1, np.uint64))
                 bands.append(cutter.signature(own).view(np.int64))
                 shingles.append(own.view(np.int64))
-        joined = {k: np.concatenate(out[k]) if out[k] else np.zeros(0, np.uint64) for k in ("start", "n_words", "uid")}
-        columns = [out["id"], out["line"], joined["start"], joined["n_words"], joined["uid"].astype(np.uint64).view(np.int64)]
+        arrays = ("start", "n_words", "uid", "context")
+        joined = {k: np.concatenate(out[k]) if out[k] else np.zeros(0, np.uint64) for k in arrays}
+        hashed = [joined[k].astype(np.uint64).view(np.int64) for k in ("uid", "context")]
+        columns = [out["id"], out["line"], joined["start"], joined["n_words"], *hashed, out["body"]]
         columns = [pa.array(v, f.type) for v, f in zip([*columns, bands, shingles], _UNITS)]
         return pa.RecordBatch.from_arrays(columns, schema=_UNITS)
 
-    kinds = "id bigint, line boolean, start int, n_words int, uid bigint, bands array<bigint>, shingles array<bigint>"
+    kinds = "id bigint, line boolean, start int, n_words int, uid bigint, context bigint, body bigint, bands array<bigint>, shingles array<bigint>"
     narrow = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
     return narrow.mapInArrow(cut, kinds)
 
@@ -296,24 +319,88 @@ def line_links(lines: DataFrame, s: Settings) -> DataFrame:
 # ---- repeats
 
 
+_WINDOW = pa.schema([("context", pa.int64()), ("window", pa.int64())])
+
+
+def _windows(docs: DataFrame, spots: DataFrame, s: Settings, id_column: str, text: str) -> DataFrame:
+    """(context, window): every window around the pieces in ``spots`` (id, contexts)."""
+
+    def cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter = Cutter(s)
+        for batch in stream:
+            for body, asked in zip(utf8(batch.column("text")), batch.column("contexts")):
+                words, _ = cutter.lines(body or b"")
+                at, _, contexts = cutter.pieces(words)
+                chosen = np.isin(contexts.view(np.int64), asked.values.to_numpy(zero_copy_only=False))
+                found = cutter.windows(words, at[chosen])
+                if found:
+                    names = np.repeat(contexts[chosen].view(np.int64), [len(x) for x in found])
+                    columns = [pa.array(names), pa.array(np.concatenate(found).view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, schema=_WINDOW)
+
+    narrow = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
+    return narrow.join(spots, "id").select("text", "contexts").mapInArrow(cut, "context bigint, window bigint")
+
+
+def shared_pieces(docs: DataFrame, pieces: DataFrame, s: Settings, id_column: str, text: str) -> DataFrame:
+    """(uid, context, first): where pieces lie in runs of more than ``least_words`` words
+    that two texts share; ``first`` is the smallest place of the piece among these.
+
+    A context found in two texts is shared as it stands. Where a piece has several, one
+    text for each context is asked for its windows, and windows that meet settle it.
+    """
+    c = F.col
+    twice = pieces.groupBy("uid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("uid")
+    place = F.struct("id", "start", "body").alias("place")
+    several = pieces.join(stored_lookup(twice, "repeated_pieces"), "uid").select("uid", "context", place)
+    contexts = several.groupBy("uid", "context").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("place"))
+    contexts = stored(contexts, "contexts")
+
+    open_uids = contexts.groupBy("uid").agg(
+        F.count(F.lit(1)).alias("m"),
+        F.min("n").alias("least"),
+        F.max("n").alias("most"),
+        F.min("place.body").alias("lo"),
+        F.max("place.body").alias("hi"),
+    )
+    open_uids = open_uids.filter("m > 1 AND least = 1 AND (lo < hi OR most > 1)").select("uid")
+    asked = stored(contexts.join(stored_lookup(open_uids, "open_pieces"), "uid"), "open_contexts")
+    spots = asked.groupBy("place.id").agg(F.collect_set("context").alias("contexts"))
+    windows = stored(_windows(docs, stored_lookup(spots, "spots"), s, id_column, text), "windows")
+    known = asked.select("context", "n", c("place.body").alias("body"))
+    met = windows.join(stored_lookup(known, "known_contexts"), "context")
+    met = met.groupBy("window").agg(
+        F.min("body").alias("lo"), F.max("body").alias("hi"), F.max("n").alias("most")
+    )
+    met = stored_lookup(met.filter("lo < hi OR most > 1").select("window"), "shared_windows")
+    settled = windows.join(met, "window").select("context").distinct()
+    whole = contexts.filter("n > 1").select("context")
+    good = stored_lookup(settled.unionByName(whole).distinct(), "shared_contexts")
+
+    shared = stored(contexts.join(good, "context").select("uid", "context", "place"), "shared_pieces")
+    first = shared.groupBy("uid").agg(F.min(F.struct("place.id", "place.start")).alias("first"))
+    return shared.select("uid", "context").join(stored_lookup(first, "first_places"), "uid")
+
+
 def repeats(docs: DataFrame, s: Settings = Settings(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, start, n_words, class_id, kept_id, kept): each paragraph of a repeated class.
 
     ``start`` counts words of the text from 0. Of a class the paragraph at the smallest
     (id, start) is ``kept``, and ``kept_id`` is its document. Null, empty and shorter texts
-    have no paragraphs; rows without an id are not compared. A piece that recurs within
-    one text counts once; rows that share an id are texts of their own. No documents give
-    an empty table.
+    have no paragraphs; rows without an id are not compared. A passage that recurs within
+    one text alone is not repeated; rows that share an id are texts of their own. No
+    documents give an empty table.
     """
     c = F.col
-    every = stored(units(docs.filter(c(f"`{id_column}`").isNotNull()), s, id_column, text), "units")
-    pieces = every.filter("NOT line").select("id", "start", "n_words", "uid")
+    docs = docs.filter(c(f"`{id_column}`").isNotNull())
+    every = stored(units(docs, s, id_column, text), "units")
+    pieces = every.filter("NOT line").select("id", "start", "n_words", "uid", "context", "body")
     lines = every.filter("line")
     place = F.min(F.struct("id", "start")).alias("first")
     n = F.count(F.lit(1)).alias("n")
 
-    twice = pieces.groupBy("uid").agg(n, place).filter("n > 1").select("uid", c("uid").alias("class_id"), "first")
-    found = pieces.join(stored_lookup(twice, "repeated_pieces"), "uid")
+    shared = shared_pieces(docs, pieces, s, id_column, text).withColumnRenamed("uid", "class_id")
+    found = pieces.drop("body").join(stored_lookup(shared, "shared_places"), "context").drop("context")
 
     groups = stored(lines.groupBy("uid").agg(n, place), "line_groups")
     classes = connected_components(line_links(lines, s)).select(c("node").alias("uid"), "component")
@@ -323,7 +410,8 @@ def repeats(docs: DataFrame, s: Settings = Settings(), id_column: str = "doc_id"
     mapped = labelled.select("uid", "class_id").join(whole.select("class_id", "first"), "class_id")
     alike = lines.select("id", "start", "n_words", "uid").join(stored_lookup(mapped, "repeated_lines"), "uid")
 
-    both = found.unionByName(alike)
+    names = ["id", "start", "n_words", "class_id", "first"]
+    both = found.select(names).unionByName(alike.select(names))
     here = (c("id") == c("first.id")) & (c("start") == c("first.start"))
     return both.select("id", "start", "n_words", "class_id", c("first.id").alias("kept_id"), here.alias("kept"))
 

@@ -85,6 +85,29 @@ def test_planted_passages_are_found_and_clean_texts_left(documents):
     assert passage.split()[20].upper() in out[4] and all(len(out[i].split()) < 241 for i in planted if i not in (4, 7))
 
 
+def test_runs_of_51_words_settle_what_is_repeated(documents):
+    """A piece in several contexts, runs of 50 and 51 words, a text that repeats itself."""
+    rng = random.Random(9)
+    fresh = iter(range(10**6))
+    own = lambda k: [f"u{next(fresh)}" for _ in range(k)]
+    run, short, loop = own(51), own(50), own(60)
+    rows = [(i, own(rng.randrange(90)) + run + own(rng.randrange(90))) for i in range(12)]
+    rows += [(20 + i, own(40) + short + own(40)) for i in range(6)]
+    # the run once in a part too short to count, once whole; twice whole
+    rows += [(30, own(9) + run[:40] + own(30) + run + own(5)), (31, run + own(3) + run), (32, loop * 4), (33, ["ha"] * 500)]
+    rows += [(40, own(70)), (41, own(30) + ["ha"] * 51), (42, run[:50] + own(60)), (43, own(20) + run[1:] + own(20))]
+    texts = [(i, "\n".join(w), "en", "a") for i, w in rows]
+    places = defaultdict(set)
+    for i, w in rows:
+        for k in range(len(w) - 50):
+            places[tuple(w[k : k + 51])].add(i)
+    want = set().union(*(ids for ids in places.values() if len(ids) > 1))
+    found = p.repeats(documents(texts)).collect()
+    assert {r["id"] for r in found} == want and {0, 11, 30, 31, 33, 41} <= want and not want & {20, 32, 40, 42, 43}
+    kept = Counter(r["class_id"] for r in found if r["kept"])
+    assert set(kept.values()) == {1} and set(kept) == {r["class_id"] for r in found}
+
+
 def _line_classes(rows):
     lines = [(i, at, w) for i, t, _, _ in rows if i is not None for at, w in _lines(t)]
     sets = [frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) for *_, w in lines]
