@@ -183,15 +183,18 @@ def matches(words: list[bytes], parts: tuple) -> tuple[list[tuple[int, int]], se
 # ---- over tables
 
 
-def _blocks(items: DataFrame, id_column: str, text: str, block_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+def _blocks(
+    items: DataFrame, id_column: str, text: str, block_words: int, window: int
+) -> Iterator[list[tuple[str, list[bytes]]]]:
     """The items in blocks of bounded size, read one partition at a time."""
     held, size = [], 0
     rows = items.select(F.col(f"`{id_column}`").cast("string").alias("id"), F.col(f"`{text}`").alias("text"))
     for row in rows.toLocalIterator():
         words = normal_words(row["text"].encode()) if row["text"] else []
-        for at in range(0, max(1, len(words)), block_words):
-            # a longer item is cut into pieces that overlap by a window less one word
-            piece = words[at : at + block_words + WINDOW - 1]
+        # a longer item is cut into pieces that overlap by a window less one word; each
+        # starts with a whole window, so no remainder passes for an item of few words
+        for at in range(0, max(1, len(words) - window + 1), block_words):
+            piece = words[at : at + block_words + window - 1]
             held.append((row["id"] or "", piece))
             size += len(piece)
             if size >= block_words:
@@ -260,7 +263,7 @@ def contamination(
     c = F.col
     empty = F.lit(None).cast(f"struct<{_FOUND.replace(' bigint', ':bigint').replace(' array', ':array')}>")
     out, first = docs, True
-    for block in _blocks(items, item_id, item_text, block_words):
+    for block in _blocks(items, item_id, item_text, block_words, window):
         sent = spark.sparkContext.broadcast(Automaton.build(block, window).parts())
         if first:
             out = docs.withColumn(name, _find(c(f"`{text}`"), empty, sent))

@@ -71,3 +71,17 @@ def test_empty_tables(spark, documents):
     docs = documents([(1, "some words", "en", "a")])
     assert d.remove_contaminated(docs, none).count() == 1
     assert d.contamination(docs.limit(0), none).count() == 0
+
+
+def test_the_rest_of_a_cut_item_is_no_short_item():
+    class Items:
+        def select(self, *_):
+            return self
+
+        def toLocalIterator(self):
+            return iter([{"id": "a", "text": " ".join(f"w{i}" for i in range(45))}])
+
+    for window, block in ((13, 10), (13, 40), (5, 20)):
+        pieces = [w for b in d._blocks(Items(), "id", "text", block, window) for _, w in b]
+        starts = [tuple(p[k : k + window]) for p in pieces for k in range(len(p) - window + 1)]
+        assert min(map(len, pieces)) >= window and len(starts) == len(set(starts)) == 45 - window + 1
