@@ -5,11 +5,11 @@ ASCII blanks):
 
 * lines of ``least_words`` words or more, compared by their sets of five-word shingles at
   Jaccard similarity 0.8 or more;
-* pieces of ``piece`` words that line breaks need not respect, chosen by winnowing: of any
-  ``least_words + 1 - piece + 1`` neighbouring pieces the one with the least hash is taken.
-  Every passage of more than ``least_words`` words that two texts share holds a piece that
-  both choose. A piece found twice is only a candidate: it counts as repeated where a run
-  of more than ``least_words`` words around it is the same in two texts, word by word.
+* windows of ``least_words + 1`` words that line breaks need not respect. Each belongs to
+  one piece of ``piece`` words inside it, the leftmost with the least hash, so equal windows
+  belong to equal pieces. A piece found twice is only a candidate: it counts as repeated
+  where windows around it are the same in two texts, word by word, and the words of all
+  these windows are the passage.
 
 Lines get a MinHash signature whose bands are tuned for recall; lines that share a band's
 key are candidates. Buckets with the same members are looked at once. Their shingle sets
@@ -114,6 +114,22 @@ def winnowed(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(best == hashes)
 
 
+@dataclass
+class Pieces:
+    """The pieces of one text; windows ``first`` up to ``last`` (exclusive) belong to each.
+
+    ``contexts`` names all words of these windows; ``again`` marks those seen before.
+    """
+
+    starts: np.ndarray
+    hashes: np.ndarray
+    contexts: np.ndarray
+    again: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    windows: np.ndarray
+
+
 class Cutter:
     """Takes the paragraphs of texts as arrays."""
 
@@ -124,27 +140,25 @@ class Cutter:
         rng = np.random.default_rng(7)
         self.turns = rng.integers(0, 1 << 63, self.bands * self.rows, np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def pieces(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(starts, hashes, contexts): each piece of a text once in the same context.
+    def pieces(self, words: np.ndarray) -> Pieces:
+        """The pieces that windows of ``least_words + 1`` words belong to, every place of each.
 
-        The context is all that windows of ``least_words + 1`` words with the piece reach.
         Texts that are no longer than ``least_words`` have no pieces.
         """
         least = self.s.least_words + 1
-        margin = least - self.s.piece
-        every = run_hashes(words, self.s.piece) if len(words) >= least else words[:0]
-        at = winnowed(every, margin + 1)
-        around = [
-            xxhash.xxh64_intdigest(words[max(0, x - margin) : x + least].tobytes(), min(x, margin)) for x in at.tolist()
-        ]
-        contexts, first = np.unique(np.array(around, np.uint64), return_index=True)
-        return at[first], every[at[first]], contexts
-
-    def windows(self, words: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-        """Hashes of all windows of ``least_words + 1`` words around each piece."""
-        least = self.s.least_words + 1
-        every = run_hashes(words, least)
-        return [np.unique(every[max(0, x + self.s.piece - least) : x + 1]) for x in starts.tolist()]
+        windows = run_hashes(words, least)
+        every = run_hashes(words, self.s.piece) if len(windows) else words[:0]
+        places = np.arange(len(every))
+        if len(every):
+            places = _sliding(places, least - self.s.piece + 1, lambda i, j: np.where(every[j] < every[i], j, i))
+        cuts = np.flatnonzero(np.diff(places, prepend=-1))
+        ends = np.append(cuts, len(places))[1:]
+        at = places[cuts]
+        # neighbouring windows overlap, so the outer two and their distance hold all words
+        contexts = _mixed(_mixed(windows[cuts] + np.uint64(_STEP) * (ends - cuts).astype(np.uint64)) + windows[ends - 1])
+        again = np.ones(len(cuts), bool)
+        again[np.unique(contexts, return_index=True)[1]] = False
+        return Pieces(at, every[at], contexts, again, cuts, ends, windows)
 
     def signature(self, shingles: np.ndarray) -> np.ndarray:
         least = _mixed(shingles[:, None] * self.turns[None, :]).min(axis=0).reshape(self.bands, self.rows)
@@ -166,15 +180,17 @@ class Cutter:
 _UNITS = pa.schema(
     [
         *(("id", pa.int64()), ("line", pa.bool_()), ("start", pa.int32()), ("n_words", pa.int32()), ("uid", pa.int64())),
-        *(("context", pa.int64()), ("body", pa.int64())),
+        *(("context", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("again", pa.bool_()), ("body", pa.int64())),
         *(("bands", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))),
     ]
 )
 
 
 def units(docs: DataFrame, s: Settings, id_column: str, text: str) -> DataFrame:
-    """(id, line, start, n_words, uid, context, body, bands, shingles): the paragraphs of
-    all texts. ``context`` is that of a piece, zero for a line, ``body`` names the text."""
+    """(id, line, start, n_words, uid, context, low, high, again, body, bands, shingles): the
+    paragraphs of all texts. ``low`` and ``high`` bound the words of a piece's windows,
+    counted from its start. ``context`` is that of a piece, zero for a line, ``again`` says
+    that the text has it further ahead, ``body`` names the text."""
 
     def cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter(s)
@@ -184,15 +200,18 @@ def units(docs: DataFrame, s: Settings, id_column: str, text: str) -> DataFrame:
                 yield packed(cutter, ids[lo : lo + 256], utf8(texts.slice(lo, 256)))
 
     def packed(cutter: Cutter, ids: list, texts) -> pa.RecordBatch:
-        out: dict[str, list] = {name: [] for name in _UNITS.names[:7]}
+        out: dict[str, list] = {name: [] for name in _UNITS.names[:10]}
         bands, shingles = [], []
 
-        def add(doc, line, whole, starts, lengths, uids, contexts):
+        def add(doc, line, whole, starts, lengths, uids, contexts, lows, highs, again):
             n = len(uids)
             out["id"] += [doc] * n
             out["line"] += [line] * n
             out["body"] += [whole] * n
             out["context"].append(contexts)
+            out["low"].append(lows)
+            out["high"].append(highs)
+            out["again"].append(again)
             out["start"].append(starts)
             out["n_words"].append(lengths)
             out["uid"].append(uids)
@@ -200,25 +219,29 @@ def units(docs: DataFrame, s: Settings, id_column: str, text: str) -> DataFrame:
         for doc, body in zip(ids, texts):
             words, long_ones = cutter.lines(body or b"")
             whole = xxhash.xxh64_intdigest(words.tobytes()) >> 1
-            at, found, contexts = cutter.pieces(words)
-            add(doc, False, whole, at, np.full(len(at), s.piece), found, contexts)
-            bands += [None] * len(at)
-            shingles += [None] * len(at)
+            p = cutter.pieces(words)
+            at, n = p.starts, len(p.starts)
+            reach = p.first - at, p.last - at + s.least_words
+            add(doc, False, whole, at, np.full(n, s.piece), p.hashes, p.contexts, *reach, p.again)
+            bands += [None] * n
+            shingles += [None] * n
             every = run_hashes(words, s.shingle)
+            no_context = np.zeros(1, np.uint64), np.zeros(1, int), np.zeros(1, int), np.zeros(1, bool)
             for a, b in long_ones:
                 own = np.unique(every[a : b - s.shingle + 1])
                 uid = np.array([xxhash.xxh64_intdigest(words[a:b].tobytes())], np.uint64)
-                add(doc, True, whole, np.array([a]), np.array([b - a]), uid, np.zeros(1, np.uint64))
+                add(doc, True, whole, np.array([a]), np.array([b - a]), uid, *no_context)
                 bands.append(cutter.signature(own).view(np.int64))
                 shingles.append(own.view(np.int64))
-        arrays = ("start", "n_words", "uid", "context")
+        arrays = ("start", "n_words", "uid", "context", "low", "high", "again")
         joined = {k: np.concatenate(out[k]) if out[k] else np.zeros(0, np.uint64) for k in arrays}
         hashed = [joined[k].astype(np.uint64).view(np.int64) for k in ("uid", "context")]
-        columns = [out["id"], out["line"], joined["start"], joined["n_words"], *hashed, out["body"]]
+        plain = [joined["low"], joined["high"], joined["again"].astype(bool), out["body"]]
+        columns = [out["id"], out["line"], joined["start"], joined["n_words"], *hashed, *plain]
         columns = [pa.array(v, f.type) for v, f in zip([*columns, bands, shingles], _UNITS)]
         return pa.RecordBatch.from_arrays(columns, schema=_UNITS)
 
-    kinds = "id bigint, line boolean, start int, n_words int, uid bigint, context bigint, body bigint, bands array<bigint>, shingles array<bigint>"
+    kinds = "id bigint, line boolean, start int, n_words int, uid bigint, context bigint, low int, high int, again boolean, body bigint, bands array<bigint>, shingles array<bigint>"
     narrow = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
     return narrow.mapInArrow(cut, kinds)
 
@@ -319,88 +342,110 @@ def line_links(lines: DataFrame, s: Settings) -> DataFrame:
 # ---- repeats
 
 
-_WINDOW = pa.schema([("context", pa.int64()), ("window", pa.int64())])
+_WINDOW = pa.schema([("context", pa.int64()), ("shift", pa.int32()), ("window", pa.int64())])
 
 
 def _windows(docs: DataFrame, spots: DataFrame, s: Settings, id_column: str, text: str) -> DataFrame:
-    """(context, window): every window around the pieces in ``spots`` (id, contexts)."""
+    """(context, shift, window): the windows of the pieces in ``spots`` (id, contexts);
+    ``shift`` is where a window starts, counted from its piece."""
 
     def cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter(s)
         for batch in stream:
             for body, asked in zip(utf8(batch.column("text")), batch.column("contexts")):
                 words, _ = cutter.lines(body or b"")
-                at, _, contexts = cutter.pieces(words)
-                chosen = np.isin(contexts.view(np.int64), asked.values.to_numpy(zero_copy_only=False))
-                found = cutter.windows(words, at[chosen])
-                if found:
-                    names = np.repeat(contexts[chosen].view(np.int64), [len(x) for x in found])
-                    columns = [pa.array(names), pa.array(np.concatenate(found).view(np.int64))]
+                p = cutter.pieces(words)
+                chosen = np.isin(p.contexts.view(np.int64), asked.values.to_numpy(zero_copy_only=False)) & ~p.again
+                if chosen.any():
+                    n = p.last - p.first
+                    mine = np.repeat(chosen, n)  # windows come in the order of their pieces
+                    names = np.repeat(p.contexts[chosen].view(np.int64), n[chosen])
+                    shift = np.flatnonzero(mine) - np.repeat(p.starts[chosen], n[chosen])
+                    columns = [pa.array(names), pa.array(shift, pa.int32()), pa.array(p.windows[mine].view(np.int64))]
                     yield pa.RecordBatch.from_arrays(columns, schema=_WINDOW)
 
     narrow = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
-    return narrow.join(spots, "id").select("text", "contexts").mapInArrow(cut, "context bigint, window bigint")
+    kinds = "context bigint, shift int, window bigint"
+    return narrow.join(spots, "id").select("text", "contexts").mapInArrow(cut, kinds)
 
 
 def shared_pieces(docs: DataFrame, pieces: DataFrame, s: Settings, id_column: str, text: str) -> DataFrame:
-    """(uid, context, first): where pieces lie in runs of more than ``least_words`` words
-    that two texts share; ``first`` is the smallest place of the piece among these.
+    """(context, class_id, first, low, high): what of a context's windows two texts share.
 
-    A context found in two texts is shared as it stands. Where a piece has several, one
-    text for each context is asked for its windows, and windows that meet settle it.
+    A window's copy at the smallest place stays; windows that stay with one context are a
+    class, named by it, and ``first`` is where it stands. ``low`` and ``high`` bound the
+    words of a context's windows in that class, from its piece, or are null for all of them.
+    All windows of a context hold its piece, so their words have no gaps.
+
+    A context found in two texts is shared as it stands if its piece has no other. Where a
+    piece has several, one text for each context is asked for its windows.
     """
     c = F.col
-    twice = pieces.groupBy("uid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("uid")
+    texts = F.count_if(~c("again"))
+    twice = pieces.groupBy("uid").agg(texts.alias("n")).filter("n > 1").select("uid")
     place = F.struct("id", "start", "body").alias("place")
-    several = pieces.join(stored_lookup(twice, "repeated_pieces"), "uid").select("uid", "context", place)
-    contexts = several.groupBy("uid", "context").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("place"))
+    several = pieces.join(stored_lookup(twice, "repeated_pieces"), "uid").select("uid", "context", "again", place)
+    contexts = several.groupBy("uid", "context").agg(texts.alias("n"), F.min("place").alias("place"))
     contexts = stored(contexts, "contexts")
 
     open_uids = contexts.groupBy("uid").agg(
         F.count(F.lit(1)).alias("m"),
-        F.min("n").alias("least"),
         F.max("n").alias("most"),
         F.min("place.body").alias("lo"),
         F.max("place.body").alias("hi"),
     )
-    open_uids = open_uids.filter("m > 1 AND least = 1 AND (lo < hi OR most > 1)").select("uid")
-    asked = stored(contexts.join(stored_lookup(open_uids, "open_pieces"), "uid"), "open_contexts")
+    open_uids = stored_lookup(open_uids.filter("m > 1 AND (lo < hi OR most > 1)").select("uid"), "open_pieces")
+    asked = stored(contexts.join(open_uids, "uid").select("context", "n", "place"), "open_contexts")
     spots = asked.groupBy("place.id").agg(F.collect_set("context").alias("contexts"))
     windows = stored(_windows(docs, stored_lookup(spots, "spots"), s, id_column, text), "windows")
-    known = asked.select("context", "n", c("place.body").alias("body"))
-    met = windows.join(stored_lookup(known, "known_contexts"), "context")
+    known = asked.select("context", "n", "place.id", "place.start", "place.body")
+    met = windows.select("context", "window").join(stored_lookup(known, "known_contexts"), "context")
     met = met.groupBy("window").agg(
-        F.min("body").alias("lo"), F.max("body").alias("hi"), F.max("n").alias("most")
+        F.min("body").alias("lo"),
+        F.max("body").alias("hi"),
+        F.max("n").alias("most"),
+        F.min(F.struct("id", "start", "context")).alias("first"),
     )
-    met = stored_lookup(met.filter("lo < hi OR most > 1").select("window"), "shared_windows")
-    settled = windows.join(met, "window").select("context").distinct()
-    whole = contexts.filter("n > 1").select("context")
-    good = stored_lookup(settled.unionByName(whole).distinct(), "shared_contexts")
+    met = met.filter("lo < hi OR most > 1").select("window", c("first.context").alias("class_id"))
+    settled = windows.join(stored_lookup(met, "shared_windows"), "window")
+    settled = settled.groupBy("context", "class_id").agg(
+        F.min("shift").alias("low"), (F.max("shift") + s.least_words + 1).alias("high")
+    )
+    stands = asked.select(c("context").alias("class_id"), F.struct("place.id", "place.start").alias("first"))
+    settled = settled.join(stored_lookup(stands, "first_places"), "class_id")
 
-    shared = stored(contexts.join(good, "context").select("uid", "context", "place"), "shared_pieces")
-    first = shared.groupBy("uid").agg(F.min(F.struct("place.id", "place.start")).alias("first"))
-    return shared.select("uid", "context").join(stored_lookup(first, "first_places"), "uid")
+    nothing = F.lit(None).cast("int")
+    whole = contexts.join(open_uids, "uid", "left_anti").filter("n > 1")
+    whole = whole.select("context", c("context").alias("class_id"), F.struct("place.id", "place.start").alias("first"))
+    whole = whole.select("*", nothing.alias("low"), nothing.alias("high"))
+    return settled.select(whole.columns).unionByName(whole)
 
 
 def repeats(docs: DataFrame, s: Settings = Settings(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, start, n_words, class_id, kept_id, kept): each paragraph of a repeated class.
-
-    ``start`` counts words of the text from 0. Of a class the paragraph at the smallest
-    (id, start) is ``kept``, and ``kept_id`` is its document. Null, empty and shorter texts
-    have no paragraphs; rows without an id are not compared. A passage that recurs within
-    one text alone is not repeated; rows that share an id are texts of their own. No
-    documents give an empty table.
+    """(id, line, start, n_words, run_start, run_words, class_id, kept_id, kept): each
+    paragraph of a repeated class.
+
+    A line is its own run. A piece's run are the words around it that texts share in windows
+    of ``least_words + 1`` words; a piece has a row for each class its windows belong to.
+    ``start`` and ``run_start`` count words of the text from 0. Of a class the paragraph at
+    the smallest (id, start) is ``kept``, and ``kept_id`` is its document. Null, empty and
+    shorter texts have no paragraphs; rows without an id are not compared. A passage that
+    recurs within one text alone is not repeated; rows that share an id are texts of their
+    own. No documents give an empty table.
     """
     c = F.col
     docs = docs.filter(c(f"`{id_column}`").isNotNull())
     every = stored(units(docs, s, id_column, text), "units")
-    pieces = every.filter("NOT line").select("id", "start", "n_words", "uid", "context", "body")
+    pieces = every.filter("NOT line").drop("bands", "shingles")
     lines = every.filter("line")
     place = F.min(F.struct("id", "start")).alias("first")
     n = F.count(F.lit(1)).alias("n")
 
-    shared = shared_pieces(docs, pieces, s, id_column, text).withColumnRenamed("uid", "class_id")
-    found = pieces.drop("body").join(stored_lookup(shared, "shared_places"), "context").drop("context")
+    shared = stored_lookup(shared_pieces(docs, pieces, s, id_column, text), "shared_places")
+    found = pieces.select("id", "line", "start", "n_words", "context", c("low").alias("_low"), c("high").alias("_high"))
+    found = found.join(shared, "context").withColumns(
+        {"low": F.coalesce("low", "_low"), "high": F.coalesce("high", "_high"), "own": c("context") == c("class_id")}
+    )
 
     groups = stored(lines.groupBy("uid").agg(n, place), "line_groups")
     classes = connected_components(line_links(lines, s)).select(c("node").alias("uid"), "component")
@@ -408,44 +453,64 @@ def repeats(docs: DataFrame, s: Settings = Settings(), id_column: str = "doc_id"
     labelled = stored(labelled.select("uid", "n", "first", "class_id"), "labelled")
     whole = labelled.groupBy("class_id").agg(F.sum("n").alias("n"), F.min("first").alias("first")).filter("n > 1")
     mapped = labelled.select("uid", "class_id").join(whole.select("class_id", "first"), "class_id")
-    alike = lines.select("id", "start", "n_words", "uid").join(stored_lookup(mapped, "repeated_lines"), "uid")
+    alike = lines.select("id", "line", "start", "n_words", "uid").join(stored_lookup(mapped, "repeated_lines"), "uid")
+    alike = alike.withColumns({"low": F.lit(0), "high": c("n_words"), "own": F.lit(True)})
 
-    names = ["id", "start", "n_words", "class_id", "first"]
+    names = ["id", "line", "start", "n_words", "low", "high", "class_id", "first", "own"]
     both = found.select(names).unionByName(alike.select(names))
-    here = (c("id") == c("first.id")) & (c("start") == c("first.start"))
-    return both.select("id", "start", "n_words", "class_id", c("first.id").alias("kept_id"), here.alias("kept"))
-
-
-def _covered(spans: Column) -> Column:
-    """Words in a union of (start, end) spans."""
-    summed = F.aggregate(
-        F.array_sort(spans),
-        F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
-        lambda a, x: F.struct(
-            F.greatest(a["end"], x["end"]).alias("end"),
-            (a["n"] + F.greatest(F.lit(0), x["end"] - F.greatest(x["start"], a["end"]))).alias("n"),
-        ),
-        lambda a: a["n"],
-    )
-    return summed.cast("bigint")
+    here = c("own") & (c("id") == c("first.id")) & (c("start") == c("first.start"))
+    run = [(c("start") + c("low")).alias("run_start"), (c("high") - c("low")).alias("run_words")]
+    return both.select(*names[:4], *run, "class_id", c("first.id").alias("kept_id"), here.alias("kept"))
+
+
+_CUTS = "repeated_words bigint, removed_words bigint, removed array<struct<start: int, end: int>>"
+
+
+def _cuts(runs: pa.Array) -> pa.Array:
+    """What runs (start, end, kept) of each document cover, and what of it goes."""
+    repeated, removed, sizes, spans = [], [], [], []
+    for own in runs:
+        flat = own.values
+        low, high, kept = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("start", "end", "kept"))
+        edges, at = np.unique(np.concatenate((low, high)), return_inverse=True)
+        a, b = at[: len(low)], at[len(low) :]
+        n = len(edges)
+
+        def inside(which: np.ndarray) -> np.ndarray:
+            return (np.bincount(a[which], minlength=n) - np.bincount(b[which], minlength=n)).cumsum()[:-1] > 0
+
+        width = np.diff(edges)
+        gone = inside(~kept) & ~inside(kept)
+        turns = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
+        repeated.append(int(width[inside(np.ones(len(low), bool))].sum()))
+        removed.append(int(width[gone].sum()))
+        sizes.append(len(turns) // 2)
+        spans.append(edges[turns].reshape(-1, 2))
+    both = np.concatenate(spans) if spans else np.zeros((0, 2))
+    kind = pa.int32()
+    pairs = pa.StructArray.from_arrays([pa.array(both[:, k], kind) for k in (0, 1)], ["start", "end"])
+    lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), kind), pairs)
+    columns = [pa.array(repeated, pa.int64()), pa.array(removed, pa.int64()), lists]
+    return pa.StructArray.from_arrays(columns, ["repeated_words", "removed_words", "removed"])
 
 
 def by_document(found: DataFrame) -> DataFrame:
     """(id, repeated_words, removed_words, kept_ids, removed): one row for each document
-    with repeats. ``removed`` lists the spans to cut, ``kept_ids`` where their words stay."""
-    span = F.struct(F.col("start"), (F.col("start") + F.col("n_words")).alias("end"))
-    listed = found.groupBy("id").agg(
-        F.collect_set(span).alias("all"),
-        F.collect_set(F.when(~F.col("kept"), span)).alias("removed"),
-        F.array_sort(F.collect_set(F.when(~F.col("kept"), F.col("kept_id")))).alias("kept_ids"),
+    with repeats. ``removed`` lists the spans to cut, ``kept_ids`` where their words stay.
+    No word of a run of windows that stays here is cut, whatever else it belongs to."""
+    c = F.col
+    run = F.struct(
+        c("run_start").alias("start"),
+        (c("run_start") + c("run_words")).alias("end"),
+        (c("kept") & ~c("line")).alias("kept"),
     )
-    return listed.select(
-        "id",
-        _covered(F.col("all")).alias("repeated_words"),
-        _covered(F.col("removed")).alias("removed_words"),
-        "kept_ids",
-        F.array_sort("removed").alias("removed"),
+    goes = F.when(~c("kept"), c("kept_id"))
+    listed = found.groupBy("id").agg(
+        F.collect_set(run).alias("runs"),
+        F.array_sort(F.collect_set(goes)).alias("kept_ids"),
     )
+    found = listed.select("id", "kept_ids", F.arrow_udf(_cuts, _CUTS)("runs").alias("cuts"))
+    return found.select("id", "cuts.repeated_words", "cuts.removed_words", "kept_ids", "cuts.removed")
 
 
 def without_repeats(docs: DataFrame, s: Settings = Settings(), id_column: str = "doc_id", text: str = "text") -> DataFrame:

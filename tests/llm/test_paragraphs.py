@@ -108,6 +108,58 @@ def test_runs_of_51_words_settle_what_is_repeated(documents):
     assert set(kept.values()) == {1} and set(kept) == {r["class_id"] for r in found}
 
 
+def _runs(texts):
+    """Places (text, start) of every 51-word window that two of ``texts`` (id, words) have."""
+    places = defaultdict(list)
+    for k, (_, w) in enumerate(texts):
+        for at in range(len(w) - 50):
+            places[tuple(w[at : at + 51])].append((k, at))
+    return {w: x for w, x in places.items() if len({k for k, _ in x}) > 1}
+
+
+def _covering(texts):
+    """{id: (words of shared runs, those of them outside the kept copies)}."""
+    all_words, away, here = defaultdict(set), defaultdict(set), defaultdict(set)
+    for found in _runs(texts).values():
+        first = min(found, key=lambda x: (texts[x[0]][0], x[1]))
+        for k, at in found:
+            words = range(at, at + 51)
+            all_words[texts[k][0]].update(words)
+            (here if (k, at) == first else away)[texts[k][0]].update(words)
+    return {i: (len(w), len(away[i] - here[i])) for i, w in all_words.items()}
+
+
+def _recombined():
+    rng = random.Random(12)
+    fresh = iter(range(10**6))
+    own = lambda k: [f"v{next(fresh)}" for _ in range(k)]
+    blocks = [own(rng.randrange(20, 140)) for _ in range(12)]
+    texts = []
+    for i in range(60):
+        words = own(rng.randrange(30))
+        for _ in range(rng.randrange(1, 6)):
+            b = rng.choice(blocks)
+            lo = rng.choice([0, 0, rng.randrange(len(b))])
+            words += b[lo : rng.choice([len(b), len(b), rng.randrange(len(b)) + 1])] + own(rng.choice([0, 1, 40]))
+        texts.append((i, words))
+    run, block = own(51), own(80)
+    texts += [(70 + i, own(33) + run + own(41)) for i in range(3)]
+    texts += [(80, own(9) + block + own(9) + block), (81, block + block + own(70) + block[5:]), (82, ["so"] * 300), (83, ["so"] * 120)]
+    return [*texts, (84, texts[3][1]), (85, [*own(4), *texts[3][1]])]
+
+
+def test_shared_runs_are_cut_whole_outside_their_kept_copy(documents):
+    texts = _recombined()
+    docs = documents([(i, "\n".join(w), "en", "a") for i, w in texts])
+    got = {r["id"]: (r["repeated_words"], r["removed_words"]) for r in p.by_document(p.repeats(docs)).collect()}
+    assert got == _covering(texts)
+    assert got[70] == (51, 0) and got[71] == got[72] == (51, 51) and got[80] == (169 - 9, 80)
+    left = {r["doc_id"]: r["text"].split() for r in p.without_repeats(docs).collect()}
+    assert all(len(w) - len(left[i]) == got.get(i, (0, 0))[1] for i, w in texts)
+    stands = {tuple(w[k : k + 51]) for w in left.values() for k in range(len(w) - 50)}
+    assert set(_runs(texts)) <= stands
+
+
 def _line_classes(rows):
     lines = [(i, at, w) for i, t, _, _ in rows if i is not None for at, w in _lines(t)]
     sets = [frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) for *_, w in lines]
