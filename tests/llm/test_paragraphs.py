@@ -160,6 +160,24 @@ def test_shared_runs_are_cut_whole_outside_their_kept_copy(documents):
     assert set(_runs(texts)) <= stands
 
 
+def test_a_line_removed_for_a_near_equal_one_keeps_what_others_copy(documents):
+    """Document 2 is document 1 and 52 words more; document 3 has these words as well."""
+    rng = random.Random(21)
+    fresh = iter(range(10**6))
+    own = lambda k: [f"x{next(fresh)}" for _ in range(k)]
+    line, more, edited = own(300), own(52), own(200)
+    other = [*edited[:100], "edit", *edited[101:]]
+    texts = [(1, line), (2, line + more), (3, own(rng.randrange(60)) + more + own(40))]
+    texts += [(4, edited), *((i, other) for i in (5, 6, 7))]
+    docs = documents([(i, " ".join(w), "en", "a") for i, w in texts])
+    got = {r["id"]: r for r in p.by_document(p.repeats(docs)).collect()}
+    assert [got[i]["removed_words"] for i in (1, 2, 3, 6, 7)] == [0, 300, 52, 200, 200]
+    assert got[3]["kept_ids"] == [2]
+    left = [r["text"].split() for r in p.without_repeats(docs).collect()]
+    stands = {tuple(w[k : k + 51]) for w in left for k in range(len(w) - 50)}
+    assert set(_runs(texts)) <= stands
+
+
 def _line_classes(rows):
     lines = [(i, at, w) for i, t, _, _ in rows if i is not None for at, w in _lines(t)]
     sets = [frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) for *_, w in lines]
