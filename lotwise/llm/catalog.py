@@ -119,7 +119,7 @@ FROM m
 @query
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = paragraphs.by_document(paragraphs.repeats(table(spark, sf_dir, "documents")))
-    return found.select(F.col("id").alias("doc_id"), "repeated_words", "removed_words", "kept_ids")
+    return found.select(F.col("id").alias("doc_id"), "repeated_words", "removed_words", "kept_ids", "class_ids")
 
 
 @query

@@ -495,8 +495,9 @@ def _cuts(runs: pa.Array) -> pa.Array:
 
 
 def by_document(found: DataFrame) -> DataFrame:
-    """(id, repeated_words, removed_words, kept_ids, removed): one row for each document
-    with repeats. ``removed`` lists the spans to cut, ``kept_ids`` where their words stay.
+    """(id, repeated_words, removed_words, kept_ids, class_ids, removed): one row for each
+    document with repeats. ``removed`` lists the spans to cut, ``kept_ids`` where their words
+    stay, ``class_ids`` all classes the document is in, with a kept copy or another.
     No word of a run of windows that stays here is cut, whatever else it belongs to."""
     c = F.col
     run = F.struct(
@@ -508,9 +509,10 @@ def by_document(found: DataFrame) -> DataFrame:
     listed = found.groupBy("id").agg(
         F.collect_set(run).alias("runs"),
         F.array_sort(F.collect_set(goes)).alias("kept_ids"),
+        F.array_sort(F.collect_set("class_id")).alias("class_ids"),
     )
-    found = listed.select("id", "kept_ids", F.arrow_udf(_cuts, _CUTS)("runs").alias("cuts"))
-    return found.select("id", "cuts.repeated_words", "cuts.removed_words", "kept_ids", "cuts.removed")
+    found = listed.select("id", "kept_ids", "class_ids", F.arrow_udf(_cuts, _CUTS)("runs").alias("cuts"))
+    return found.select("id", "cuts.repeated_words", "cuts.removed_words", "kept_ids", "class_ids", "cuts.removed")
 
 
 def without_repeats(docs: DataFrame, s: Settings = Settings(), id_column: str = "doc_id", text: str = "text") -> DataFrame:

@@ -178,6 +178,18 @@ def test_a_line_removed_for_a_near_equal_one_keeps_what_others_copy(documents):
     assert set(_runs(texts)) <= stands
 
 
+def test_classes_can_be_rebuilt_from_documents(documents):
+    """One passage in documents 1, 2 and 3, another in 2 and 4."""
+    own = lambda name, k: " ".join(f"{name}{i}" for i in range(k))
+    one, two = own("a", 45) + "\n" + own("b", 40), own("c", 45) + "\n" + own("d", 20)
+    rows = [(1, one), (2, one + "\n" + two), (3, own("e", 30) + "\n" + one), (4, two), (5, own("f", 90))]
+    members = defaultdict(set)
+    for r in p.by_document(p.repeats(documents([(i, t, "en", "a") for i, t in rows]))).collect():
+        for x in r["class_ids"]:
+            members[x].add(r["id"])
+    assert {frozenset(x) for x in members.values()} == {frozenset({1, 2, 3}), frozenset({2, 4})}
+
+
 def _line_classes(rows):
     lines = [(i, at, w) for i, t, _, _ in rows if i is not None for at, w in _lines(t)]
     sets = [frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) for *_, w in lines]
