@@ -7,8 +7,6 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -30,6 +28,8 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def study(spark):
+    from paths import SF
+
     from lotwise.catalog.study import Study
 
     return Study.of(spark, SF)

@@ -2,7 +2,7 @@
 
 import pytest
 from check import compare, sql_connection
-from conftest import SF
+from paths import SF
 
 import __spark_entry__ as entry
 
