@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import chat, decontaminate, hilbert, language, mixing, paragraphs, quality, simhash, toxicity, warc
+from lotwise.llm import chat, decontaminate, fim, hilbert, language, mixing, paragraphs, quality, simhash, toxicity, warc
 from lotwise.llm.common import fold, table
 from lotwise.workspace import stored
 
@@ -197,3 +197,42 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
     CAST(sum(n_text + n_role + 23) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.with_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    output, form = F.col("fim.output"), F.col("fim.form")
+    return made.select(
+        "doc_id",
+        *[f"fim.{x}" for x in ("n", "form", "prefix_chars", "middle_chars")],
+        F.sha2(output, 256).alias("output_sha256"),
+        F.sha2(fim.restored(output, form), 256).alias("restored_sha256"),
+    )
+
+
+_SQL["op12_fill_in_middle"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+        regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u
+    FROM documents
+), k AS (
+    SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS c1,
+        CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS c2,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+            WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM d
+), p AS (
+    SELECT *, coalesce(array_to_string(u[1:least(c1, c2)], ''), '') AS a,
+        coalesce(array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], ''), '') AS m,
+        coalesce(array_to_string(u[greatest(c1, c2) + 1:], ''), '') AS z
+    FROM k
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(a) AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || m
+        ELSE '<S>' || z || '<P>' || a || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM p
+"""
