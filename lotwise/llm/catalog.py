@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import chat, decontaminate, fim, hilbert, language, mixing, paragraphs, quality, simhash, toxicity, warc
+from lotwise.llm import (
+    chat,
+    decontaminate,
+    divergence,
+    fim,
+    hilbert,
+    language,
+    mixing,
+    paragraphs,
+    quality,
+    simhash,
+    toxicity,
+    urlrules,
+    warc,
+)
 from lotwise.llm.common import fold, table
 from lotwise.workspace import stored
 
@@ -199,6 +213,26 @@ FROM e GROUP BY conv_id
 """
 
 
+# fixed values: the rules of the contract
+URL_RULES = [
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+]
+
+
+@query
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    # the label table names documents, not pages: the addresses that a stated rule decides
+    # are the labelled ones, and what is mined from them judges the rest
+    mined = urlrules.mine(urlrules.labelled_by(pages, URL_RULES))
+    found = urlrules.judged(pages, mined, URL_RULES)
+    return found.select("page_id", *[f"url_filter.{x}" for x in ("host", "path", "rule", "verdict")])
+
+
 @query
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fim.with_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -236,3 +270,50 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(a) AS BIGINT)
     sha256(t) AS restored_sha256
 FROM p
 """
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+_SQL["op13_source_divergence"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), t AS (
+    SELECT row, lang, source, unnest(w) AS term FROM d
+), kept AS (
+    SELECT lang, term, count(*) AS n_lang FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 3
+), totals AS (
+    SELECT lang, count(*) AS v, sum(n_lang) AS n_all FROM kept GROUP BY lang
+), c AS (
+    SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), g AS (
+    SELECT lang, source, coalesce(any_value(s.size), 0) AS size
+    FROM (SELECT DISTINCT lang, source FROM d)
+    LEFT JOIN (SELECT lang, source, sum(n) AS size FROM c GROUP BY lang, source) s USING (lang, source)
+    GROUP BY lang, source
+), dense AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+        CAST(1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.size + x.v) AS BIGINT) AS p,
+        CAST(1 + (1000000000::HUGEINT * (k.n_lang + 1)) // (x.n_all + x.v) AS BIGINT) AS q
+    FROM g JOIN kept k USING (lang) JOIN totals x USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+    FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY ALL
+), own AS (
+    SELECT lang, source, term AS item, ((p - q) * (p - q)) // q AS value FROM dense WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(p.value, 0) AS BIGINT) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL SELECT lang, source, 'term', item, CAST(value AS BIGINT) FROM own
+), placed AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM ranked
+)
+SELECT lang, source, part, item, value, rank FROM placed WHERE part = 'pair' OR rank <= 200
+"""

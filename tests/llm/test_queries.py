@@ -22,7 +22,7 @@ def test_query(spark, name):
         assert same, note
     else:
         n = df.count()
-        whole = table(spark, SF, "documents").count()
+        whole = table(spark, SF, "pages" if name == "op11_url_filters" else "documents").count()
         assert n == whole if name != "op5_substring_dedup" else 0 < n < whole
 
 
