@@ -281,8 +281,7 @@ def _(s):
 
 @query("rf_train")
 def _(s):
-    trees = s.forest.model.stages[-1]
-    rows = [(t.numNodes, t.depth) for t in trees.trees]
+    rows = [(t.numNodes, t.depth) for t in s.forest.trees]
     return s.spark.createDataFrame(rows, "nodes int, depth int")
 
 
@@ -342,6 +341,43 @@ def _(s):
     return out.agg(F.count(F.lit(1)).alias("n"), (error < F.var_pop("price")).alias("in_sample_better"))
 
 
+@query(
+    "onehot_levels",
+    S.KEEP
+    + "".join(
+        f"""{' UNION ALL ' if i else ''}SELECT DISTINCT '{name}' AS predictor, level,
+    CAST(place - 2 AS BIGINT) AS code FROM (SELECT {level} AS level, dense_rank() OVER (ORDER BY {level}) AS place FROM kept
+    WHERE {level} IS NOT NULL) WHERE place > 1"""
+        for i, (name, level) in enumerate(
+            [("make", "make"), ("model_key", "model_key"), ("trim_key", "trim_key"), ("year2", "CAST(year AS VARCHAR)")]
+        )
+    ),
+)
+def _(s):
+    tables = s.onehot_forest.encoding.tables
+    parts = [t.select(F.lit(name).alias("predictor"), "level", c("code").cast("bigint").alias("code")) for name, t in tables.items()]
+    return union_rows(*parts)
+
+
+@query(
+    "rf_onehot",
+    S.KEEP
+    + """, n AS (SELECT count(DISTINCT make) + count(DISTINCT model_key) + count(DISTINCT trim_key) + count(DISTINCT year) - 2 AS k
+    FROM kept) SELECT id, price, TRUE AS predicted, TRUE AS within_prices, CAST(k AS INTEGER) AS n_features FROM kept, n""",
+)
+def _(s):
+    # k levels of each text predictor are k - 1 features; beside them the mileage and its flag
+    ends = s.kept_table.agg(F.min("price").alias("lo"), F.max("price").alias("hi")).first()
+    out = forest.rf_predict(s.onehot_forest, s.kept_table)
+    y, n = c(forest.PREDICTION), F.lit(s.onehot_forest.n_features).cast("int")
+    return out.select(
+        *("id", "price"),
+        y.isNotNull().alias("predicted"),
+        y.between(ends["lo"], ends["hi"]).alias("within_prices"),
+        n.alias("n_features"),
+    )
+
+
 @query("encoded_levels", S.KEEP + """, m AS (SELECT avg(price) AS mu FROM kept)
     SELECT trim_key, rounded((sum(price) + 10 * max(mu)) / (count(*) + 10), 2) AS mean FROM kept, m GROUP BY trim_key""")
 def _(s):

@@ -6,6 +6,7 @@ tables once per session and stored in the session's shared folder.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,6 +101,10 @@ class Study:
     def forest(self):
         return forest.rf_train(self.kept_table, P)
 
+    @cached_property
+    def onehot_forest(self):
+        return forest.rf_train(self.kept_table, replace(P, rf_encoding="onehot"))
+
     @cached_property
     def known_forest(self):
         return forest.rf_train(self.known, P)

@@ -35,6 +35,9 @@ class Params:
     rf_grid_trees: tuple[int, ...] = (500, 1000, 1500)
     rf_grid_subsets: tuple[str, ...] = ("2", "3", "4", "5")
     rf_prior_rows: float = 10.0  # rows at the overall mean added to each level
+    rf_encoding: str = "means"  # text predictors: "means" of their levels or "onehot"
+    rf_repeats: int = 1  # cross-validations with other folds
+    rf_parallel: int = 2  # fits of one fold at a time
     # deal rules
     gap_full: float = 20.0
     gap_recent: float = 10.0

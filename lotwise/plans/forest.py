@@ -1,74 +1,69 @@
 """Random-forest price model on the ML library.
 
-A text predictor becomes a number that its level stands for: the mean training price of
-the level, drawn towards the overall mean where rows are few. The means are lookup tables
-joined to the rows, so any number of levels is told apart, none passes through the driver,
-and the rule is the same at every size. A training row gets the mean of the other folds,
-or its own price would leak into its predictor. Levels never seen stand for the overall
-mean, a missing mileage for the mean mileage, with a flag beside.
+A forest is a pipeline from raw rows to a price: the year as a category, an encoding of the
+text predictors (``encoding.py``), and blocks of trees whose mean is the prediction. The
+mean of the first blocks is a smaller forest, so one fit answers for every number of trees
+of a grid. Text predictors are level means by default, which any number of levels bears;
+one-hot vectors, as a model formula has them, are the choice where levels are thousands:
+the library holds a training row as one number for each feature.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from dataclasses import dataclass, replace
+from itertools import pairwise
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.operators.groups import left_lookup
 from lotwise.operators.rank import numbered
 from lotwise.params import Params
+from lotwise.plans.encoding import LevelCodes, LevelCodesModel, LevelMeans, LevelMeansModel
 from lotwise.plans.evaluate import FOREST
-from lotwise.workspace import measured, stored_lookup
+from lotwise.workspace import stored, stored_lookup
 
 PREDICTION = "predicted_price_rf"
 
 CATEGORIES = ["make", "model_key", "trim_key", "year2"]
 FEATURES = [*(f"{c}_mean" for c in CATEGORIES), "mileage_known", "mileage_filled"]
+TRAINING_FOLD = "_training_fold"
 
 
 @dataclass(frozen=True)
-class Encoding:
-    """What stands for levels and missing values; one table of levels for each predictor."""
+class Forest:
+    """A fitted pipeline that scores raw rows (make, model_key, trim_key, year, mileage)."""
 
-    price: float
-    mileage: float
-    levels: dict[str, DataFrame]  # level, fold (null: all folds), mean
+    model: PipelineModel
 
-    def save(self, path: str) -> None:
-        spark = SparkSession.getActiveSession()
-        means = spark.createDataFrame([(self.price, self.mileage)], "price double, mileage double")
-        means.coalesce(1).write.parquet(f"{path}/means")
-        for name, table in self.levels.items():
-            table.write.parquet(f"{path}/{name}")
+    @property
+    def encoding(self) -> LevelMeansModel | LevelCodesModel:
+        return next(s for s in self.model.stages if isinstance(s, (LevelMeansModel, LevelCodesModel)))
 
-    @staticmethod
-    def load(spark: SparkSession, path: str) -> Encoding:
-        means = spark.read.parquet(f"{path}/means").first()
-        levels = {c: measured(spark.read.parquet(f"{path}/{c}")) for c in CATEGORIES}
-        return Encoding(means["price"], means["mileage"], levels)
+    @property
+    def blocks(self) -> list[RandomForestRegressionModel]:
+        return [s for s in self.model.stages if isinstance(s, RandomForestRegressionModel)]
 
+    @property
+    def trees(self) -> list:
+        return [t for b in self.blocks for t in b.trees]
 
-@dataclass(frozen=True)
-class Forest:
-    """Fitted trees, and the encoding they were fitted with."""
-
-    model: PipelineModel
-    encoding: Encoding
+    @property
+    def n_features(self) -> int:
+        return self.blocks[0].numFeatures
 
     def save(self, path: str) -> None:
-        self.model.write().save(f"{path}/model")
-        self.encoding.save(f"{path}/encoding")
+        self.model.write().save(path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Forest:
-        return Forest(PipelineModel.load(f"{path}/model"), Encoding.load(spark, f"{path}/encoding"))
+        return Forest(PipelineModel.load(path))
 
 
 def with_year2(df: DataFrame) -> DataFrame:
@@ -80,51 +75,10 @@ def rf_features(df: DataFrame) -> DataFrame:
     return with_year2(df).select("price", *CATEGORIES, "mileage")
 
 
-def with_fold(df: DataFrame, folds: int, p: Params) -> DataFrame:
+def with_fold(df: DataFrame, folds: int, p: Params, name: str = "fold") -> DataFrame:
     """Fold from a hash of the id: a recomputed partition lands in the same fold."""
     fold = F.pmod(F.xxhash64(F.col("id"), F.lit(p.seed)), F.lit(folds)).cast("int")
-    return df.withColumn("fold", fold)
-
-
-def fit_encoding(rows: DataFrame, p: Params) -> Encoding:
-    """Level means of ``rows`` (price, predictors, mileage, fold), over all folds and without each."""
-    c = F.col
-    overall = rows.agg(F.avg("price").alias("price"), F.avg("mileage").alias("mileage")).first()
-    price, mileage = overall["price"] or 0.0, overall["mileage"] or 0.0
-    levels = {}
-    for name in CATEGORIES:
-        parts = rows.groupBy(c(name).alias("level"), "fold").agg(
-            F.sum("price").alias("s"), F.count("price").alias("n")
-        )
-        parts = stored_lookup(parts, "level_parts")
-        whole = parts.groupBy("level").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-        others = left_lookup(parts, whole.withColumnsRenamed({"s": "all_s", "n": "all_n"}), ["level"])
-        both = others.select("level", "fold", (c("all_s") - c("s")).alias("s"), (c("all_n") - c("n")).alias("n"))
-        both = both.unionByName(whole.select("level", F.lit(None).cast("int").alias("fold"), "s", "n"))
-        drawn = (F.coalesce("s", F.lit(0.0)) + price * p.rf_prior_rows) / (c("n") + p.rf_prior_rows)
-        levels[name] = stored_lookup(both.select("level", "fold", drawn.alias("mean")), "level_means")
-    return Encoding(price, mileage, levels)
-
-
-def encoded(df: DataFrame, e: Encoding, own_fold: bool) -> DataFrame:
-    """``df`` (with year2) and the columns of :data:`FEATURES`.
-
-    ``own_fold``: rows have a ``fold`` and get the means of the other folds.
-    """
-    out = df
-    for name in CATEGORIES:
-        table = e.levels[name].select(F.col("level").alias(name), "fold", F.col("mean").alias(f"{name}_mean"))
-        if own_fold:
-            out = left_lookup(out, table, [name, "fold"])
-        else:
-            out = left_lookup(out, table.filter("fold IS NULL").drop("fold"), [name])
-        out = out.withColumn(f"{name}_mean", F.coalesce(f"{name}_mean", F.lit(e.price)))
-    return out.withColumns(
-        {
-            "mileage_known": F.col("mileage").isNotNull().cast("double"),
-            "mileage_filled": F.coalesce("mileage", F.lit(e.mileage)),
-        }
-    )
+    return df.withColumn(name, fold)
 
 
 def to_factor(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -142,81 +96,189 @@ def to_factor(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
-def forest_stages(p: Params) -> list:
-    assembled = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    forest = RandomForestRegressor(
-        featuresCol="features",
-        labelCol="price",
-        predictionCol=PREDICTION,
-        numTrees=p.rf_trees,
-        maxDepth=p.rf_depth,
-        maxBins=p.rf_bins,
-        featureSubsetStrategy="onethird",
-        seed=p.seed,
-    )
-    return [assembled, forest]
+# --- features ----------------------------------------------------------------------
+
+
+def _year_stage() -> SQLTransformer:
+    return SQLTransformer(statement="SELECT *, CAST(year AS STRING) AS year2 FROM __THIS__")
+
 
+def fit_level_means(rows: DataFrame, p: Params, fold: str) -> LevelMeansModel:
+    return LevelMeans(inputCols=CATEGORIES, foldCol=fold, priorRows=p.rf_prior_rows).fit(rows)
 
-def training_rows(df: DataFrame, p: Params) -> tuple[DataFrame, Encoding]:
-    """Encoded training rows, each with a fold, and the encoding."""
+
+def _one_hot(spark: SparkSession, codes: LevelCodesModel) -> tuple[list, list[str]]:
+    """Stages that turn codes into sparse vectors, and the columns to assemble."""
+    used = {n: k for n, k in codes.features().items() if k > 0}
+    assembled = ["mileage_known", "mileage_filled"]
+    if not used:
+        return [], assembled
+    encoder = OneHotEncoder(
+        inputCols=[f"{n}_code" for n in used], outputCols=[f"{n}_hot" for n in used], handleInvalid="keep"
+    )
+    # one row of the largest codes tells the encoder all it has to know
+    largest = spark.range(1).select(*[F.lit(float(k - 1)).alias(f"{n}_code") for n, k in used.items()])
+    return [encoder.fit(largest)], [f"{n}_hot" for n in used] + assembled
+
+
+def fit_features(rows: DataFrame, p: Params) -> list:
+    """Fitted stages from raw rows (and ``TRAINING_FOLD``) to a vector of features."""
+    year = _year_stage()
+    ready = year.transform(rows)
+    if p.rf_encoding == "onehot":
+        codes = LevelCodes(inputCols=CATEGORIES).fit(ready)
+        stages, assembled = _one_hot(rows.sparkSession, codes)
+        return [year, codes, *stages, VectorAssembler(inputCols=assembled, outputCol="features")]
+    if p.rf_encoding != "means":
+        raise ValueError(f"unknown encoding {p.rf_encoding!r}: means or onehot")
+    means = fit_level_means(ready, p, TRAINING_FOLD)
+    return [year, means, VectorAssembler(inputCols=FEATURES, outputCol="features")]
+
+
+def training_rows(df: DataFrame, p: Params) -> tuple[DataFrame, LevelMeansModel]:
+    """Rows with their level means over the other folds, each with its fold, and the encoding."""
     rows = with_year2(with_fold(df, p.rf_folds, p)).select("price", *CATEGORIES, "mileage", "fold")
-    e = fit_encoding(rows, p)
-    return encoded(rows, e, own_fold=True).select("price", *FEATURES, "fold"), e
+    e = fit_level_means(rows, p, "fold")
+    return e.transform(rows).select("price", *FEATURES, "fold"), e
+
+
+def encoded(df: DataFrame, e: LevelMeansModel, own_fold: bool) -> DataFrame:
+    """``df`` (with year2) and :data:`FEATURES`; ``own_fold``: by the other folds of a row's ``fold``."""
+    return e.transform(df if own_fold else df.drop("fold"))
+
+
+# --- trees -------------------------------------------------------------------------
 
 
-def rf_train(df: DataFrame, p: Params = Params()) -> Forest:
+def block_sizes(trees: Sequence[int]) -> list[int]:
+    """Trees of each block, so that the first blocks make up every number of trees asked for."""
+    counts = sorted(set(trees))
+    return [b - a for a, b in pairwise([0, *counts])]
+
+
+def _fit_blocks(ready: DataFrame, p: Params, sizes: Sequence[int], subset: str) -> list[RandomForestRegressionModel]:
+    def block(place: int) -> RandomForestRegressionModel:
+        grower = RandomForestRegressor(
+            featuresCol="features",
+            labelCol="price",
+            predictionCol=f"block_{place}",
+            numTrees=sizes[place],
+            maxDepth=p.rf_depth,
+            maxBins=p.rf_bins,
+            featureSubsetStrategy=subset,
+            seed=p.seed + place,
+        )
+        return grower.fit(ready)
+
+    return [block(i) for i in range(len(sizes))]
+
+
+def _mean_of_blocks(sizes: Sequence[int]) -> str:
+    """SQL text of the mean over all trees of the blocks."""
+    return f"({' + '.join(f'{n} * block_{i}' for i, n in enumerate(sizes))}) / {float(sum(sizes))}"
+
+
+def _forest(features: list, blocks: list, sizes: Sequence[int]) -> Forest:
+    mean = SQLTransformer(statement=f"SELECT *, {_mean_of_blocks(sizes)} AS {PREDICTION} FROM __THIS__")
+    return Forest(PipelineModel([*features, *blocks, mean]))
+
+
+def _raw(df: DataFrame) -> DataFrame:
+    return df.select("id", "price", "make", "model_key", "trim_key", "year", "mileage")
+
+
+def rf_train(df: DataFrame, p: Params = Params(), subset: str = "onethird") -> Forest:
     """Fit on rows with id, price, keys and mileage; no row is left out."""
-    rows, e = training_rows(df, p)
-    return Forest(Pipeline(stages=forest_stages(p)).fit(rows), e)
+    return _rf_train(df, p, block_sizes([p.rf_trees]), subset)
+
+
+def _rf_train(df: DataFrame, p: Params, sizes: Sequence[int], subset: str) -> Forest:
+    rows = with_fold(_raw(df), p.rf_folds, p, TRAINING_FOLD)
+    features = fit_features(rows, p)
+    ready = stored(PipelineModel(features).transform(rows).select("price", "features"), "training_rows")
+    return _forest(features, _fit_blocks(ready, p, sizes, subset), sizes)
 
 
 def rf_predict(forest: Forest, df: DataFrame) -> DataFrame:
     """Adds ``predicted_price_rf`` to every row."""
-    ready = encoded(with_year2(df), forest.encoding, own_fold=False)
-    return forest.model.transform(ready).drop("features", "year2", *FEATURES)
+    return forest.model.transform(df).select(*[F.col(f"`{x}`") for x in df.columns], PREDICTION)
 
 
-def rf_grid(forest: RandomForestRegressor, trees: Sequence[int], subsets: Sequence[str]) -> list:
-    return (
-        ParamGridBuilder()
-        .addGrid(forest.numTrees, list(trees))
-        .addGrid(forest.featureSubsetStrategy, list(subsets))
-        .build()
-    )
+# --- cross-validation --------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class CrossValidation:
+    """Mean held-out RMSE of each setting, and how to fit the best one on all rows."""
+
+    scores: list[tuple[int, str, float]]  # trees, features tried at a split, rmse
+    rows: DataFrame
+    params: Params
+
+    @property
+    def best(self) -> tuple[int, str, float]:
+        """Least error; of equals the smaller forest."""
+        return min(self.scores, key=lambda s: (s[2], s[0], s[1]))
+
+    def refit(self) -> Forest:
+        """The best setting on all rows, with the blocks that were scored."""
+        trees, subset, _ = self.best
+        sizes = block_sizes([n for n, *_ in self.scores if n <= trees])
+        return _rf_train(self.rows, self.params, sizes, subset)
 
 
 def rf_cross_validate(
     df: DataFrame, p: Params = Params(), trees: Sequence[int] | None = None, subsets: Sequence[str] | None = None
-) -> CrossValidatorModel:
-    """k-fold cross-validation over the grid; the best setting is refitted on all rows.
+) -> CrossValidation:
+    """k-fold cross-validation over the grid of trees and features tried at a split.
 
-    A row's level means come from the other folds, so no held-out price reaches the
-    predictors of the row it is tested on.
+    For each fold the whole pipeline, encoding included, is fitted on the other folds alone,
+    once for each number of features tried: the largest number of trees is grown in blocks,
+    and the error of every smaller number is read off the same predictions. ``rf_repeats``
+    repeats it with other folds. Fits of one fold run ``rf_parallel`` at a time.
     """
-    rows, _ = training_rows(df, p)
-    stages = forest_stages(p)
-    validator = CrossValidator(
-        estimator=Pipeline(stages=stages),
-        estimatorParamMaps=rf_grid(stages[-1], trees or p.rf_grid_trees, subsets or p.rf_grid_subsets),
-        evaluator=RegressionEvaluator(labelCol="price", predictionCol=PREDICTION),
-        numFolds=p.rf_folds,
-        seed=p.seed,
-        foldCol="fold",
-    )
-    return validator.fit(rows)
-
-
-def cross_validation_table(cv: CrossValidatorModel) -> DataFrame:
+    counts = sorted(set(trees or p.rf_grid_trees))
+    subsets = list(subsets or p.rf_grid_subsets)
+    sizes = block_sizes(counts)
+    rows = stored(_raw(df), "validated_rows")
+    errors: dict[tuple[int, str], list[float]] = {}
+    for repeat in range(p.rf_repeats):
+        folded = with_fold(rows, p.rf_folds, replace(p, seed=p.seed + 1000 * repeat + 500), "fold")
+        for fold in range(p.rf_folds):
+            met = with_fold(folded.filter(F.col("fold") != fold).drop("fold"), p.rf_folds, p, TRAINING_FOLD)
+            features = fit_features(met, p)
+            encode = PipelineModel(features)
+            ready = stored(encode.transform(met).select("price", "features"), "training_rows")
+            held_out = encode.transform(folded.filter(F.col("fold") == fold).drop("fold"))
+            held_out = stored(held_out.select("price", "features"), "held_out_rows")
+
+            def fitted(subset: str) -> list[float | None]:
+                return prefix_errors(held_out, _fit_blocks(ready, p, sizes, subset), sizes)
+
+            with ThreadPool(min(p.rf_parallel, len(subsets))) as pool:
+                found = pool.map(inheritable_thread_target(rows.sparkSession)(fitted), subsets)
+            for subset, of_counts in zip(subsets, found):
+                for n, error in zip(counts, of_counts):
+                    if error is not None:  # a fold without rows tells nothing
+                        errors.setdefault((n, subset), []).append(error)
+    scores = [(n, subset, sum(e) / len(e)) for (n, subset), e in errors.items()]
+    return CrossValidation(sorted(scores), rows, p)
+
+
+def prefix_errors(rows: DataFrame, blocks: list[RandomForestRegressionModel], sizes: Sequence[int]) -> list[float | None]:
+    """RMSE of the first block, the first two and so on, every tree asked once for each row."""
+    scored = PipelineModel(blocks).transform(rows)
+    ends = range(1, len(sizes) + 1)
+    wrong = [F.expr(f"price - {_mean_of_blocks(sizes[:k])}") for k in ends]
+    found = scored.agg(*[F.sqrt(F.avg(e * e)).alias(f"e{k}") for k, e in zip(ends, wrong)]).first()
+    return list(found)
+
+
+def cross_validation_table(cv: CrossValidation) -> DataFrame:
     """One row per setting of the grid with its mean RMSE over the folds."""
-    spark = SparkSession.getActiveSession()
-    rows = []
-    for setting, score in zip(cv.getEstimatorParamMaps(), cv.avgMetrics):
-        named = {param.name: value for param, value in setting.items()}
-        rows.append((int(named["numTrees"]), named["featureSubsetStrategy"], float(score)))
-    best = min(r[2] for r in rows)
-    return spark.createDataFrame(
-        [(*r, r[2] == best) for r in rows],
-        "num_trees int, feature_subset string, cv_rmse double, best boolean",
+    rows = [(n, subset, float(rmse), (n, subset, rmse) == cv.best) for n, subset, rmse in cv.scores]
+    return SparkSession.getActiveSession().createDataFrame(
+        rows, "num_trees int, feature_subset string, cv_rmse double, best boolean"
     )
 
 

@@ -16,8 +16,8 @@ TPCH_PARAMS = Params(
     order_buckets=10_007,
     rf_trees=20,
     rf_depth=8,
-    rf_grid_trees=(10, 20),
-    rf_grid_subsets=("2", "4"),
+    rf_grid_trees=(5, 10, 15),
+    rf_grid_subsets=("2", "3", "4", "5"),
 )
 
 
