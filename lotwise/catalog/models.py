@@ -11,6 +11,7 @@ from lotwise.catalog.rounding import SNAP, r
 from lotwise.catalog.study import P
 from lotwise.functions.keys import with_keys
 from lotwise.operators import split as split_ops
+from lotwise.operators.rank import union_rows
 from lotwise.plans import effects, evaluate, forest, scoring
 from lotwise.sources import tpch
 from lotwise.sources.listings import literal_rows

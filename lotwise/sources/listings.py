@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from lotwise.functions import clean
 from lotwise.functions.keys import with_keys
 from lotwise.params import Params
+from lotwise.sources.csv_ranges import read_csv_ranges
 
 _S, _I, _L = T.StringType(), T.IntegerType(), T.LongType()
 
@@ -55,17 +56,21 @@ CAR_SCHEMA = T.StructType(
 def scan_listings_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None, line_breaks: bool = True
 ) -> DataFrame:
-    """Header CSV in one pass, no type inference.
+    """Header CSV without type inference.
 
     With a schema, the file must have exactly its columns in its order, which is checked
     against the header. Without one, columns go by the names in the header, whatever
     their order; unknown ones pass through as text. ``NA`` is a missing value and an
     empty text stays an empty text.
 
-    A quoted text may hold line breaks, so a file is read by one task. Files known to have
-    none may be split among tasks with ``line_breaks=False``.
+    A quoted text may hold line breaks: a file is read by byte ranges whose starts are
+    settled first (:mod:`lotwise.sources.csv_ranges`). Files known to have none need one scan
+    less with ``line_breaks=False``.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks)
+    if line_breaks:
+        rows = read_csv_ranges(spark, path, schema)
+        return canonical(rows if schema is not None else typed(rows))
+    reader = spark.read.option("header", True).option("escape", '"')
     if schema is not None:
         return canonical(reader.schema(schema).option("enforceSchema", False).csv(path))
     return canonical(typed(reader.csv(path)))
