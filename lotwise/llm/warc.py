@@ -30,7 +30,8 @@ from lotwise.workspace import new_path, stored, stored_lookup
 MAGIC = b"\x1f\x8b\x08"
 LEAST_SHARED = 1_000  # bytes from which equal payloads are stored once
 ARCHIVE = 256 << 20  # bytes after which a task starts another file
-SPLIT = 8 << 20  # bytes of a reading task
+SPLIT = 8 << 20  # bytes of a range that is read in one go
+TASK_BYTES = 64 << 20  # bytes of a reading task on large archives
 _CHUNK = 1 << 20  # bytes read at once
 _FEED = 16 << 10  # bytes decompressed at once
 _MANIFEST = pa.schema([("path", pa.string()), ("bytes", pa.int64()), ("records", pa.int64())])
@@ -226,6 +227,21 @@ def write_archives(
 _RECORDS = "page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string"
 
 
+def _read_tasks(manifest: DataFrame, split: int) -> int:
+    """Tasks that read the archives: a stated number, as adaptive execution would put all
+    ranges, of a few bytes each in the table that lists them, into one task.
+
+    One for each ``TASK_BYTES``, or several for each core if that is more, and no more than
+    there are ranges.
+    """
+    found = manifest.agg(
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(F.ceil(F.col("bytes") / split)), F.lit(0)).alias("ranges"),
+    ).first()
+    cores = manifest.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(found["ranges"], max(4 * cores, found["bytes"] // TASK_BYTES)))
+
+
 def read_archives(manifest: DataFrame, split: int = SPLIT, payloads: bool = False) -> DataFrame:
     """One row for each record of the manifest's archives.
 
@@ -237,7 +253,7 @@ def read_archives(manifest: DataFrame, split: int = SPLIT, payloads: bool = Fals
     ranges = manifest.filter("bytes > 0").select(
         "path", F.explode(F.sequence(F.lit(0).cast("bigint"), c("bytes") - 1, F.lit(split).cast("bigint"))).alias("start")
     )
-    ranges = ranges.repartition("path", "start")
+    ranges = ranges.repartition(_read_tasks(manifest, split))
     kinds = [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]
     kinds += [("payload_bytes", pa.int64()), ("payload_digest", pa.string())]
     schema = pa.schema(kinds + [("payload", pa.binary())] * payloads)

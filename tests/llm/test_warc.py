@@ -3,6 +3,9 @@
 import hashlib
 import io
 import random
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from lotwise.llm import warc
 
@@ -44,6 +47,20 @@ def test_round_trip(spark):
         assert {r["payload"] for r in got if r["page_id"] == 6} == {b"small"}
 
 
+def test_ranges_are_read_by_many_tasks(spark):
+    """Adaptive execution must not put the short list of ranges into one task."""
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    rng = random.Random(2)
+    pages = spark.createDataFrame([(i, "u", rng.randbytes(900).hex()) for i in range(600)], "page_id bigint, url string, html string")
+    manifest = warc.write_archives(pages.coalesce(1))
+    split = 1 + manifest.agg({"bytes": "sum"}).first()[0] // 50
+    got = warc.read_archives(manifest, split).select("page_id", F.spark_partition_id().alias("task")).collect()
+    per_task = Counter(r["task"] for r in got)
+    assert sorted(r["page_id"] for r in got) == list(range(600))
+    assert len(per_task) > 10 and max(per_task.values()) < 120
+    assert warc._read_tasks(manifest, warc.SPLIT) == 1
+
+
 def test_no_pages_and_damage(spark):
     empty = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert warc.read_archives(warc.write_archives(empty)).count() == 0
