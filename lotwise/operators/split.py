@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions.nulls import all_of, any_of, same
 from lotwise.operators.quantiles import exact_quantiles
+from lotwise.operators.rank import numbered
 from lotwise.params import Params
 from lotwise.workspace import stored, stored_lookup
 
@@ -270,6 +271,36 @@ def split_with_coverage(df: DataFrame, p: Params, bucket: Column | None = None)
 def random_sample(
     df: DataFrame, n: int, p: Params, row_id: str = "id", order: Column | None = None
 ) -> DataFrame:
-    """``n`` rows in hash order of their id, or another ``order``: the same rows on every run."""
-    first = F.xxhash64(F.col(row_id), F.lit(p.seed)) if order is None else order
-    return df.orderBy(first, row_id).limit(n)
+    """``n`` rows in hash order of their id, or another ``order``: the same rows on every run.
+
+    Any ``n``: keys are dealt out by ranges, the counts of the ranges tell which one holds
+    the n-th, and a filter takes all rows up to that key, so no task holds the sample. Only
+    rows that tie with the n-th in order and id are numbered, to take as many as are left;
+    rows that are alike in all columns are interchangeable. ``df`` is read three times.
+    """
+    c = F.col
+    if n <= 0:
+        return df.limit(0)
+    first = F.xxhash64(c(row_id), F.lit(p.seed)) if order is None else order
+    key = F.struct(first.alias("k"), c(row_id).alias("i"))
+    ranged = df.select(key.alias("key")).repartitionByRange("key").withColumn("range", F.spark_partition_id())
+    ranged = stored(ranged, "sample_keys")
+    ends = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0))
+    sizes = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n")).withColumn("end", ends)
+    met = sizes.filter(c("end") >= n).orderBy("range").first()
+    if met is None:
+        return df
+    before = met["end"] - met["n"]
+    in_order = Window.partitionBy("range").orderBy("key")
+    inside = ranged.filter(c("range") == met["range"]).select(
+        "key", F.row_number().over(in_order).alias("place"), F.rank().over(in_order).alias("from")
+    )
+    last = inside.filter(c("place") == n - before).select("key", "from").first()
+    kinds = ranged.schema["key"].dataType
+    at = F.struct(*[F.lit(last["key"][f.name]).cast(f.dataType).alias(f.name) for f in kinds])
+    left = n - before - (last["from"] - 1)
+    if left == ranged.filter(c("key") == at).count():
+        return df.filter(key <= at)
+    alike = F.xxhash64(*[F.to_json(F.struct(c(f"`{x}`"))) for x in df.columns])
+    ties = numbered(df.filter(key == at).withColumn("_tie", alike), "_tie", name="_left")
+    return df.filter(key < at).unionByName(ties.filter(c("_left") < left).select(*df.columns))

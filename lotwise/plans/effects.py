@@ -18,18 +18,20 @@ from lotwise.params import Params
 from lotwise.workspace import measured, stored, stored_lookup
 
 CELL = ["make", "model_key", "trim_key", "year"]
-_TABLES = ("make", "model", "trim", "trim_year")
+_TABLES = ("make", "model", "trim", "trim_year", "cells")
+_SUMS = ["listings", "n", "price_sum", "tier_n", "tier_sum", "train_n", "train_sum"]
 
 
 @dataclass(frozen=True)
 class PriceModel:
-    """Fitted state: one scalar and four lookup tables."""
+    """Fitted state: one scalar, four lookup tables, and the sums they were fitted on."""
 
     mu: float
     make: DataFrame  # make, b_make
     model: DataFrame  # model_key, b_model
     trim: DataFrame  # trim_key, b_trim, a, b, aa, bb, price_pmmt, avg_ymmt, listing_count
     trim_year: DataFrame  # trim_key, year, b_year, avg_mileage_range, and their fitted values
+    cells: DataFrame  # make, model_key, trim_key, year and sums: all that a later fit needs
 
     def save(self, path: str) -> None:
         """Write the tables below ``path``, which must not exist yet."""
@@ -41,8 +43,8 @@ class PriceModel:
     @staticmethod
     def load(spark: SparkSession, path: str) -> PriceModel:
         mu = spark.read.parquet(f"{path}/mu").first()["mu"]
-        tables = [spark.read.parquet(f"{path}/{n}") for n in _TABLES]
-        return PriceModel(mu, *[measured(t) for t in tables])
+        *tables, cell = [spark.read.parquet(f"{path}/{n}") for n in _TABLES]
+        return PriceModel(mu, *[measured(t) for t in tables], cell)
 
 
 def cells(df: DataFrame, fit_on: str = "full") -> DataFrame:
@@ -117,10 +119,30 @@ def trim_stats(cell: DataFrame) -> DataFrame:
     )
 
 
+def merged_cells(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Cells of both: they are sums, so those of a cell add up."""
+    both = one.unionByName(other).groupBy(*CELL)
+    return both.agg(*[F.sum(x).alias(x) for x in _SUMS])
+
+
+def refit(model: PriceModel, fresh: DataFrame, p: Params = Params()) -> PriceModel:
+    """The model of all rows seen so far and the ``fresh`` ones, which need a ``split`` too.
+
+    Only the fresh rows and the stored sums are read: what the model was fitted on before
+    need not be there any more. ``p.fit_on`` must be what the model was fitted with.
+    """
+    return fit_cells(merged_cells(model.cells, cells(fresh, p.fit_on)), p)
+
+
 def fit(df: DataFrame, p: Params = Params()) -> PriceModel:
     """Fit on the rows marked ``train``; group means on ``p.fit_on`` rows."""
+    return fit_cells(cells(df, p.fit_on), p)
+
+
+def fit_cells(sums: DataFrame, p: Params = Params()) -> PriceModel:
+    """Fit on the sums of :func:`cells`."""
     c = F.col
-    cell = stored(cells(df, p.fit_on), "cells")
+    cell = stored(sums, "cells")
     mu = overall_mean(cell)
     make = stored_lookup(level_effect(cell, ["make"], F.lit(mu), "b_make"), "make")
     cell_1 = left_lookup(cell, make, ["make"])
@@ -139,7 +161,7 @@ def fit(df: DataFrame, p: Params = Params()) -> PriceModel:
     trim = trim_stats(cell)
     for part in (trim_level, year_line(trained_years, p), mileage_line(trim_year)):
         trim = trim.join(part, "trim_key", "left")
-    return PriceModel(mu, make, model, stored_lookup(trim, "trim"), trim_year)
+    return PriceModel(mu, make, model, stored_lookup(trim, "trim"), trim_year, cell)
 
 
 def year_line_check(model: PriceModel) -> DataFrame:

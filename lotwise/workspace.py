@@ -62,6 +62,29 @@ def drop_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``; none if it is not there."""
+    if not exists(spark, path):
+        return []
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    return [f.getPath().getName() for f in found if f.isDirectory()]
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """One rename that never replaces a folder, nor goes into it, if it is there already."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    here, there, conf = fs.Path(path), fs.Path(to), spark._jsc.hadoopConfiguration()
+    context = fs.FileContext.getFileContext(here.getFileSystem(conf).getUri(), conf)
+    no_options = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+    context.rename(here, there, no_options)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh shared path and return the table read back from it."""
     spark = df.sparkSession
