@@ -12,9 +12,14 @@ from lotwise.catalog.scalars import _EXPORT_SQL, _FULL_SQL, rounded_export
 from lotwise.catalog.rounding import r
 from lotwise.catalog.study import P
 from lotwise.functions import pricing
+from lotwise.functions.clean import parse_posted_hours
 from lotwise.operators import groups, rank
 from lotwise.operators.filters import in_trained_keys
 from lotwise.plans import deals, forest
+from lotwise.sources.listings import RAW_COLUMNS
+from lotwise.sources.sinks import sink_csv
+from lotwise.streaming.recent import recent_deals_to, scored_stream
+from lotwise.workspace import new_path
 
 c = F.col
 
@@ -67,6 +72,22 @@ def _(s):
     return rounded_export(deals.sorted_deals(deals.deals_recent_linear(s.fresh_scored, P)))
 
 
+@query("deals_recent_stream", S.RECENT + f"SELECT {_EXPORT_SQL} FROM scored WHERE l_gap > 10")
+def _(s):
+    """The fresh scrape lands as three files; the stream stops after two and goes on from its checkpoint."""
+    root = new_path(s.spark, "landing")
+    names = {ours: theirs for theirs, ours in RAW_COLUMNS.items()}
+    raw = s.raw.filter(parse_posted_hours(c("time")).isNotNull()).withColumn("car", F.lit(""))
+    part = F.pmod(F.xxhash64("id"), F.lit(3))
+    for landed in ((0, 1), (2,)):
+        for k in landed:
+            sink_csv(raw.filter(part == k).select(*[c(n).alias(theirs) for n, theirs in names.items()]), f"{root}/in/{k}")
+        scored = scored_stream(s.spark, f"{root}/in/*", s.known_model, P)
+        query = recent_deals_to(f"{root}/out", f"{root}/state", scored, P)
+        query.awaitTermination()
+    return rounded_export(deals.sorted_deals(s.spark.read.parquet(f"{root}/out")))
+
+
 @query("deals_full_dual")
 def _(s):
     scored = deals.with_both_gaps(forest.rf_predict(s.forest, s.scored), P)

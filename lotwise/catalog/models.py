@@ -143,6 +143,15 @@ def _(s):
     return sample.select("id", "price", "trim_key")
 
 
+@query(
+    "random_half",
+    S.KEEP + "SELECT id, price FROM kept ORDER BY (id_num * 7919 + 123) % 10007, id LIMIT (SELECT count(*) // 2 FROM kept)",
+)
+def _(s):
+    half = s.kept_table.count() // 2
+    return split_ops.random_sample(s.kept_table, half, P, order=tpch.order_bucket()).select("id", "price")
+
+
 # --- fit ---------------------------------------------------------------------------
 
 

@@ -9,10 +9,10 @@ from lotwise.catalog.registry import query
 from lotwise.catalog.scalars import NTH_MAKE_SQL
 from lotwise.catalog.rounding import r
 from lotwise.catalog.study import P
-from lotwise.operators import filters, groups, profile, rank
+from lotwise.operators import filters, groups, profile, rank, sketches
 from lotwise.plans.evaluate import metrics_log, rmse_ladder, stage_errors, validation_score
 from lotwise.plans.scoring import score
-from lotwise.workspace import stored
+from lotwise.workspace import new_path, stored, stored_lookup
 
 c = F.col
 
@@ -168,6 +168,31 @@ def _(s):
     return profile.mileage_boxplot_by_year(s.kept_table, P)
 
 
+@query(
+    "mileage_sketch_by_year",
+    S.KEEP
+    + """, m AS (SELECT year, mileage FROM kept WHERE mileage <= 650000 OR mileage IS NULL)
+    SELECT year, p, count(mileage) AS n, count(*) - count(mileage) AS nulls, min(mileage) AS low, max(mileage) AS high,
+      TRUE AS within_error FROM m, (VALUES (0.25::DOUBLE), (0.5), (0.75)) q(p) GROUP BY year, p HAVING count(mileage) > 0""",
+)
+def _(s):
+    # three batches, each read once for its sketches; the exact places are counted beside
+    rows = s.kept_table.filter(c("mileage").isNull() | (c("mileage") <= P.mileage_limit)).select("id", "year", "mileage")
+    path = new_path(s.spark, "mileage_sketches")
+    for batch in range(3):
+        sketches.add_batch(path, f"scrape{batch}", rows.filter(F.pmod(F.xxhash64("id"), F.lit(3)) == batch), "mileage", ["year"])
+    merged = stored(sketches.merged(s.spark, path, ["year"]), "merged_sketches")
+    points = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), sketches.quantile(p).alias("q")) for p in (0.25, 0.5, 0.75)]))
+    points = merged.filter("n > 0").select(*("year", "n", "nulls", "low", "high"), points.alias("x"))
+    points = stored_lookup(points.select(*("year", "n", "nulls", "low", "high"), "x.p", "x.q"), "sketch_points")
+    counts = profile.value_counts(rows, "mileage", ["year"])
+    met = counts.withColumnRenamed("n", "k").join(points, "year").groupBy("year", "p", "n", "nulls", "low", "high")
+    found = met.agg(F.sum(F.when(c("value") < c("q"), c("k")).otherwise(0)).alias("below"), F.sum(F.when(c("value") <= c("q"), c("k")).otherwise(0)).alias("upto"))
+    e = sketches.rank_error()
+    within = (c("below") <= (c("p") + e) * c("n")) & (c("upto") >= (c("p") - e) * c("n"))
+    return found.select("year", "p", "n", "nulls", "low", "high", within.alias("within_error"))
+
+
 def _summary_sql(rows: str, value: str, name: str) -> str:
     stats = {
         "min": f"min({value})",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lotwise.catalog import sql as S
@@ -15,7 +16,7 @@ from lotwise.operators.groups import left_lookup
 from lotwise.operators.profile import count_by
 from lotwise.operators.rank import missing_trims, union_rows
 from lotwise.plans import deals
-from lotwise.plans.effects import PriceModel
+from lotwise.plans.effects import PriceModel, fit, refit
 from lotwise.plans.scoring import score
 from lotwise.sources import sinks
 from lotwise.sources.listings import (
@@ -104,10 +105,33 @@ def _(s):
 def _(s):
     base = new_path(s.spark, "runs")
     rows = s.kept.select("id", "price")
-    sinks.sink_csv(rows, sinks.run_path(base, RUN))
-    back = sinks.read_back_csv(s.spark, f"{base}/*", rows.schema)
-    run = F.element_at(F.split(F.input_file_name(), "/"), -2)
-    return back.select(run.alias("run_id"), "id", "price")
+    sinks.publish_run(base, RUN, {"kept": rows})
+    return sinks.read_run(s.spark, base, "kept", rows.schema)
+
+
+@query(
+    "run_manifests",
+    S.KEEP
+    + """SELECT run_id, name, CASE name WHEN 'kept' THEN count(*) ELSE count(DISTINCT trim_key) END AS rows, TRUE AS undamaged
+    FROM kept, (VALUES ('2024Apr18_11-54-03'), ('2024Apr19_00-00-00')) r(run_id), (VALUES ('kept'), ('trims')) n(name)
+    GROUP BY run_id, name""",
+)
+def _(s):
+    base = new_path(s.spark, "runs")
+    tables = {"kept": s.kept_table.select("id", "price", "model_key"), "trims": s.kept_table.select("trim_key").distinct()}
+    broken = {**tables, "trims": tables["trims"].withColumn("trim_key", F.raise_error(F.lit("lost")).cast("string"))}
+    out = []
+    for run, attempts in ((RUN, (broken, tables)), ("2024Apr19_00-00-00", (tables, tables))):
+        for attempt in attempts:  # the first run needs a second attempt, the second refuses one
+            try:
+                sinks.publish_run(base, run, attempt)
+            except (PySparkException, FileExistsError):
+                pass
+    for run in sinks.runs(s.spark, base):
+        bad = sinks.damaged_tables(s.spark, base, run)
+        listed = sinks.manifest(s.spark, base, run)
+        out.append(listed.select(F.lit(run).alias("run_id"), "name", "rows", (~F.col("name").isin(bad)).alias("undamaged")))
+    return union_rows(*out)
 
 
 @query("effect_table_store", S.SCORED + "SELECT id, rounded(pred3, 2) AS pred3 FROM scored")
@@ -118,6 +142,15 @@ def _(s):
     return score(s.split, again, P).select("id", r("pred3").alias("pred3"))
 
 
+@query("merged_effect_tables", S.SCORED + "SELECT id, rounded(pred3, 2) AS pred3 FROM scored")
+def _(s):
+    # fitted on the rows known before, stored, then grown by the fresh ones
+    path = new_path(s.spark, "model")
+    fit(s.split.filter(F.col("posted_time").isNull()), P).save(path)
+    grown = refit(PriceModel.load(s.spark, path), s.split.filter(F.col("posted_time").isNotNull()), P)
+    return score(s.split, grown, P).select("id", r("pred3").alias("pred3"))
+
+
 @query(
     "four_exports",
     S.RECENT
