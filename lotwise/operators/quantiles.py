@@ -12,7 +12,9 @@ scale, and no step sees more than a range. Interpolation between neighbours is l
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,3 +87,79 @@ def quantiles_wide(long: DataFrame, names: dict[float, str], by: Sequence[str] =
     return long.groupBy(*by).agg(
         *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in names.items()]
     )
+
+
+# --- a few quantiles of one column ---------------------------------------------------
+
+COLLECTED = 200_000  # most (value, count) pairs near the wanted positions that are collected
+_SKETCH = 4000
+_NEAR, _WIDE = 0.002, 0.01  # ranks to either side of a probability
+
+
+@dataclass(frozen=True)
+class Brackets:
+    """Values around each wanted quantile, as a sketch sees them: nearer ones and wider ones."""
+
+    near: list[tuple[float, float]]
+    wide: list[tuple[float, float]]
+
+
+def brackets(df: DataFrame, value: str, probs: Sequence[float]) -> Brackets | None:
+    """Where the quantiles lie, from one aggregate; none without values or with NaN."""
+    v = F.col(value).cast("double")
+    ranks = [min(1.0, max(0.0, p + side * reach)) for reach in (_NEAR, _WIDE) for p in probs for side in (-1, 1)]
+    found = df.filter(v.isNotNull()).agg(
+        F.kll_sketch_agg_double(v, _SKETCH).alias("s"), F.count(F.lit(1)).alias("n"), F.count_if(F.isnan(v)).alias("nan")
+    )
+    at = F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("s", F.lit(ranks)))
+    row = found.select("n", "nan", at.alias("q")).first()
+    if not row["n"] or row["nan"]:
+        return None
+    pairs = list(zip(row["q"][::2], row["q"][1::2]))
+    return Brackets(pairs[: len(probs)], pairs[len(probs) :])
+
+
+def bracketed_quantiles(
+    df: DataFrame, value: str, probs: Sequence[float], around: Sequence[tuple[float, float]]
+) -> list[float] | None:
+    """The exact quantiles, if they lie in the brackets ``around`` them, else none.
+
+    One aggregate counts the rows between brackets and the values inside them. The counts
+    prove where a position is, so brackets from other rows or an unlucky sketch cost another
+    attempt and never a wrong result. None as well if more than ``COLLECTED`` values are met.
+    """
+    v = F.col(value).cast("double")
+    joined: list[list[float]] = []
+    for low, high in sorted(around):
+        if joined and low <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], high)
+        else:
+            joined.append([low, high])
+    inside = F.lit(False)
+    region = F.lit(0)
+    for low, high in joined:
+        region = region + (v >= low).cast("int") + (v > high).cast("int")
+        inside = inside | v.between(low, high)
+    counted = df.filter(v.isNotNull()).groupBy(region.alias("region"), F.when(inside, v).alias("v"))
+    rows = counted.agg(F.count(F.lit(1)).alias("n")).limit(COLLECTED + 1).collect()
+    if not rows or len(rows) > COLLECTED:
+        return None
+    # values in order, and the gaps between brackets as one entry without a value each
+    order = sorted(((r["region"], r["v"] if r["v"] is not None else -math.inf, r["v"], r["n"]) for r in rows), key=lambda x: x[:2])
+    total = sum(x[3] for x in order)
+    wanted = sorted({f(p * (total - 1)) for p in probs for f in (math.floor, math.ceil)})
+    at: dict[int, float] = {}
+    seen = 0
+    for _, _, known, n in order:
+        for place in wanted:
+            if seen <= place < seen + n:
+                if known is None:
+                    return None
+                at[place] = known
+        seen += n
+    out = []
+    for p in probs:
+        place = p * (total - 1)
+        x, y = at[math.floor(place)], at[math.ceil(place)]
+        out.append(x + (place - math.floor(place)) * (y - x))
+    return out

@@ -12,16 +12,18 @@ is settled on the distinct key tuples, not on the rows.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.functions.nulls import all_of, any_of, same
-from lotwise.operators.quantiles import exact_quantiles
+from lotwise.operators.quantiles import bracketed_quantiles, brackets, exact_quantiles
 from lotwise.operators.rank import numbered
 from lotwise.params import Params
-from lotwise.workspace import stored, stored_lookup
+from lotwise.workspace import BROADCAST_BYTES, stored, stored_lookup, stored_sized
 
 # every single entry must occur among the training rows
 COVERAGE_KEYS = [
@@ -66,11 +68,23 @@ def hash_bucket(p: Params, row_id: Column) -> Column:
     return F.pmod(F.xxhash64(row_id, F.lit(p.seed)), F.lit(p.order_buckets))
 
 
-def price_breaks(df: DataFrame, groups: int, price: str = "price") -> list[float]:
-    """Interior quantiles of the price: ``groups - 1`` numbers at most."""
+def price_breaks(
+    df: DataFrame, groups: int, price: str = "price", around: Sequence[tuple[float, float]] | None = None
+) -> list[float]:
+    """Interior quantiles of the price: ``groups - 1`` numbers at most.
+
+    ``around``: where they are likely to lie. Otherwise a sketch tells; where that does not
+    help, as with millions of different prices close together, prices are ordered by ranges.
+    """
     probs = [i / groups for i in range(1, groups)]
-    rows = exact_quantiles(df, price, probs).orderBy("p").collect()
-    return sorted({r["q"] for r in rows})
+    found = None
+    if around is not None:
+        found = bracketed_quantiles(df, price, probs, around)
+    if found is None and (near := brackets(df, price, probs)) is not None:
+        found = bracketed_quantiles(df, price, probs, near.near)
+    if found is None:
+        found = [r["q"] for r in exact_quantiles(df, price, probs).orderBy("p").collect()]
+    return sorted(set(found))
 
 
 def stratum(breaks: list[float], price: str = "price") -> Column:
@@ -85,37 +99,31 @@ def holdout_cuts(df: DataFrame, share: float) -> list[Cut]:
     ``ceil(share * rows)`` rows of the stratum are held out.
     """
     c = F.col
-    in_order = (
-        Window.partitionBy("_stratum")
-        .orderBy("_bucket")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
     # at most strata x buckets rows
-    counts = df.groupBy("_stratum", "_bucket").agg(F.count(F.lit(1)).alias("n"))
-    full = Window.partitionBy("_stratum")
-    cut = (
-        counts.withColumns(
-            {"end": F.sum("n").over(in_order), "want": F.ceil(F.sum("n").over(full) * F.lit(share))}
-        )
-        .filter((c("end") - c("n") < c("want")) & (c("want") <= c("end")))
-        .select("_stratum", "_bucket", (c("want") - c("end") + c("n")).alias("need"))
-    ).collect()
-    # rows of the last bucket, one per id
-    last = any_of((c("_stratum") == r["_stratum"]) & (c("_bucket") == r["_bucket"]) for r in cut)
+    counts = df.groupBy("_stratum", "_bucket").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    strata: dict[int, list[tuple[int, int]]] = {}
+    for number, bucket, n in zip(*(counts.column(x).to_pylist() for x in ("_stratum", "_bucket", "n"))):
+        if number is not None:
+            strata.setdefault(number, []).append((bucket, n))
+    last: list[tuple[int, int, int]] = []  # stratum, its last bucket, rows held out of that
+    for number, own in strata.items():
+        want = math.ceil(sum(n for _, n in own) * share)
+        before = 0
+        for bucket, n in sorted(x for x in own if x[0] is not None):
+            if before < want <= before + n:
+                last.append((number, bucket, want - before))
+            before += n
+    # rows of the last buckets; those with an id before theirs are all rows that rank before
     need = F.lit(None).cast("bigint")
-    for r in cut:
-        need = F.when(c("_stratum") == r["_stratum"], F.lit(r["need"])).otherwise(need)
-    ids = df.filter(last).groupBy("_stratum", "_bucket", "id").agg(F.count(F.lit(1)).alias("n"))
-    by_id = (
-        Window.partitionBy("_stratum")
-        .orderBy("id")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    for number, bucket, k in last:
+        need = F.when((c("_stratum") == number) & (c("_bucket") == bucket), F.lit(k)).otherwise(need)
+    met = df.select("_stratum", "_bucket", "id", need.alias("need")).filter(c("need").isNotNull())
+    by_id = Window.partitionBy("_stratum").orderBy("id")
     rows = (
-        ids.withColumn("before", F.sum("n").over(by_id) - c("n"))
-        .filter(c("before") < need)
-        .groupBy("_stratum", "_bucket")
-        .agg(F.max("id").alias("id"))
+        met.withColumn("before", F.rank().over(by_id) - 1)
+        .filter(c("before") < c("need"))
+        .groupBy("_stratum")
+        .agg(F.first("_bucket").alias("_bucket"), F.max("id").alias("id"))
     ).collect()
     return [Cut(r["_stratum"], r["_bucket"], r["id"]) for r in rows]
 
@@ -129,10 +137,14 @@ def held_out(cuts: list[Cut], group: Column, bucket: Column, row_id: Column) ->
 
 
 def holdout_rule(
-    df: DataFrame, share: float, p: Params, bucket: Column | None = None
+    df: DataFrame,
+    share: float,
+    p: Params,
+    bucket: Column | None = None,
+    around: Sequence[tuple[float, float]] | None = None,
 ) -> tuple[list[float], list[Cut]]:
     """The numbers that settle one round: price breaks, and one cut per stratum."""
-    breaks = price_breaks(df, p.strata)
+    breaks = price_breaks(df, p.strata, around=around)
     row_id = order_id(df)
     order = hash_bucket(p, row_id) if bucket is None else bucket
     narrow = df.select(stratum(breaks).alias("_stratum"), order.alias("_bucket"), row_id.alias("id"))
@@ -206,7 +218,7 @@ def _key_text(columns: list[str]) -> Column:
 
 
 def uncovered_tuples(tuples: DataFrame) -> DataFrame:
-    """Held-out key tuples with at least one key that no training tuple has.
+    """Held-out key tuples with at least one key that no training tuple has, once for each such key.
 
     ``tuples`` holds each distinct key tuple with ``any_out`` and ``all_out``. All keys
     are looked at in one aggregate per (kind of key, key): no training set is joined.
@@ -215,7 +227,7 @@ def uncovered_tuples(tuples: DataFrame) -> DataFrame:
     missing = keyed.groupBy("kind", "key").agg(F.bool_and("all_out").alias("m")).filter("m")
     missing = stored_lookup(missing.select("kind", "key"), "missing_keys")
     hit = keyed.filter("any_out").join(missing, ["kind", "key"], "left_semi")
-    return hit.select(*KEY_COLUMNS).distinct()
+    return hit.select(*KEY_COLUMNS)
 
 
 def return_uncovered(df: DataFrame, flag: str, within: Column | None = None) -> DataFrame:
@@ -237,8 +249,8 @@ def return_uncovered(df: DataFrame, flag: str, within: Column | None = None) ->
     )
     # tuples by the hash of their columns: as good as always one tuple per hash
     hashed = uncovered_tuples(tuples).groupBy(F.xxhash64(*KEY_COLUMNS).alias("_h"))
-    uncovered = stored_lookup(
-        hashed.agg(F.collect_list(F.struct(*KEY_COLUMNS)).alias("_tuples")), "uncovered"
+    uncovered, _, size = stored_sized(
+        hashed.agg(F.collect_set(F.struct(*KEY_COLUMNS)).alias("_tuples")), "uncovered"
     )
 
     def repaired(rows: DataFrame) -> DataFrame:
@@ -249,7 +261,8 @@ def return_uncovered(df: DataFrame, flag: str, within: Column | None = None) ->
         kept = out & ~F.coalesce(hit, F.lit(False))
         return met.withColumn(flag, kept).drop("_h", "_tuples")
 
-    return repaired(df)
+    # a lookup in memory is cheaper than a copy of all rows, a shuffle for each later scan is not
+    return repaired(df) if size <= BROADCAST_BYTES else stored(repaired(df), "repaired")
 
 
 def split_with_coverage(df: DataFrame, p: Params, bucket: Column | None = None) -> DataFrame:
@@ -257,11 +270,13 @@ def split_with_coverage(df: DataFrame, p: Params, bucket: Column | None = None)
 
     First the validation share is held out and repaired, then the test share of the rest.
     """
-    first = stratified_holdout(df, p.validation_share, p, bucket, "_validation")
-    # stored, or each scan of the second round would repair the first round anew
-    first = stored(return_uncovered(first, "_validation"), "first_round")
-    rest = first.filter("NOT _validation")
-    breaks, cuts = holdout_rule(rest, p.test_share, p, bucket)
+    probs = [i / p.strata for i in range(1, p.strata)]
+    near = brackets(df, "price", probs)
+    breaks, cuts = holdout_rule(df, p.validation_share, p, bucket, near and near.near)
+    first = df.withColumn("_validation", in_holdout(df, breaks, cuts, p, bucket))
+    first = return_uncovered(first, "_validation")
+    # every stratum loses about the same share, so its ends hardly move
+    breaks, cuts = holdout_rule(first.filter("NOT _validation"), p.test_share, p, bucket, near and near.wide)
     test = ~F.col("_validation") & in_holdout(first, breaks, cuts, p, bucket)
     second = return_uncovered(first.withColumn("_test", test), "_test", ~F.col("_validation"))
     name = F.when(F.col("_validation"), "validation").when(F.col("_test"), "test").otherwise("train")

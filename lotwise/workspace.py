@@ -129,10 +129,15 @@ def stored_lookup(df: DataFrame, name: str) -> DataFrame:
 
 def stored_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """The stored lookup table and its number of rows, measured while it is written."""
+    return stored_sized(df, name)[:2]
+
+
+def stored_sized(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
+    """The stored lookup table, its number of rows and its bytes, measured while it is written."""
     seen = Observation()
     watched = df.observe(
         seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")
     )
     table = stored(watched, name)
     found = seen.get
-    return bounded_broadcast(table, found["b"]), found["n"]
+    return bounded_broadcast(table, found["b"]), found["n"], found["b"]

@@ -207,3 +207,39 @@ def test_shared_folder_and_broadcast_bound(spark, monkeypatch):
         path = kept.inputFiles()[0]
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|not found"):
         spark.read.parquet(path).count()
+
+
+def test_bracketed_quantiles_are_exact_or_none(spark):
+    import random
+
+    from lotwise.operators import quantiles
+
+    rng = random.Random(8)
+    probs = [0.25, 0.5, 0.75]
+    for values in (
+        [rng.gauss(0, 1e4) for _ in range(5000)],
+        [float(rng.randrange(4)) for _ in range(3000)],
+        [1.0] * 1000 + [2.0],
+        [3.0],
+        [1.0, 2.0],
+    ):
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(3)
+        want = [r["q"] for r in quantiles.exact_quantiles(df, "v", probs).orderBy("p").collect()]
+        near = quantiles.brackets(df, "v", probs)
+        assert quantiles.bracketed_quantiles(df, "v", probs, near.near) == want
+        # brackets that miss are noticed
+        off = [(max(values) + 1, max(values) + 2)] * 3
+        assert quantiles.bracketed_quantiles(df, "v", probs, off) is None
+        assert split.price_breaks(df, 4, "v", off) == sorted(set(want))
+    assert quantiles.brackets(df.filter("v > 9"), "v", probs) is None
+    nan = spark.createDataFrame([(float("nan"),), (1.0,), (2.0,)], "v double")
+    assert quantiles.brackets(nan, "v", probs) is None
+    assert split.price_breaks(nan, 2, "v") == [2.0]
+
+
+def test_split_needs_few_jobs(spark, study):
+    status = spark.sparkContext._jsc.sc().statusTracker()
+    rows = study.kept_table
+    before = len(status.getJobIdsForGroup(None))
+    split.split_with_coverage(rows, P).select("id", "split").write.format("noop").mode("overwrite").save()
+    assert len(status.getJobIdsForGroup(None)) - before <= 40
