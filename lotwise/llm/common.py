@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # words of the contracts: runs without ASCII whitespace
 SPACE_WORDS = r"[^\x20\x09-\x0D]+"
@@ -55,6 +56,31 @@ def share(column: Column, seed: int = 42) -> Column:
     return F.pmod(F.xxhash64(column, F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
+def _comparable(kind: T.DataType) -> bool:
+    """Can values be hashed and compared? Maps cannot, nor what holds one."""
+    if isinstance(kind, T.ArrayType):
+        return _comparable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_comparable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def plain(docs: DataFrame) -> list[Column]:
+    """All columns; those that hold maps as JSON texts of them."""
+    columns = [(F.col(f"`{f.name}`"), _comparable(f.dataType)) for f in docs.schema.fields]
+    return [c if fine else F.to_json(F.struct(c.alias("m"))) for c, fine in columns]
+
+
+def distinct_rows(docs: DataFrame) -> DataFrame:
+    """One of each set of wholly equal rows, whatever the types of their columns."""
+    if all(_comparable(f.dataType) for f in docs.schema.fields):
+        return docs.distinct()
+    names = docs.columns
+    side = [spare(docs, f"_plain_{i}") for i in range(len(names))]
+    wide = docs.select("*", *[c.alias(n) for c, n in zip(plain(docs), side)])
+    return wide.dropDuplicates(side).drop(*side)
+
+
 def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 50_000) -> Iterator[pa.RecordBatch]:
     """Rows as record batches of bounded length."""
     held: list[tuple] = []

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import share, spare
+from lotwise.llm.common import plain, share, spare
 from lotwise.workspace import stored, stored_lookup
 
 RUN_ROWS = 50_000  # rows aimed at in one piece of a shard
@@ -94,12 +94,12 @@ def quantised(df: DataFrame, dims: dict[str, Column], bits: int) -> Column:
     return F.array(*classes)
 
 
-_PART = "g bigint, bytes bigint, part int, before bigint"
+_PART = "g bigint, bytes bigint, rows bigint, part int, before bigint"
 
 
 def running_bytes(groups: DataFrame, keys: list[str]) -> DataFrame:
-    """(g, bytes, start): bytes of all groups before each, in the order of ``keys``."""
-    ordered = groups.repartitionByRange(*keys).sortWithinPartitions(*keys).select("g", "bytes")
+    """(g, bytes, rows, start): bytes of all groups before each, in the order of ``keys``."""
+    ordered = groups.repartitionByRange(*keys).sortWithinPartitions(*keys).select("g", "bytes", "rows")
 
     def add_up(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -108,8 +108,9 @@ def running_bytes(groups: DataFrame, keys: list[str]) -> DataFrame:
         for batch in stream:
             size = batch.column("bytes").to_numpy(zero_copy_only=False)
             after = total + np.cumsum(size)
-            columns = [batch.column("g"), pa.array(size, pa.int64()), pa.array([part] * len(size), pa.int32())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(after - size, pa.int64())], names=["g", "bytes", "part", "before"])
+            columns = [batch.column("g"), pa.array(size, pa.int64()), batch.column("rows"), pa.array([part] * len(size), pa.int32())]
+            names = ["g", "bytes", "rows", "part", "before"]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(after - size, pa.int64())], names=names)
             total = int(after[-1]) if len(after) else total
 
     # written once: the ranges of the partitions are settled with it
@@ -117,7 +118,8 @@ def running_bytes(groups: DataFrame, keys: list[str]) -> DataFrame:
     sums = table.groupBy("part").agg(F.sum("bytes").alias("n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))  # one row a partition
-    return table.join(F.broadcast(offsets), "part").select("g", "bytes", (F.col("offset") + F.col("before")).alias("start"))
+    start = (F.col("offset") + F.col("before")).alias("start")
+    return table.join(F.broadcast(offsets), "part").select("g", "bytes", "rows", start)
 
 
 def _bytes(text: Column) -> Column:
@@ -128,14 +130,18 @@ def _group(text: Column) -> Column:
     return F.xxhash64(text, _bytes(text))
 
 
-def _where(whole, count: int, start: Column, size: Column, chance: Column) -> dict[str, Column]:
-    """Shard, piece of it and place on the curve, for rows with their group's start and bytes."""
+def _where(whole, count: int, start: Column, size: Column, rows: Column, chance: Column) -> dict[str, Column]:
+    """Shard, piece of it, part of the piece and place on the curve, for rows with their
+    group's start, bytes and rows. The rows of a group of many short texts stand at one
+    place: they are dealt out to parts of the piece, behind its other rows."""
     target = max(1.0, whole["b"] / count)
     pieces = max(1, whole["n"] // (count * RUN_ROWS))
     position = start + size * F.when(size > target / 4, chance).otherwise(0.5)
     shard = F.least(F.floor(position / target), F.lit(count - 1)).cast("int")
     piece = F.least(F.floor((position / target - shard) * pieces), F.lit(pieces - 1)).cast("int")
-    return {"shard": shard, "piece": piece, "position": position}
+    parts = F.floor(rows / RUN_ROWS)
+    part = F.when(parts > 0, 1 + F.floor(chance * parts)).otherwise(0).cast("int")
+    return {"shard": shard, "piece": piece, "part": part, "position": position}
 
 
 def _settled(docs: DataFrame, dims, text: str, id_column: str, bits: int, keep: dict[str, Column]):
@@ -165,7 +171,7 @@ def _settled(docs: DataFrame, dims, text: str, id_column: str, bits: int, keep:
 
 
 def _chance(docs: DataFrame) -> Column:
-    return share(F.xxhash64(*[F.col(f"`{x}`") for x in docs.columns]), 5)
+    return share(F.xxhash64(*plain(docs)), 5)
 
 
 DIMS = ("lang", "source")
@@ -189,15 +195,16 @@ def placed(
     keep = keep or {}
     c = F.col
     narrow, starts, whole = _settled(docs, dims, text, id_column, bits, keep)
-    at = _where(whole, count, c("start"), c("bytes"), c("chance"))
+    at = _where(whole, count, c("start"), c("bytes"), c("rows"), c("chance"))
     rows = narrow.join(starts, "g").withColumns(at)
     rows = stored(rows.select("g", "id", "size", "chance", *keep, *at), "placed")
-    sums = rows.groupBy("shard", "piece").agg(F.count(F.lit(1)).alias("n"))
-    earlier = Window.partitionBy("shard").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    run = ["shard", "piece", "part"]
+    sums = rows.groupBy(*run).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("shard").orderBy("piece", "part").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset")
-    offsets = stored_lookup(sums.select("shard", "piece", offset), "offsets")
-    here = Window.partitionBy("shard", "piece").orderBy("position", "g", "id", "chance")
-    ranked = rows.withColumn("at", F.row_number().over(here) - 1).join(offsets, ["shard", "piece"])
+    offsets = stored_lookup(sums.select(*run, offset), "offsets")
+    here = Window.partitionBy(*run).orderBy("position", "g", "id", "chance")
+    ranked = rows.withColumn("at", F.row_number().over(here) - 1).join(offsets, run)
     return ranked.select("id", "size", *keep, "shard", (c("offset") + c("at")).cast("bigint").alias("slot"))
 
 
@@ -215,10 +222,11 @@ def sharded(
     c = F.col
     name, side = spare(docs, name), spare(docs, "_side")
     _, starts, whole = _settled(docs, dims, text, id_column, bits, {})
-    starts = starts.select(F.struct("g", "start", "bytes").alias(side))
+    starts = starts.select(F.struct("g", "start", "bytes", "rows").alias(side))
     met = docs.join(starts, _group(docs[f"`{text}`"]) == starts[side]["g"])
-    at = _where(whole, count, c(side)["start"], c(side)["bytes"], _chance(docs))
+    at = _where(whole, count, c(side)["start"], c(side)["bytes"], c(side)["rows"], _chance(docs))
     placed_at = F.struct(*[v.alias(k) for k, v in at.items()])
     met = met.withColumn(side, placed_at).withColumn(name, c(side)["shard"])
-    met = met.repartition(c(name), c(side)["piece"]).sortWithinPartitions(c(name), c(side)["position"])
+    place = [c(side)[x] for x in ("piece", "part", "position")]
+    met = met.repartition(c(name), *place[:2]).sortWithinPartitions(c(name), *place)
     return met.drop(side)

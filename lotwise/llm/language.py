@@ -13,19 +13,34 @@ sent to the tasks, which predict whole texts.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import batches, share
+from lotwise.llm.common import batches, share, spare
+from lotwise.workspace import measured
 
 UNKNOWN = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def _class(*kinds: str) -> str:
+    """A character class of all code points whose general category starts with one of ``kinds``."""
+    fits = np.fromiter((unicodedata.category(chr(i))[0] in kinds for i in range(0x110000)), bool, 0x110000)
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], fits, [False])).astype(np.int8)))
+    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2]))
+
+
+@lru_cache
+def _word() -> re.Pattern:
+    """Letters and the marks that belong to them, at least one letter."""
+    return re.compile(f"[{_class('M')}]*[{_class('L')}][{_class('L', 'M')}]*")
 
 
 @dataclass(frozen=True)
@@ -50,8 +65,8 @@ class Model:
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-cased runs of letters."""
-    return _LETTERS.findall(text.lower()) if text else []
+    """Lower-cased runs of letters and combining marks; other number characters are none."""
+    return _word().findall(text.lower()) if text else []
 
 
 def runs_of(word: str, longest: int) -> Iterator[str]:
@@ -96,13 +111,14 @@ def _runs(words: Counter, longest: int) -> Counter:
 
 def sample(docs: DataFrame, s: Settings, id_column: str, lang: str) -> DataFrame:
     """About ``Settings.texts`` rows of each language at most, chosen by a hash of the id."""
-    language = F.col(f"`{lang}`")
+    language, size, name = F.col(f"`{lang}`"), spare(docs, "_size"), spare(docs, "_lang")
     known = docs.filter(language.isNotNull())
-    sizes = known.groupBy(language.alias("lang_")).agg(F.count(F.lit(1)).alias("n")).collect()  # one row a language
-    part = F.lit(0.0)
-    for row in sizes:
-        part = F.when(language == row["lang_"], min(1.0, s.texts / row["n"])).otherwise(part)
-    return known.filter(F.coalesce(share(F.col(f"`{id_column}`"), 3), F.lit(0.0)) < part)
+    # one row a language, and languages are names
+    sizes = measured(known.groupBy(language.alias(name)).agg(F.count(F.lit(1)).alias(size)))
+    part = F.least(F.lit(1.0), F.lit(float(s.texts)) / F.col(size))
+    met = known.join(sizes, language == F.col(name))
+    met = met.filter(F.coalesce(share(F.col(f"`{id_column}`"), 3), F.lit(0.0)) < part)
+    return met.select(*[known[f"`{x}`"] for x in docs.columns])
 
 
 def train(
@@ -114,7 +130,8 @@ def train(
     most = F.when(F.col("kind") == "word", s.words).otherwise(s.runs)
     found = counts(sample(docs, s, id_column, lang), s, text, lang)
     kept = found.withColumn("at", F.row_number().over(best)).filter(F.col("at") <= most)
-    rows = kept.select("lang", "kind", "item", "n").collect()  # bounded by the settings
+    # ``words + runs`` rows a language at most: the model is as large as that, wherever it lives
+    rows = kept.select("lang", "kind", "item", "n").toArrow().to_pylist()
     languages = sorted({r["lang"] for r in rows})
     column = {name: i for i, name in enumerate(languages)}
 
@@ -183,7 +200,10 @@ class Reader:
 
 
 def predict(spark, text: Column, model: Model) -> Column:
-    """struct(lang, score) of whole texts; ``und`` and 0 for null or without any letter."""
+    """struct(lang, score) of whole texts; ``und`` and 0 for null or without any letter.
+
+    Equal texts, repeated rows among them, get the same. Languages that score alike are
+    settled in code point order."""
     sent = spark.sparkContext.broadcast(tuple(vars(model).values()))
     kept: list[Reader] = []
 

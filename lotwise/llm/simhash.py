@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import spare, utf8
+from lotwise.llm.common import distinct_rows, plain, spare, utf8
 from lotwise.llm.components import connected_components
 from lotwise.workspace import stored, stored_counted
 
@@ -275,7 +275,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", dis
     """
     c = F.col
     row, fp = spare(docs, "_row"), spare(docs, "_fp")
-    whole = F.xxhash64(*[c(f"`{x}`") for x in docs.columns])
+    whole = F.xxhash64(*plain(docs))
     own = docs.select(
         c(f"`{id_column}`").alias("id"), whole.alias("row"), fingerprint(c(f"`{text}`")).alias("fp")
     )
@@ -299,4 +299,4 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", dis
     if not many:
         return met.drop(row)
     single = met.join(twice, row, "left_anti").drop(row)
-    return single.unionByName(met.join(twice, row, "left_semi").drop(row).distinct())
+    return single.unionByName(distinct_rows(met.join(twice, row, "left_semi").drop(row)))

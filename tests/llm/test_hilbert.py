@@ -72,3 +72,52 @@ def test_few_and_no_rows(documents):
     assert hilbert.placed(docs.limit(0)).count() == 0 and hilbert.sharded(docs.limit(0)).count() == 0
     named = docs.withColumnRenamed("Score", "Shard")
     assert hilbert.sharded(named).columns[-1] == "shard_"
+
+
+def test_many_short_texts_are_spread_over_pieces(documents, monkeypatch):
+    """A third of all rows have no text: few bytes, many rows, one place on the curve."""
+    monkeypatch.setattr(hilbert, "RUN_ROWS", 50)
+    rng = np.random.default_rng(4)
+    rows = [(i, "y" * int(rng.integers(50, 300)) + str(i), "en", f"s{i % 5}") for i in range(800)]
+    rows += [(10_000 + i, None, "en", "s1") for i in range(400)]
+    docs = documents(rows)
+    got = hilbert.placed(docs, count=4).collect()
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert len(got) == 1200 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    # equal texts stay in one shard, and in eight parts of it
+    assert len({r["shard"] for r in got if r["size"] == 8}) == 1
+    narrow, starts, whole = hilbert._settled(docs, hilbert.DIMS, "text", "doc_id", 4, {})
+    met = narrow.join(starts, "g")
+    at = hilbert._where(whole, 4, met["start"], met["bytes"], met["rows"], met["chance"])
+    parts = Counter(tuple(r) for r in met.select(*[at[x].alias(x) for x in ("shard", "piece", "part")]).collect())
+    assert max(parts.values()) < 120
+    out = hilbert.sharded(docs, count=4)
+    assert out.drop("shard").exceptAll(docs).count() == 0 and out.count() == 1200
+
+
+def test_placement_against_plain_arithmetic(documents):
+    """Bytes before a group, in the order of its smallest row's place on the curve."""
+    rows = [(i, "z" * (i * 37 % 200) + str(i % 150), ["en", "de"][i % 2], f"s{i % 3}") for i in range(300)]
+    docs = documents(rows)
+    narrow, _, whole = hilbert._settled(docs, hilbert.DIMS, "text", "doc_id", 4, {})
+    groups = defaultdict(list)
+    for r in narrow.collect():
+        groups[r["g"]].append(r)
+    order = sorted(groups.values(), key=lambda g: (min(g, key=lambda r: r["id"])["curve"], g[0]["g"]))
+    total, target, want = 0, whole["b"] / 6, {}
+    for g in order:
+        size = sum(r["size"] for r in g)
+        for r in g:
+            place = total + size * (r["chance"] if size > target / 4 else 0.5)
+            want[r["id"]] = min(int(place / target), 5)
+        total += size
+    assert {r["id"]: r["shard"] for r in hilbert.placed(docs, count=6).collect()} == want
+
+
+def test_map_columns(documents):
+    docs = documents([(1, "a", "en", "s"), (2, "b", "en", "s"), (2, "b", "en", "s")]).selectExpr(
+        "*", "map('k', doc_id) AS m", "array(named_struct('x', map('k', 1))) AS deep"
+    )
+    assert hilbert.sharded(docs).count() == 3 and hilbert.placed(docs).count() == 3

@@ -117,3 +117,11 @@ def test_leading_bits_grow_with_the_fingerprints():
     assert simhash.leading_bits(10, 2) == 12
     assert simhash.leading_bits(10**9, 2) > simhash.leading_bits(10**6, 2)
     assert np.bitwise_count(np.uint64(2**64 - 1)) == 64
+
+
+def test_keep_one_bears_map_columns(documents):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = documents([(1, text, "en", "a"), (2, text, "en", "a"), (1, text, "en", "a"), (3, "other words here " * 9, "en", "a")])
+    docs = docs.selectExpr("*", "map('k', doc_id) AS m")
+    kept = simhash.keep_one(docs)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3] and kept.columns == docs.columns
