@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from lotwise.functions.display import car_age
 from lotwise.functions.nulls import strict_sum
 from lotwise.operators.filters import filter_make_model, filter_mileage_anomaly
+from lotwise.operators.groups import left_lookup
 from lotwise.operators.quantiles import exact_quantiles, quantiles_wide, value_counts
 from lotwise.params import Params
-from lotwise.workspace import stored_lookup
+from lotwise.workspace import stored, stored_lookup
 
 
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
@@ -114,12 +115,12 @@ _QUARTILES = {0.25: "q1", 0.5: "median", 0.75: "q3"}
 
 def _box_counts(df: DataFrame, p: Params) -> DataFrame:
     """(year, mileage, n) with the quartiles and fences of the year on each pair."""
-    rows = filter_mileage_anomaly(df, p)
-    long = exact_quantiles(rows, "mileage", list(_QUARTILES), ["year"])
+    # the rows are read once: quartiles and fences both work on their value counts
+    counts = stored(value_counts(filter_mileage_anomaly(df, p), "mileage", ["year"]), "value_counts")
+    long = exact_quantiles(counts, "value", list(_QUARTILES), ["year"], weight="n")
     quartiles = stored_lookup(quantiles_wide(long, _QUARTILES, ["year"]), "quartiles")
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    counts = value_counts(rows, "mileage", ["year"])
-    return counts.join(quartiles, "year").withColumns(
+    return left_lookup(counts, quartiles, ["year"]).withColumns(
         {"_low": F.col("q1") - reach, "_high": F.col("q3") + reach}
     )
 

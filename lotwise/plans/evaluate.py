@@ -9,7 +9,7 @@ from lotwise.params import Params
 from lotwise.plans.effects import PriceModel
 from lotwise.plans.scoring import score
 
-# (column, label) of the ladder, in order
+# fixed values: labels of the published accuracy table, with our column for each
 STAGES = [
     ("stage_make", "Make Effect"),
     ("stage_model", "Make + Model Effect"),

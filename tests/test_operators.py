@@ -243,3 +243,13 @@ def test_split_needs_few_jobs(spark, study):
     before = len(status.getJobIdsForGroup(None))
     split.split_with_coverage(rows, P).select("id", "split").write.format("noop").mode("overwrite").save()
     assert len(status.getJobIdsForGroup(None)) - before <= 40
+
+
+def test_boxplot_keeps_a_missing_year(spark):
+    rows = [(y, float(v)) for y in (2014, None) for v in (1, 2, 3, 4, 100)]
+    df = spark.createDataFrame(rows, "year int, mileage double")
+    got = {r["year"]: r for r in profile.mileage_boxplot_by_year(df, P).collect()}
+    assert set(got) == {2014, None}
+    assert all((r["median"], r["n"], r["n_outliers"], r["whisker_high"]) == (3.0, 5, 1, 4.0) for r in got.values())
+    out = profile.mileage_outliers_by_year(df, P).collect()
+    assert sorted(str(r["year"]) for r in out) == ["2014", "None"]
