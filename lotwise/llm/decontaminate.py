@@ -9,19 +9,20 @@ Most words cannot take part: a window needs as many words in a row that occur in
 item at all. Such runs are found first, by one array operation per text, and only they
 are streamed.
 
-The automaton is sent to every executor, so its size is bounded: items are taken in
-blocks of at most ``block_words`` words, one automaton each, and documents pass the
-blocks one after the other, collecting what each finds.
+An automaton is held whole by a task, so its size is bounded: items are dealt out to blocks
+of about ``block_words`` words, and tasks build one automaton for each block. The driver
+passes them on one at a time as bytes. Documents are read once: a batch of them meets the
+automata one after the other, of which a task holds one at a time.
 """
 
 from __future__ import annotations
 
-import hashlib
+import pickle
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import normal_words, spare, utf8
@@ -183,31 +184,65 @@ def matches(words: list[bytes], parts: tuple) -> tuple[list[tuple[int, int]], se
 # ---- over tables
 
 
-def _blocks(
-    items: DataFrame, id_column: str, text: str, block_words: int, window: int
-) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The items in blocks of bounded size, read one partition at a time."""
-    held, size = [], 0
+_ITEM = pa.schema([("id", pa.string()), ("words", pa.binary()), ("n", pa.int64())])
+_BLOCK = pa.schema([("block", pa.int64()), ("automaton", pa.binary())])
+
+
+def pieces_of(words: list[bytes], block_words: int, window: int) -> list[list[bytes]]:
+    """An item longer than a block in pieces that overlap by a window less one word; each
+    starts with a whole window, so no remainder passes for an item of few words."""
+    starts = range(0, max(1, len(words) - window + 1), block_words)
+    return [words[at : at + block_words + window - 1] for at in starts]
+
+
+def _pieces(items: DataFrame, id_column: str, text: str, block_words: int, window: int) -> DataFrame:
+    """(id, words, n): the normalised words of each item, blank-separated, in pieces."""
+
+    def cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for name, value in zip(batch.column("id").to_pylist(), utf8(batch.column("text"))):
+                for piece in pieces_of(normal_words(value), block_words, window):
+                    row = [[name or ""], [b" ".join(piece)], [len(piece)]]
+                    yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _ITEM)], schema=_ITEM)
+
     rows = items.select(F.col(f"`{id_column}`").cast("string").alias("id"), F.col(f"`{text}`").alias("text"))
-    for row in rows.toLocalIterator():
-        words = normal_words(row["text"].encode()) if row["text"] else []
-        # a longer item is cut into pieces that overlap by a window less one word; each
-        # starts with a whole window, so no remainder passes for an item of few words
-        for at in range(0, max(1, len(words) - window + 1), block_words):
-            piece = words[at : at + block_words + window - 1]
-            held.append((row["id"] or "", piece))
-            size += len(piece)
-            if size >= block_words:
-                yield held
-                held, size = [], 0
-    yield held
+    return rows.mapInArrow(cut, "id string, words binary, n bigint")
+
+
+def automata(items: DataFrame, id_column: str, text: str, block_words: int, window: int) -> DataFrame:
+    """(block, automaton): a pickled automaton for each block of items, stored; built by tasks."""
+    pieces = stored(_pieces(items, id_column, text, block_words, window), "items")
+    total = pieces.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    blocks = max(1, -(-total // block_words))
+    block = F.pmod(F.xxhash64("id", "words"), F.lit(blocks)).alias("block")
+
+    def build(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def packed() -> pa.RecordBatch:
+            data = pickle.dumps(Automaton.build(held, window).parts(), pickle.HIGHEST_PROTOCOL)
+            return pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([data], pa.binary())], schema=_BLOCK)
+
+        for batch in stream:
+            for own, name, words in zip(*(batch.column(x).to_pylist() for x in ("block", "id", "words"))):
+                if own != key and held:
+                    yield packed()
+                    held = []
+                key = own
+                held.append((name, words.split()))
+        if held:
+            yield packed()
+
+    # a stated number of tasks: the items weigh little, building an automaton is the work
+    dealt = pieces.select(block, "id", "words").repartition(blocks, "block").sortWithinPartitions("block", "id", "words")
+    return stored(dealt.mapInArrow(build, "block bigint, automaton binary"), "automata")
 
 
 _FOUND = "n_words bigint, spans array<struct<start:int,end:int>>, items array<string>"
 
 
-def _find(text: Column, earlier: Column, automaton) -> Column:
-    """What a text's words meet in one automaton, joined with what earlier ones found."""
+def _find(text: Column, sent: list) -> Column:
+    """What a text's words meet in the automata of all blocks."""
     kind = pa.struct(
         [
             ("n_words", pa.int64()),
@@ -215,21 +250,34 @@ def _find(text: Column, earlier: Column, automaton) -> Column:
             ("items", pa.list_(pa.string())),
         ]
     )
+    held: list = [None, None]  # block and automaton that the task holds
+
+    def automaton(block: int) -> tuple:
+        if held[0] != block:
+            held[1] = None  # never two at a time
+            held[:] = block, pickle.loads(sent[block].value)
+            vars(sent[block]).pop("_value", None)  # nor the bytes of those that are not in use
+        return held[1]
 
     @F.arrow_udf(f"struct<{_FOUND.replace(' bigint', ':bigint').replace(' array', ':array')}>")
-    def stream(texts: pa.Array, before: pa.Array) -> pa.Array:
-        out = []
-        for value, old in zip(utf8(texts), before):
-            words = normal_words(value)
-            spans, items = matches(words, automaton.value)
-            old = old.as_py()
-            if old and old["spans"]:
-                spans = _merged([*spans, *((s["start"], s["end"]) for s in old["spans"])])
-                items |= set(old["items"])
-            out.append({"n_words": len(words), "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(items)})
+    def stream(texts: pa.Array) -> pa.Array:
+        counts, found = [0] * len(texts), [([], set())] * len(texts)
+        for block in range(len(sent)):
+            parts = automaton(block)
+            for k, value in enumerate(utf8(texts)):
+                words = normal_words(value)
+                spans, items = matches(words, parts)
+                counts[k] = len(words)
+                if spans:
+                    before, names = found[k]
+                    found[k] = (_merged([*spans, *before]) if before else spans), items | names
+        if not sent:
+            counts = [len(normal_words(value)) for value in utf8(texts)]
+        rows = zip(counts, found)
+        out = [{"n_words": n, "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(items)} for n, (spans, items) in rows]
         return pa.array(out, kind)
 
-    return stream(text, earlier)
+    return stream(text)
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -259,19 +307,12 @@ def contamination(
     each answered. ``name`` is lengthened if ``docs`` has such a column.
     """
     spark = docs.sparkSession
-    name = spare(docs, name)
-    c = F.col
-    empty = F.lit(None).cast(f"struct<{_FOUND.replace(' bigint', ':bigint').replace(' array', ':array')}>")
-    out, first = docs, True
-    for block in _blocks(items, item_id, item_text, block_words, window):
-        sent = spark.sparkContext.broadcast(Automaton.build(block, window).parts())
-        if first:
-            out = docs.withColumn(name, _find(c(f"`{text}`"), empty, sent))
-            first = False
-        else:
-            out = stored(out, "decontaminated")
-            out = out.withColumn(name, _find(c(f"`{text}`"), c(name), sent))
-    return out
+    blocks = automata(items, item_id, item_text, block_words, window)
+    sent = []
+    for row in blocks.select("block").orderBy("block").collect():
+        data = blocks.filter(F.col("block") == row["block"]).first()["automaton"]  # one block at a time
+        sent.append(spark.sparkContext.broadcast(bytes(data)))
+    return docs.withColumn(spare(docs, name), _find(F.col(f"`{text}`"), sent))
 
 
 def hit_words(found: str) -> Column:
@@ -323,7 +364,3 @@ def remove_spans(docs: DataFrame, items: DataFrame, text: str = "text", **option
 
     cleaned = marked.withColumn(text, cut(F.col(f"`{text}`"), F.col(found)))
     return cleaned.select(*[F.col(f"`{x}`") for x in docs.columns])
-
-
-def sha256_of(names: set[str]) -> str:
-    return hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()

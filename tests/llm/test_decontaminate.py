@@ -74,14 +74,32 @@ def test_empty_tables(spark, documents):
 
 
 def test_the_rest_of_a_cut_item_is_no_short_item():
-    class Items:
-        def select(self, *_):
-            return self
-
-        def toLocalIterator(self):
-            return iter([{"id": "a", "text": " ".join(f"w{i}" for i in range(45))}])
-
+    words = [b"w%d" % i for i in range(45)]
     for window, block in ((13, 10), (13, 40), (5, 20)):
-        pieces = [w for b in d._blocks(Items(), "id", "text", block, window) for _, w in b]
+        pieces = d.pieces_of(words, block, window)
         starts = [tuple(p[k : k + window]) for p in pieces for k in range(len(p) - window + 1)]
         assert min(map(len, pieces)) >= window and len(starts) == len(set(starts)) == 45 - window + 1
+
+
+def test_blocks_are_built_by_tasks_and_hold_every_item(spark):
+    import pickle
+
+    items, _ = _case(2, 400)
+    table = spark.createDataFrame(items + [(None, None), (7, "")], "item_id bigint, text string")
+    blocks = d.automata(table, "item_id", "text", 60, 13).collect()
+    assert len(blocks) > 3
+    held = set()
+    for r in blocks:
+        *_, whole, short, _, _ = pickle.loads(bytes(r["automaton"]))
+        held |= {n for names in whole.values() for n in names} | {n for _, names in short.values() for n in names}
+    assert held == {str(i) for i, t in items if t and d.normal_words(t.encode())}
+
+
+def test_a_very_long_document_and_clashing_columns(spark, documents):
+    item = " ".join(f"t{i}" for i in range(20))
+    text = "filler words " * 60_000 + item + " more" * 10
+    docs = documents([(1, text, "en", "a"), (1, text, "en", "a")]).selectExpr("*", "1 AS found", "map('a', 1) AS m")
+    table = spark.createDataFrame([(1, item), (1, "other " + item)], "item_id bigint, text string")
+    got = d.contamination(docs, table, block_words=15).collect()
+    assert len(got) == 2 and {tuple(r["found_"]["items"]) for r in got} == {("1",)}
+    assert all(sum(s["end"] - s["start"] for s in r["found_"]["spans"]) == 20 for r in got)
