@@ -116,10 +116,18 @@ PIECES = (
 
 
 def _streamed(df: DataFrame, order: list[str], partitions: int | None) -> DataFrame:
+    """Whole conversations, in order."""
     dealt = df.repartition("conv_id") if partitions is None else df.repartition(partitions, "conv_id")
     return dealt.sortWithinPartitions("conv_id", *order)
 
 
+def _ranged(df: DataFrame, order: list[str], partitions: int | None) -> DataFrame:
+    """Ranges of turns, in order: a long conversation is spread over several."""
+    keys = ["conv_id", *order]
+    dealt = df.repartitionByRange(*keys) if partitions is None else df.repartitionByRange(partitions, *keys)
+    return dealt.sortWithinPartitions(*keys)
+
+
 def formatted(
     turns: DataFrame,
     content: str = "text",
@@ -133,7 +141,8 @@ def formatted(
     """Pieces of transcripts: (conv_id, piece, formatted, loss_spans, attachments, attached_tokens).
 
     ``content`` is a text column or an array of structs with the fields type, text, uri
-    and units. A conversation's transcript is its pieces in order, each of whole turns;
+    and units. A conversation's transcript is its pieces in order, each of whole turns (the
+    numbers rise and may leave some out: the upper bits are those of a range of turns);
     spans of the turns to be learned count characters within their piece. Null roles and
     contents are empty. Rows of one turn stand in order of role and content, null turns
     come first; rows without a conversation form one of their own.
@@ -147,12 +156,14 @@ def formatted(
         c(f"`{content}`").alias("content"),
     )
     ties = c("content") if is_text else F.to_json("content")
-    ordered = _streamed(narrow.withColumn("tie", ties), ["turn", "role", "tie"], partitions).drop("tie")
+    ordered = _ranged(narrow.withColumn("tie", ties), ["turn", "role", "tie"], partitions).drop("tie")
 
     def write(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         visitor = ContentVisitor(expanded)
         # the state of the piece that is open
-        key, piece, size = None, 0, 0
+        key, piece, size = None, TaskContext.get().partitionId() << 33, 0
         text, spans, attached, tokens = [], [], [], 0
         started = False
 
@@ -165,7 +176,7 @@ def formatted(
             for conv, who, body in zip(*columns):
                 if started and (conv != key or size >= PIECE):
                     yield close()
-                    piece = piece + 1 if conv == key else 0
+                    piece += 1
                     size, text, spans, attached, tokens = 0, [], [], [], 0
                 key, started = conv, True
                 flat = visitor.flatten(body)

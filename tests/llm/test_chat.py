@@ -74,3 +74,17 @@ def test_typed_parts(spark):
         ("image", "s3://i", 40), ("audio", "a", 25), ("document", None, 1200)
     ]
     assert row["attached_tokens"] == 1265 and len(row["loss_spans"]) == 1
+
+
+def test_one_long_conversation_is_spread_over_tasks(spark):
+    """Ties, null turns and a conversation of a third of all rows, cut at every place."""
+    rows = [(1, k // 2 if k % 7 else None, ["user", "assistant", None][k % 3], f"text {k % 50} </s>") for k in range(900)]
+    rows += [(2 + k, 0, "assistant", None) for k in range(300)] + [(None, 1, "user", "x" * 300_000)] * 2
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    want = {tuple(r) for r in chat.read_back(chat.formatted(turns, partitions=1)).collect()}
+    pieces = chat.formatted(turns, partitions=20)
+    spread = pieces.filter("conv_id = 1").select("piece").collect()
+    assert len({r["piece"] >> 33 for r in spread}) > 5
+    assert {tuple(r) for r in chat.read_back(pieces).collect()} == want
+    (one,) = [w for w in want if w[0] == 1]
+    assert one[1] == 900 and {w[0] for w in want} == {1, None, *range(2, 302)}
