@@ -14,9 +14,10 @@ ASCII blanks):
 Lines get a MinHash signature whose bands are tuned for recall; lines that share a band's
 key are candidates. Buckets with the same members are looked at once. Their shingle sets
 then meet in one task, in blocks of bounded size, where similarities are counted exactly
-by a matrix product over the shared shingles; a bucket of many members becomes many pairs
-of blocks, never one task. Verified links are reduced to one for each member, and
-removals are settled by connected components: the smallest place of a class is kept.
+by a matrix product over the shared shingles. A bucket of many members becomes many
+blocks, never one task, and members that are in one component already meet no more.
+Verified links are reduced to one for each member, and removals are settled by connected
+components: the smallest place of a class is kept.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from lotwise.llm.common import spare, utf8
 from lotwise.llm.components import connected_components
-from lotwise.workspace import stored, stored_lookup
+from lotwise.workspace import stored
 
 
 @dataclass(frozen=True)
@@ -43,7 +44,12 @@ class Settings:
     threshold: tuple[int, int] = (4, 5)  # similarity as a fraction
     recall: float = 0.9995  # of pairs at the threshold
     hashes: int = 64
-    block: int = 1_024  # lines that meet in a task: two blocks
+    block: int = 1_024  # about the lines that meet in a task
+
+
+def grown(table: DataFrame) -> DataFrame:
+    """A table that grows with the corpus: joined by shuffle at every size, never broadcast."""
+    return table.hint("merge")
 
 
 def tune_bands(similarity: float, recall: float, hashes: int) -> tuple[int, int]:
@@ -161,8 +167,9 @@ class Cutter:
         return Pieces(at, every[at], contexts, again, cuts, ends, windows)
 
     def signature(self, shingles: np.ndarray) -> np.ndarray:
+        """One key for each band; equal rows of different bands have different keys."""
         least = _mixed(shingles[:, None] * self.turns[None, :]).min(axis=0).reshape(self.bands, self.rows)
-        return np.array([xxhash.xxh64_intdigest(row.tobytes()) for row in least], np.uint64)
+        return np.array([xxhash.xxh64_intdigest(row.tobytes(), seed=k) for k, row in enumerate(least)], np.uint64)
 
     def lines(self, text: bytes) -> tuple[np.ndarray, list[tuple[int, int]]]:
         """All word hashes, and (start, end) of the long lines."""
@@ -195,11 +202,12 @@ def units(docs: DataFrame, s: Settings, id_column: str, text: str) -> DataFrame:
     def cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter(s)
         for batch in stream:
-            ids, texts = batch.column("id").to_pylist(), batch.column("text")
+            ids, bodies = batch.column("id").to_pylist(), batch.column("body").to_pylist()
             for lo in range(0, len(ids), 256):
-                yield packed(cutter, ids[lo : lo + 256], utf8(texts.slice(lo, 256)))
+                part = slice(lo, lo + 256)
+                yield packed(cutter, ids[part], bodies[part], utf8(batch.column("text").slice(lo, 256)))
 
-    def packed(cutter: Cutter, ids: list, texts) -> pa.RecordBatch:
+    def packed(cutter: Cutter, ids: list, bodies: list, texts) -> pa.RecordBatch:
         out: dict[str, list] = {name: [] for name in _UNITS.names[:10]}
         bands, shingles = [], []
 
@@ -216,9 +224,8 @@ def units(docs: DataFrame, s: Settings, id_column: str, text: str) -> DataFrame:
             out["n_words"].append(lengths)
             out["uid"].append(uids)
 
-        for doc, body in zip(ids, texts):
-            words, long_ones = cutter.lines(body or b"")
-            whole = xxhash.xxh64_intdigest(words.tobytes()) >> 1
+        for doc, whole, text in zip(ids, bodies, texts):
+            words, long_ones = cutter.lines(text or b"")
             p = cutter.pieces(words)
             at, n = p.starts, len(p.starts)
             reach = p.first - at, p.last - at + s.least_words
@@ -242,7 +249,8 @@ def units(docs: DataFrame, s: Settings, id_column: str, text: str) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, schema=_UNITS)
 
     kinds = "id bigint, line boolean, start int, n_words int, uid bigint, context bigint, low int, high int, again boolean, body bigint, bands array<bigint>, shingles array<bigint>"
-    narrow = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
+    body = F.col(f"`{text}`")
+    narrow = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), body.alias("text"), F.xxhash64(body).alias("body"))
     return narrow.mapInArrow(cut, kinds)
 
 
@@ -286,30 +294,9 @@ def similar(sets: list[np.ndarray], threshold: tuple[int, int]) -> tuple[np.ndar
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def line_links(lines: DataFrame, s: Settings) -> DataFrame:
-    """(a, b): verified links between uids of lines that are similar but not equal."""
-    c = F.col
-    banded = lines.select("uid", F.posexplode("bands").alias("band", "key"))
-    met = banded.groupBy("band", "key").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi"))
-    met = stored_lookup(met.filter("lo < hi").select("band", "key"), "colliding")
-    members = stored(banded.join(met, ["band", "key"]).distinct(), "members")
-    # one bucket of those with the same members
-    sets = members.groupBy("band", "key").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.bit_xor(F.xxhash64("uid")).alias("x"),
-        F.bit_xor(F.xxhash64("uid", F.lit(1))).alias("y"),
-        F.min("uid").alias("lo"),
-    )
-    chosen = sets.groupBy("n", "x", "y", "lo").agg(F.min(F.struct("band", "key")).alias("k"))
-    chosen = chosen.select("k.band", "k.key", ((c("n") + s.block - 1) / s.block).cast("int").alias("blocks"))
-    rows = members.join(stored_lookup(chosen, "buckets"), ["band", "key"])
-    # a member joins every pair of blocks with its own; a bucket of one block is one pair
-    own = F.pmod(F.xxhash64("uid", F.lit(2)), c("blocks")).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), c("blocks") - 1)))
-    rows = rows.select("band", "key", "uid", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    wanted = stored_lookup(members.select("uid").distinct(), "wanted")
-    texts = lines.join(wanted, "uid", "left_semi").groupBy("uid").agg(F.min("shingles").alias("shingles"))
-    keyed = rows.join(texts, "uid").select(F.xxhash64("band", "key", "i", "j").alias("task"), "uid", "shingles")
+def _verified(tasks: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """(a, b): links between uids that meet in a task; ``tasks`` is (task, uid), ``texts`` (uid, shingles)."""
+    keyed = tasks.join(grown(texts), "uid").select("task", "uid", "shingles")
 
     def verify(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, uids, held = None, [], []
@@ -339,6 +326,64 @@ def line_links(lines: DataFrame, s: Settings) -> DataFrame:
     return stored(together.mapInArrow(verify, "a bigint, b bigint"), "line_links")
 
 
+def line_links(lines: DataFrame, s: Settings) -> DataFrame:
+    """(a, b): verified links between uids of lines that are similar but not equal.
+
+    They have the components of all pairs that share a key and are similar. A bucket of one
+    block is one task. In a larger one every block meets itself and the first block; what
+    that joins needs no pair between its members any more. So only members outside the
+    bucket's largest component meet all blocks: many copies of one line with a few
+    changes cost rows in proportion to their number.
+    """
+    c = F.col
+    banded = lines.select("uid", F.explode("bands").alias("key"))
+    met = banded.groupBy("key").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi"))
+    met = stored(met.filter("lo < hi").select("key"), "colliding")
+    members = stored(banded.join(grown(met), "key").distinct(), "members")
+    # one bucket of those with the same members
+    sets = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("uid")).alias("x"),
+        F.bit_xor(F.xxhash64("uid", F.lit(1))).alias("y"),
+        F.min("uid").alias("lo"),
+    )
+    chosen = sets.groupBy("n", "x", "y", "lo").agg(F.min("key").alias("key"))
+    # two blocks meet in a task
+    chosen = chosen.select("key", F.ceil(c("n") * 2 / s.block).cast("int").alias("blocks"))
+    rows = stored(members.join(grown(stored(chosen, "buckets")), "key"), "bucket_rows")
+    wanted = stored(members.select("uid").distinct(), "wanted")
+    texts = lines.select("uid", "shingles").join(grown(wanted), "uid", "left_semi")
+    texts = stored(texts.groupBy("uid").agg(F.min("shingles").alias("shingles")), "line_shingles")
+
+    own = F.pmod(F.xxhash64("uid", F.lit(2)), c("blocks")).cast("int")
+    small = rows.filter("blocks <= 2").select(c("key").alias("task"), "uid")
+    large = rows.filter("blocks > 2").withColumn("own", own)
+    # the first block goes to every other one, which meets itself there as well
+    others = F.when(c("own") == 0, F.sequence(F.lit(1), c("blocks") - 1)).otherwise(F.array("own"))
+    first = large.select("key", "uid", F.explode(others).alias("j")).select(F.xxhash64("key", "j").alias("task"), "uid")
+    links = _verified(small.unionByName(first), texts, s)
+    large = stored(large, "large_buckets")
+    if large.isEmpty():
+        return links
+
+    label = stored(connected_components(links), "first_components").select(c("node").alias("uid"), "component")
+    placed = large.join(grown(label), "uid", "left").withColumn("component", F.coalesce("component", "uid"))
+    placed = stored(placed, "placed_members")
+    sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("all"))
+    main = main.select("key", c("m.component").alias("main"), (c("all") - c("m.n")).alias("rest"))
+    met = placed.join(grown(stored(main.filter("rest > 0"), "main_components")), "key")
+    parts = F.ceil(c("rest") * 2 / s.block).cast("int")
+    part = F.pmod(F.xxhash64("uid", F.lit(3)), parts).cast("int")
+    # (part of the rest, block of all): a member of the rest meets every block, all meet every part
+    as_rest = met.filter("component <> main").select(
+        "key", "uid", part.alias("i"), F.explode(F.sequence(F.lit(0), c("blocks") - 1)).alias("j")
+    )
+    as_any = met.select("key", "uid", F.explode(F.sequence(F.lit(0), parts - 1)).alias("i"), c("own").alias("j"))
+    tasks = as_rest.unionByName(as_any).distinct().select(F.xxhash64("key", "i", "j").alias("task"), "uid")
+    return links.unionByName(_verified(tasks, texts, s))
+
+
 # ---- repeats
 
 
@@ -370,12 +415,13 @@ def _windows(docs: DataFrame, spots: DataFrame, s: Settings, id_column: str, tex
 
 
 def shared_pieces(docs: DataFrame, pieces: DataFrame, s: Settings, id_column: str, text: str) -> DataFrame:
-    """(context, class_id, first, low, high): what of a context's windows two texts share.
+    """(id, start, body, class_id, first, low, high, own): each piece in windows that two texts share.
 
     A window's copy at the smallest place stays; windows that stay with one context are a
     class, named by it, and ``first`` is where it stands. ``low`` and ``high`` bound the
-    words of a context's windows in that class, from its piece, or are null for all of them.
-    All windows of a context hold its piece, so their words have no gaps.
+    words of the piece's windows in that class, from its start. ``own`` says that the class is
+    named by the piece's context. All windows of a context hold its piece, so their words have
+    no gaps.
 
     A context found in two texts is shared as it stands if its piece has no other. Where a
     piece has several, one text for each context is asked for its windows.
@@ -383,9 +429,10 @@ def shared_pieces(docs: DataFrame, pieces: DataFrame, s: Settings, id_column: st
     c = F.col
     texts = F.count_if(~c("again"))
     twice = pieces.groupBy("uid").agg(texts.alias("n")).filter("n > 1").select("uid")
-    place = F.struct("id", "start", "body").alias("place")
-    several = pieces.join(stored_lookup(twice, "repeated_pieces"), "uid").select("uid", "context", "again", place)
-    contexts = several.groupBy("uid", "context").agg(texts.alias("n"), F.min("place").alias("place"))
+    place = F.struct("id", "start", "body")
+    several = pieces.join(grown(stored(twice, "repeated_pieces")), "uid")
+    several = stored(several.select("uid", "context", "again", "id", "start", "body", "low", "high"), "several")
+    contexts = several.groupBy("uid", "context").agg(texts.alias("n"), F.min(place).alias("place"))
     contexts = stored(contexts, "contexts")
 
     open_uids = contexts.groupBy("uid").agg(
@@ -394,58 +441,60 @@ def shared_pieces(docs: DataFrame, pieces: DataFrame, s: Settings, id_column: st
         F.min("place.body").alias("lo"),
         F.max("place.body").alias("hi"),
     )
-    open_uids = stored_lookup(open_uids.filter("m > 1 AND (lo < hi OR most > 1)").select("uid"), "open_pieces")
+    open_uids = grown(stored(open_uids.filter("m > 1 AND (lo < hi OR most > 1)").select("uid"), "open_pieces"))
     asked = stored(contexts.join(open_uids, "uid").select("context", "n", "place"), "open_contexts")
     spots = asked.groupBy("place.id").agg(F.collect_set("context").alias("contexts"))
-    windows = stored(_windows(docs, stored_lookup(spots, "spots"), s, id_column, text), "windows")
-    known = asked.select("context", "n", "place.id", "place.start", "place.body")
-    met = windows.select("context", "window").join(stored_lookup(known, "known_contexts"), "context")
+    windows = stored(_windows(docs, stored(spots, "spots"), s, id_column, text), "windows")
+    known = asked.select("context", "n", "place.*")
+    met = windows.select("context", "window").join(grown(stored(known, "known_contexts")), "context")
     met = met.groupBy("window").agg(
         F.min("body").alias("lo"),
         F.max("body").alias("hi"),
         F.max("n").alias("most"),
-        F.min(F.struct("id", "start", "context")).alias("first"),
+        F.min(F.struct("id", "start", "body", "context")).alias("first"),
     )
     met = met.filter("lo < hi OR most > 1").select("window", c("first.context").alias("class_id"))
-    settled = windows.join(stored_lookup(met, "shared_windows"), "window")
+    settled = windows.join(grown(stored(met, "shared_windows")), "window")
     settled = settled.groupBy("context", "class_id").agg(
         F.min("shift").alias("low"), (F.max("shift") + s.least_words + 1).alias("high")
     )
-    stands = asked.select(c("context").alias("class_id"), F.struct("place.id", "place.start").alias("first"))
-    settled = settled.join(stored_lookup(stands, "first_places"), "class_id")
+    stands = asked.select(c("context").alias("class_id"), c("place").alias("first"))
+    settled = settled.join(grown(stored(stands, "first_places")), "class_id")
 
     nothing = F.lit(None).cast("int")
     whole = contexts.join(open_uids, "uid", "left_anti").filter("n > 1")
-    whole = whole.select("context", c("context").alias("class_id"), F.struct("place.id", "place.start").alias("first"))
+    whole = whole.select("context", c("context").alias("class_id"), c("place").alias("first"))
     whole = whole.select("*", nothing.alias("low"), nothing.alias("high"))
-    return settled.select(whole.columns).unionByName(whole)
+    shared = grown(stored(settled.select(whole.columns).unionByName(whole), "shared_places"))
+    places = several.select("id", "start", "body", "context", c("low").alias("_low"), c("high").alias("_high"))
+    return places.join(shared, "context").withColumns(
+        {"low": F.coalesce("low", "_low"), "high": F.coalesce("high", "_high"), "own": c("context") == c("class_id")}
+    )
 
 
 def repeats(docs: DataFrame, s: Settings = Settings(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, line, start, n_words, run_start, run_words, class_id, kept_id, kept): each
-    paragraph of a repeated class.
+    """(id, body, line, start, n_words, run_start, run_words, class_id, kept_id, kept): each
+    paragraph of a repeated class. ``body`` is the hash of the text it stands in.
 
     A line is its own run. A piece's run are the words around it that texts share in windows
     of ``least_words + 1`` words; a piece has a row for each class its windows belong to.
     ``start`` and ``run_start`` count words of the text from 0. Of a class the paragraph at
     the smallest (id, start) is ``kept``, and ``kept_id`` is its document. Null, empty and
     shorter texts have no paragraphs; rows without an id are not compared. A passage that
-    recurs within one text alone is not repeated; rows that share an id are texts of their
-    own. No documents give an empty table.
+    recurs within one text alone is not repeated. Rows that share an id are texts of their
+    own; wholly repeated rows are copies of each other, and as nothing tells them apart, what
+    is kept in one is kept in all. No documents give an empty table.
     """
     c = F.col
     docs = docs.filter(c(f"`{id_column}`").isNotNull())
     every = stored(units(docs, s, id_column, text), "units")
     pieces = every.filter("NOT line").drop("bands", "shingles")
     lines = every.filter("line")
-    place = F.min(F.struct("id", "start")).alias("first")
+    place = F.min(F.struct("id", "start", "body")).alias("first")
     n = F.count(F.lit(1)).alias("n")
 
-    shared = stored_lookup(shared_pieces(docs, pieces, s, id_column, text), "shared_places")
-    found = pieces.select("id", "line", "start", "n_words", "context", c("low").alias("_low"), c("high").alias("_high"))
-    found = found.join(shared, "context").withColumns(
-        {"low": F.coalesce("low", "_low"), "high": F.coalesce("high", "_high"), "own": c("context") == c("class_id")}
-    )
+    found = shared_pieces(docs, pieces, s, id_column, text)
+    found = found.withColumns({"line": F.lit(False), "n_words": F.lit(s.piece)})
 
     groups = stored(lines.groupBy("uid").agg(n, place), "line_groups")
     classes = connected_components(line_links(lines, s)).select(c("node").alias("uid"), "component")
@@ -453,14 +502,14 @@ def repeats(docs: DataFrame, s: Settings = Settings(), id_column: str = "doc_id"
     labelled = stored(labelled.select("uid", "n", "first", "class_id"), "labelled")
     whole = labelled.groupBy("class_id").agg(F.sum("n").alias("n"), F.min("first").alias("first")).filter("n > 1")
     mapped = labelled.select("uid", "class_id").join(whole.select("class_id", "first"), "class_id")
-    alike = lines.select("id", "line", "start", "n_words", "uid").join(stored_lookup(mapped, "repeated_lines"), "uid")
+    alike = lines.select("id", "body", "line", "start", "n_words", "uid").join(grown(stored(mapped, "repeated_lines")), "uid")
     alike = alike.withColumns({"low": F.lit(0), "high": c("n_words"), "own": F.lit(True)})
 
-    names = ["id", "line", "start", "n_words", "low", "high", "class_id", "first", "own"]
+    names = ["id", "body", "line", "start", "n_words", "low", "high", "class_id", "first", "own"]
     both = found.select(names).unionByName(alike.select(names))
-    here = c("own") & (c("id") == c("first.id")) & (c("start") == c("first.start"))
+    here = c("own") & (c("first") == F.struct("id", "start", "body"))
     run = [(c("start") + c("low")).alias("run_start"), (c("high") - c("low")).alias("run_words")]
-    return both.select(*names[:4], *run, "class_id", c("first.id").alias("kept_id"), here.alias("kept"))
+    return both.select(*names[:5], *run, "class_id", c("first.id").alias("kept_id"), here.alias("kept"))
 
 
 _CUTS = "repeated_words bigint, removed_words bigint, removed array<struct<start: int, end: int>>"
@@ -494,10 +543,10 @@ def _cuts(runs: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays(columns, ["repeated_words", "removed_words", "removed"])
 
 
-def by_document(found: DataFrame) -> DataFrame:
-    """(id, repeated_words, removed_words, kept_ids, class_ids, removed): one row for each
-    document with repeats. ``removed`` lists the spans to cut, ``kept_ids`` where their words
-    stay, ``class_ids`` all classes the document is in, with a kept copy or another.
+def by_text(found: DataFrame) -> DataFrame:
+    """(id, body, repeated_words, removed_words, kept_ids, class_ids, removed): one row for each
+    text with repeats. ``removed`` lists the spans to cut, ``kept_ids`` where their words
+    stay, ``class_ids`` all classes the text is in, with a kept copy or another.
     No word of a run of windows that stays here is cut, whatever else it belongs to."""
     c = F.col
     run = F.struct(
@@ -506,13 +555,24 @@ def by_document(found: DataFrame) -> DataFrame:
         (c("kept") & ~c("line")).alias("kept"),
     )
     goes = F.when(~c("kept"), c("kept_id"))
-    listed = found.groupBy("id").agg(
+    listed = found.groupBy("id", "body").agg(
         F.collect_set(run).alias("runs"),
         F.array_sort(F.collect_set(goes)).alias("kept_ids"),
         F.array_sort(F.collect_set("class_id")).alias("class_ids"),
     )
-    found = listed.select("id", "kept_ids", "class_ids", F.arrow_udf(_cuts, _CUTS)("runs").alias("cuts"))
-    return found.select("id", "cuts.repeated_words", "cuts.removed_words", "kept_ids", "class_ids", "cuts.removed")
+    found = listed.select("id", "body", "kept_ids", "class_ids", F.arrow_udf(_cuts, _CUTS)("runs").alias("cuts"))
+    return found.select("id", "body", "cuts.repeated_words", "cuts.removed_words", "kept_ids", "class_ids", "cuts.removed")
+
+
+def by_document(found: DataFrame) -> DataFrame:
+    """(id, repeated_words, removed_words, kept_ids, class_ids): one row for each id with
+    repeats; of texts that share an id the words are added up."""
+    together = by_text(found).groupBy("id").agg(
+        F.sum("repeated_words").alias("repeated_words"),
+        F.sum("removed_words").alias("removed_words"),
+        *[F.array_sort(F.array_distinct(F.flatten(F.collect_list(x)))).alias(x) for x in ("kept_ids", "class_ids")],
+    )
+    return together
 
 
 def without_repeats(docs: DataFrame, s: Settings = Settings(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -521,8 +581,8 @@ def without_repeats(docs: DataFrame, s: Settings = Settings(), id_column: str =
     Words between are joined as they stood; texts without repeats are unchanged.
     """
     side = spare(docs, "_cut")
-    cuts = by_document(repeats(docs, s, id_column, text)).filter("removed_words > 0")
-    cuts = cuts.select(F.struct("id", "removed").alias(side))
+    cuts = by_text(repeats(docs, s, id_column, text)).filter("removed_words > 0")
+    cuts = cuts.select(F.struct("id", "body", "removed").alias(side))
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, notes: pa.Array) -> pa.Array:
@@ -544,5 +604,6 @@ def without_repeats(docs: DataFrame, s: Settings = Settings(), id_column: str =
             out.append(b"".join([*kept, value[last:]]))
         return pa.array([None if v is None else v.decode() for v in out], pa.string())
 
-    met = docs.join(cuts, docs[f"`{id_column}`"] == cuts[side]["id"], "left")
+    here = (docs[f"`{id_column}`"] == cuts[side]["id"]) & (F.xxhash64(docs[f"`{text}`"]) == cuts[side]["body"])
+    met = docs.join(cuts, here, "left")
     return met.withColumn(text, cut(F.col(f"`{text}`"), F.col(side))).drop(side)

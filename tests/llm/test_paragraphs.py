@@ -229,3 +229,36 @@ def test_no_documents(documents):
     docs = documents([(1, "x", "en", "a")])
     assert p.repeats(docs.limit(0)).count() == 0 and p.repeats(docs).count() == 0
     assert p.without_repeats(docs).collect() == docs.collect()
+
+
+def test_rows_that_share_an_id_very_long_texts_and_clashing_columns(documents):
+    own = lambda name, k: " ".join(f"{name}{i}" for i in range(k))
+    passage = own("p", 60)
+    rows = [(1, passage, "en", "a"), (1, own("q", 30) + " " + passage, "en", "a"), (2, own("r", 90), "en", "a")]
+    rows += [(3, own("long", 80_000) + "\n" + passage, "en", "a"), (4, None, "en", "a"), (2, own("r", 90), "en", "a")]
+    docs = documents(rows).selectExpr("*", "1 AS _cut", "2 AS uid", "3 AS `_Cut`", "map('a', 1) AS m")
+    found = {r["id"]: r for r in p.by_document(p.repeats(docs)).collect()}
+    assert set(found) == {1, 2, 3} and found[3]["repeated_words"] == 60
+    out = p.without_repeats(docs)
+    assert out.columns == docs.columns and out.count() == len(rows)
+    left = [r["text"] for r in out.collect() if r["doc_id"] == 3]
+    assert left and len(left[0].split()) == 80_000
+
+
+def test_one_bucket_of_many_near_lines_costs_rows_in_proportion(spark, documents, monkeypatch):
+    """Boilerplate with a changing number: one component, which needs no pair of blocks but the first's."""
+    words = [f"b{i}" for i in range(120)]
+    rows = [(i, " ".join([*words[:60], f"n{i}", *words[60:]]), "en", "a") for i in range(400)]
+    rows += [(900 + i, " ".join(words[:40] + [f"o{i}x{k}" for k in range(40)]), "en", "a") for i in range(30)]
+    met = []
+    plain = p._verified
+
+    def counted(tasks, texts, s):
+        met.append(tasks.count())
+        return plain(tasks, texts, s)
+
+    monkeypatch.setattr(p, "_verified", counted)
+    found = p.repeats(documents(rows), p.Settings(block=16)).filter("line").collect()
+    assert len({r["class_id"] for r in found if r["id"] < 900}) == 1
+    assert len({r["id"] for r in found if r["id"] < 900}) == 400
+    assert met[1:] == [0] and met[0] <= 2 * 16 * 430
