@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -30,17 +30,29 @@ from lotwise.workspace import measured
 UNKNOWN = "und"
 
 
-def _class(*kinds: str) -> str:
-    """A character class of all code points whose general category starts with one of ``kinds``."""
-    fits = np.fromiter((unicodedata.category(chr(i))[0] in kinds for i in range(0x110000)), bool, 0x110000)
-    edges = np.flatnonzero(np.diff(np.concatenate(([False], fits, [False])).astype(np.int8)))
+def _class(fits: Callable[[str], bool], end: int = 0x110000) -> str:
+    """The inside of a character class of all code points whose general category ``fits``."""
+    met = np.fromiter((fits(unicodedata.category(chr(i))) for i in range(end)), bool, end)
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], met, [False])).astype(np.int8)))
     return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2]))
 
 
 @lru_cache
 def _word() -> re.Pattern:
     """Letters and the marks that belong to them, at least one letter."""
-    return re.compile(f"[{_class('M')}]*[{_class('L')}][{_class('L', 'M')}]*")
+    letter, mark = _class(lambda k: k[0] == "L"), _class(lambda k: k[0] == "M")
+    return re.compile(f"[{mark}]*[{letter}][{letter}{mark}]*")
+
+
+@lru_cache
+def _rare() -> re.Pattern:
+    """Marks, number characters that are no digits, and everything beyond the basic plane."""
+    inside = _class(lambda k: k[0] == "M" or k in ("Nl", "No"), 0x10000)
+    return re.compile(f"[{inside}\U00010000-\U0010ffff]")
+
+
+# the same words where no such character occurs, and several times as fast
+_PLAIN_WORD = re.compile(r"[^\W\d_]+")
 
 
 @dataclass(frozen=True)
@@ -66,7 +78,11 @@ class Model:
 
 def words_of(text: str | None) -> list[str]:
     """Lower-cased runs of letters and combining marks; other number characters are none."""
-    return _word().findall(text.lower()) if text else []
+    if not text:
+        return []
+    lower = text.lower()
+    plain = lower.isascii() or not _rare().search(lower)
+    return (_PLAIN_WORD if plain else _word()).findall(lower)
 
 
 def runs_of(word: str, longest: int) -> Iterator[str]:
