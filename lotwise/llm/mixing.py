@@ -172,8 +172,9 @@ def with_copies(
 ) -> DataFrame:
     """``docs`` and a column ``name``: struct(size, source_size, target, copies).
 
-    Null and wordless texts have size 0 and take part as one copy. Repeated rows get the
-    same number of copies; a null source is a source of its own.
+    Null and wordless texts have size 0 and take part as one copy. Rows equal in id and text
+    get the same number of copies, so a source made of one repeated row takes it a whole
+    number of times and may miss its target by half of it; a null source is one of its own.
     """
     c = F.col
     name = spare(docs, name)
