@@ -188,7 +188,7 @@ _UNITS = pa.schema(
     [
         *(("id", pa.int64()), ("line", pa.bool_()), ("start", pa.int32()), ("n_words", pa.int32()), ("uid", pa.int64())),
         *(("context", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("again", pa.bool_()), ("body", pa.int64())),
-        *(("bands", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))),
+        *(("bands", pa.list_(pa.int64())), ("shingles", pa.binary())),
     ]
 )
 
@@ -239,7 +239,7 @@ def units(docs: DataFrame, s: Settings, id_column: str, text: str) -> DataFrame:
                 uid = np.array([xxhash.xxh64_intdigest(words[a:b].tobytes())], np.uint64)
                 add(doc, True, whole, np.array([a]), np.array([b - a]), uid, *no_context)
                 bands.append(cutter.signature(own).view(np.int64))
-                shingles.append(own.view(np.int64))
+                shingles.append(packed_set(own))
         arrays = ("start", "n_words", "uid", "context", "low", "high", "again")
         joined = {k: np.concatenate(out[k]) if out[k] else np.zeros(0, np.uint64) for k in arrays}
         hashed = [joined[k].astype(np.uint64).view(np.int64) for k in ("uid", "context")]
@@ -248,7 +248,7 @@ def units(docs: DataFrame, s: Settings, id_column: str, text: str) -> DataFrame:
         columns = [pa.array(v, f.type) for v, f in zip([*columns, bands, shingles], _UNITS)]
         return pa.RecordBatch.from_arrays(columns, schema=_UNITS)
 
-    kinds = "id bigint, line boolean, start int, n_words int, uid bigint, context bigint, low int, high int, again boolean, body bigint, bands array<bigint>, shingles array<bigint>"
+    kinds = "id bigint, line boolean, start int, n_words int, uid bigint, context bigint, low int, high int, again boolean, body bigint, bands array<bigint>, shingles binary"
     body = F.col(f"`{text}`")
     narrow = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), body.alias("text"), F.xxhash64(body).alias("body"))
     return narrow.mapInArrow(cut, kinds)
@@ -291,6 +291,21 @@ def similar(sets: list[np.ndarray], threshold: tuple[int, int]) -> tuple[np.ndar
     return member, label[member]
 
 
+_PACKED = 6  # bytes kept of a shingle's hash: two of a pair of lines collide once in 10^10 pairs
+
+
+def packed_set(shingles: np.ndarray) -> bytes:
+    """The hashes of a line's shingles, cut to their lower bytes."""
+    return shingles.view(np.uint8).reshape(-1, 8)[:, :_PACKED].tobytes()
+
+
+def unpacked_set(data: bytes) -> np.ndarray:
+    """The distinct hashes of :func:`packed_set`."""
+    out = np.zeros((len(data) // _PACKED, 8), np.uint8)
+    out[:, :_PACKED] = np.frombuffer(data, np.uint8).reshape(-1, _PACKED)
+    return np.unique(out.view(np.int64).ravel())
+
+
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -309,16 +324,14 @@ def _verified(tasks: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
         for batch in stream:
             keys = batch.column("task").to_pylist()
             names = batch.column("uid").to_pylist()
-            lists = batch.column("shingles")
-            values = lists.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+            sets = batch.column("shingles").to_pylist()
             for k, key in enumerate(keys):
                 if key != task:
                     if len(uids) > 1 and len(out := found()):
                         yield out
                     task, uids, held = key, [], []
                 uids.append(names[k])
-                held.append(values[ends[k - 1] if k else 0 : ends[k]])
+                held.append(unpacked_set(sets[k]))
         if len(uids) > 1 and len(out := found()):
             yield out
 

@@ -26,6 +26,12 @@ def test_run_hashes_depend_on_the_run_alone():
     assert len(p.run_hashes(h[:4], 5)) == 0
 
 
+def test_packed_sets_keep_the_lower_bytes():
+    x = np.unique(np.random.default_rng(3).integers(0, 1 << 63, 500, np.uint64))
+    assert p.unpacked_set(p.packed_set(x)).tolist() == sorted(v & ((1 << 48) - 1) for v in x.tolist())
+    assert len(p.unpacked_set(p.packed_set(x[:0]))) == 0
+
+
 def test_bands_reach_the_recall():
     bands, rows = p.tune_bands(0.8, 0.9995, 64)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9995 and bands * rows <= 64
