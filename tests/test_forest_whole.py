@@ -3,10 +3,11 @@
 from dataclasses import replace
 
 import pytest
+from paths import SF
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import functions as F
 
-from lotwise.catalog.study import P
+from lotwise.catalog.study import P, Study
 from lotwise.plans import forest
 from lotwise.workspace import stored
 
@@ -34,3 +35,11 @@ def test_every_row_keeps_its_own_mileage(spark, many, encoding):
     asked = many.filter("mileage IN (4, 5)").dropDuplicates(["mileage"])
     got = {r["mileage"]: r[forest.PREDICTION] for r in forest.rf_predict(model, asked).collect()}
     assert got == {4.0: pytest.approx(1e4), 5.0: pytest.approx(9e4)}
+
+
+def test_no_query_lets_the_size_choose_its_forest(spark, many, monkeypatch):
+    met = []
+    monkeypatch.setattr(forest, "rf_train", lambda df, p: met.append(p))
+    s = Study(spark, SF)
+    assert [s.forest, s.onehot_forest, s.known_forest] == [None] * 3 and len(met) == 3
+    assert not any(forest._merging(many, p) for p in met)
