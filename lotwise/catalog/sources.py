@@ -174,7 +174,8 @@ def _(s):
         "filtered": deals.formatted(deals.deals_recent_linear(scored, P)),
         "missing": missing_trims(s.fresh, s.known).withColumnRenamed("trim_key", "x"),
     }
-    paths = sinks.export_run(new_path(s.spark, "exports"), RUN, **tables)
+    # every column of every fresh row as quoted text is ten times the stored table and more
+    paths = sinks.export_run(new_path(s.spark, "exports"), RUN, **tables, compression="gzip")
     files = [
         (name, sinks.read_back_csv(s.spark, path, df.schema)) for (name, path), df in zip(paths.items(), tables.values())
     ]
